@@ -17,7 +17,7 @@ from chirpscope import constants as C
 from chirpscope.functions import text as TX
 
 
-def flatten_records(raw: DataFrame) -> DataFrame:
+def flatten_records(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Nested post record → flat ``posts`` row (PRJ1, PRJ2, FN18).
 
     A missing metric, or a missing metrics record, becomes 0; ``sentiment`` is
@@ -40,6 +40,7 @@ def flatten_records(raw: DataFrame) -> DataFrame:
         metric("like_count").alias("like_count"),
         metric("retweet_count").alias("retweet_count"),
         F.lit(None).cast("string").alias("sentiment"),
+        *[F.col(k) for k in keep],
     )
 
 

@@ -199,3 +199,276 @@ def q_edge_weight_cast(spark, sf):
     return (e.where(F.col("source").isNotNull())
             .select("source", "target", F.col("weight").cast("long").alias("weight"))
             .orderBy(F.col("weight").desc(), "source", "target"))
+
+
+# ---------------------------------------------------------------------------
+# ingest: flatten, search, insert-if-new, tallies
+# ---------------------------------------------------------------------------
+
+from chirpscope.operators import ingest as I          # noqa: E402
+from chirpscope.operators import report as R          # noqa: E402
+from chirpscope.operators import sentiment as SN      # noqa: E402
+from chirpscope.operators import summarize as SM      # noqa: E402
+
+POST_COLS = ["tweet_id", "author_id", "tweet_text", "created_at", "lang", "source",
+             "like_count", "retweet_count", "sentiment"]
+_POST_COLS_SQL = ", ".join(POST_COLS)
+
+
+@query("ingest_flatten", O.with_posts(f"SELECT {_POST_COLS_SQL} FROM posts"))
+def q_ingest_flatten(spark, sf):
+    return I.flatten_records(raw_posts(spark, sf))
+
+
+SEARCH = "the and lang:en -is:retweet"
+_WORD = r"[^\p{{L}}\p{{N}}_]"
+
+
+def _word_sql(w: str) -> str:
+    return (f"regexp_matches(lower(tweet_text), '(^|[^\\p{{L}}\\p{{N}}_]){w}([^\\p{{L}}\\p{{N}}_]|$)')"
+            .replace("{{", "{").replace("}}", "}"))
+
+
+@query("search_posts", O.with_posts(
+    f"SELECT {_POST_COLS_SQL} FROM posts WHERE lang = 'en' AND NOT is_repost AND "
+    + " AND ".join(_word_sql(w) for w in ("the", "and"))
+    + f" ORDER BY created_at DESC, tweet_id LIMIT {C.SEARCH_MAX_RESULTS}"))
+def q_search_posts(spark, sf):
+    p = I.flatten_records(raw_posts(spark, sf), keep=["is_repost"])
+    return I.search_posts(p, SEARCH, is_repost=F.col("is_repost"))
+
+
+def _batch_and_target(spark, sf):
+    """Batch = every post, plus the already-labelled posts a second time (keys repeated
+    inside one batch); target = the labelled posts (keys already present)."""
+    p = _posts(spark, sf)
+    lab = read_table(spark, sf, "labels").select(F.col("doc_id").alias("tweet_id")).distinct()
+    batch = p.unionByName(p.join(lab, "tweet_id", "left_semi"))
+    return batch, lab
+
+
+_BATCH_SQL = """batch AS (SELECT * FROM posts UNION ALL
+  SELECT * FROM posts WHERE tweet_id IN (SELECT doc_id FROM labels))"""
+
+
+@query("insert_if_new", O.with_posts(
+    f"SELECT DISTINCT {_POST_COLS_SQL} FROM batch WHERE tweet_id NOT IN (SELECT doc_id FROM labels)",
+    _BATCH_SQL))
+def q_insert_if_new(spark, sf):
+    batch, lab = _batch_and_target(spark, sf)
+    return I.new_rows(batch, lab, "tweet_id")
+
+
+@query("ingest_tally", O.with_posts(
+    """SELECT cast(ins AS BIGINT) AS inserted, cast(tot - ins AS BIGINT) AS skipped FROM (
+  SELECT count(DISTINCT tweet_id) FILTER (WHERE tweet_id NOT IN (SELECT doc_id FROM labels)) AS ins,
+         count(*) AS tot FROM batch)""", _BATCH_SQL))
+def q_ingest_tally(spark, sf):
+    batch, lab = _batch_and_target(spark, sf)
+    return I.ingest_tally(batch, lab, "tweet_id")
+
+
+@query("unscored_posts", O.with_posts(
+    f"SELECT {_POST_COLS_SQL} FROM posts p WHERE NOT EXISTS "
+    "(SELECT 1 FROM labels l WHERE l.doc_id = p.tweet_id)"))
+def q_unscored_posts(spark, sf):
+    lab = read_table(spark, sf, "labels").select(F.col("doc_id").alias("tweet_id"))
+    return _posts(spark, sf).join(lab, "tweet_id", "left_anti")
+
+
+# ---------------------------------------------------------------------------
+# sentiment
+# ---------------------------------------------------------------------------
+
+_LEX_SQL = ("lex(token, score) AS (VALUES ('the', 0.5::DOUBLE), ('und', -0.6::DOUBLE), "
+            "('le', 0.2::DOUBLE), ('and', -0.1::DOUBLE), ('der', 0.3::DOUBLE), ('la', -0.4::DOUBLE), "
+            "('de', 0.1::DOUBLE), ('por', 0.7::DOUBLE))")
+
+
+def _polarity_ctes(src: str = "posts") -> str:
+    return (_LEX_SQL + f""",
+toks AS (SELECT tweet_id, unnest(regexp_extract_all(lower(coalesce(tweet_text, '')), '[a-z]+')) AS token FROM {src}),
+sc AS (SELECT tweet_id, avg(score) AS pol FROM toks JOIN lex USING (token) GROUP BY tweet_id),
+pol AS (SELECT p.tweet_id, round(coalesce(sc.pol, 0.0), 6) + 0.0 AS polarity FROM {src} p LEFT JOIN sc USING (tweet_id)),
+scored AS (SELECT tweet_id, polarity, CASE WHEN polarity > 0.05 THEN 'positive'
+  WHEN polarity < -0.05 THEN 'negative' ELSE 'neutral' END AS sentiment FROM pol)""")
+
+
+@query("polarity_scores", O.with_posts("SELECT * FROM scored", _polarity_ctes()))
+def q_polarity_scores(spark, sf):
+    s = SN.score_lexicon(_posts(spark, sf), SN.fixture_lexicon(spark))
+    return s.select("tweet_id", "polarity", "sentiment")
+
+
+@query("polarity_class_counts", O.with_posts(
+    "SELECT sentiment, count(*) AS count FROM scored GROUP BY sentiment", _polarity_ctes()))
+def q_polarity_class_counts(spark, sf):
+    s = SN.score_lexicon(_posts(spark, sf), SN.fixture_lexicon(spark))
+    return R.value_counts(s, "sentiment")
+
+
+@query("incremental_scoring", O.with_posts(
+    "SELECT * FROM scored",
+    "todo AS (SELECT * FROM posts p WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = p.tweet_id)), "
+    + _polarity_ctes("todo")))
+def q_incremental_scoring(spark, sf):
+    lab = read_table(spark, sf, "labels").select(F.col("doc_id").alias("tweet_id"))
+    s = SN.incremental_scoring(_posts(spark, sf), lab, SN.fixture_lexicon(spark))
+    return s.select("tweet_id", "polarity", "sentiment")
+
+
+_MODEL_SQL = """SELECT tweet_id, CASE n % 3 WHEN 0 THEN 'negative' WHEN 1 THEN 'neutral' ELSE 'positive' END AS label,
+  least(n, 512) / 512.0 AS score FROM (SELECT tweet_id, length(substring(tweet_text, 1, 512)) AS n FROM posts)"""
+
+
+@query("model_scores", O.with_posts(_MODEL_SQL))
+def q_model_scores(spark, sf):
+    return SN.score_model(_posts(spark, sf)).select("tweet_id", "label", "score")
+
+
+# ---------------------------------------------------------------------------
+# reports (dashboard tabs) on events / labels
+# ---------------------------------------------------------------------------
+
+@query("date_range_filter", """
+SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-03 00:00:00' AND ts < TIMESTAMP '2024-01-11 00:00:00'
+  AND event_type IN ('click', 'view')""")
+def q_date_range_filter(spark, sf):
+    ev = read_table(spark, sf, "events")
+    return R.filter_in(R.filter_date_range(ev, "ts", "2024-01-03", "2024-01-10"), "event_type", ["click", "view"])
+
+
+_LABEL_CLASS_SQL = ("CASE WHEN quality = 1 THEN 'positive' WHEN toxic = 1 THEN 'negative' "
+                    "ELSE 'neutral' END")
+
+
+@query("class_counts", f"SELECT {_LABEL_CLASS_SQL} AS label, count(*) AS count FROM labels GROUP BY 1")
+def q_class_counts(spark, sf):
+    lab = read_table(spark, sf, "labels").withColumn("label", SN.class_from_labels())
+    return R.value_counts(lab, "label")
+
+
+@query("class_totals", f"""
+SELECT count(*) AS total, count(*) FILTER (WHERE c = 'positive') AS positive,
+       count(*) FILTER (WHERE c = 'negative') AS negative
+FROM (SELECT {_LABEL_CLASS_SQL} AS c FROM labels)""")
+def q_class_totals(spark, sf):
+    lab = read_table(spark, sf, "labels").withColumn("label", SN.class_from_labels())
+    return R.class_totals(lab, "label")
+
+
+@query("daily_trend", """
+SELECT cast(ts AS DATE) AS date, round(avg(CASE WHEN isnan(value) THEN NULL ELSE value END), 6) AS avg_value
+FROM events WHERE ts IS NOT NULL GROUP BY 1""")
+def q_daily_trend(spark, sf):
+    return R.daily_mean(read_table(spark, sf, "events"), "ts", "value")
+
+
+@query("date_bounds", "SELECT cast(min(ts) AS DATE) AS min_date, cast(max(ts) AS DATE) AS max_date FROM events")
+def q_date_bounds(spark, sf):
+    return R.date_bounds(read_table(spark, sf, "events"), "ts")
+
+
+_EV_COLS = "event_id, ts, user_id, event_type, value"
+
+
+@query("top_bottom_posts", f"""
+SELECT * FROM (SELECT 'top' AS side, {_EV_COLS} FROM events ORDER BY value DESC NULLS LAST, event_id LIMIT 5)
+UNION ALL
+SELECT * FROM (SELECT 'bottom' AS side, {_EV_COLS} FROM events ORDER BY value ASC NULLS LAST, event_id LIMIT 5)""")
+def q_top_bottom(spark, sf):
+    ev = read_table(spark, sf, "events")
+    return R.top_bottom(ev, "value", "event_id", 5, cols=_EV_COLS.split(", "))
+
+
+@query("top_per_class", """
+SELECT event_type, event_id, value, printf('%s (score=%.2f)', cast(event_id AS VARCHAR), value) AS display, rk AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY value DESC NULLS LAST, event_id) AS rk
+      FROM events WHERE event_type IN ('purchase', 'error'))
+WHERE rk <= 5""")
+def q_top_per_class(spark, sf):
+    ev = read_table(spark, sf, "events").withColumn("id_text", F.col("event_id").cast("string"))
+    t = R.top_per_class(ev, "event_type", "value", "event_id", 5, classes=["purchase", "error"])
+    return t.select("event_type", "event_id", "value",
+                    R.display_line("id_text", "value").alias("display"), F.col("rank").cast("long").alias("rank"))
+
+
+@query("latest_row", f"SELECT {_EV_COLS} FROM events ORDER BY ts DESC, event_id DESC LIMIT 1")
+def q_latest_row(spark, sf):
+    return R.latest_row(read_table(spark, sf, "events"), "ts", "event_id", _EV_COLS.split(", "))
+
+
+# ---------------------------------------------------------------------------
+# summarisation: newest-k, cleaning, keep-first, chunks, keyword order
+# ---------------------------------------------------------------------------
+
+_NEWEST_SQL = f"nk AS (SELECT * FROM posts ORDER BY created_at DESC, tweet_id LIMIT {C.NEWEST_K})"
+
+
+@query("newest_k", O.with_posts(
+    "SELECT tweet_text, label AS sentiment, created_at FROM (" +
+    _MODEL_SQL.replace("FROM posts", "FROM nk").replace("SELECT tweet_id, length", "SELECT tweet_id, tweet_text, created_at, length")
+    .replace("SELECT tweet_id, CASE", "SELECT tweet_text, created_at, CASE") + ")", _NEWEST_SQL))
+def q_newest_k(spark, sf):
+    nk = SM.newest_k(_posts(spark, sf))
+    return SN.score_model(nk).select("tweet_text", F.col("label").alias("sentiment"), "created_at")
+
+
+@query("clean_texts", O.with_posts(f"SELECT tweet_id, {O.clean_text_sql('tweet_text')} AS clean_text FROM posts"))
+def q_clean_texts(spark, sf):
+    return SM.clean_posts(_posts(spark, sf)).select("tweet_id", "clean_text")
+
+
+@query("unique_texts", O.with_posts(f"""
+SELECT clean_text, created_at, tweet_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY clean_text ORDER BY created_at DESC, tweet_id) AS rn
+  FROM (SELECT tweet_id, created_at, {O.clean_text_sql('tweet_text')} AS clean_text FROM posts))
+WHERE rn = 1"""))
+def q_unique_texts(spark, sf):
+    return SM.unique_texts(SM.clean_posts(_posts(spark, sf)))
+
+
+_CHUNKS_SQL = _NEWEST_SQL + f""",
+ct AS (SELECT tweet_id, created_at, {O.clean_text_sql('tweet_text')} AS t,
+              row_number() OVER (ORDER BY created_at DESC, tweet_id) AS pos FROM nk),
+ut AS (SELECT t, min(pos) AS first_pos FROM ct GROUP BY t),
+un AS (SELECT t, row_number() OVER (ORDER BY first_pos) AS n FROM ut),
+chunks AS (SELECT cast(floor((n - 1) / {C.CHUNK_SIZE}) + 1 AS BIGINT) AS chunk_id, count(*) AS n_texts,
+                  string_agg(t, chr(10) ORDER BY n) AS chunk_text FROM un GROUP BY 1)"""
+
+
+def _chunks(spark, sf) -> DataFrame:
+    nk = SM.clean_posts(SM.newest_k(_posts(spark, sf)))
+    u = SM.unique_texts(nk)
+    u = SM.small_ordinal(u, [F.col("created_at").desc_nulls_last(), F.col("tweet_id").asc()])
+    return SM.chunk_texts(u)
+
+
+@query("text_chunks", O.with_posts(
+    "SELECT chunk_id, n_texts, " + "'" + C.CHUNK_INSTRUCTION.replace("'", "''").replace("\n", "' || chr(10) || '")
+    + "' || chunk_text AS prompt FROM chunks", _CHUNKS_SQL))
+def q_text_chunks(spark, sf):
+    return _chunks(spark, sf).select("chunk_id", "n_texts", SM.chunk_prompt().alias("prompt"))
+
+
+@query("conversation_chunks", f"""
+WITH o AS (SELECT row_number() OVER (ORDER BY conv_id, turn) AS n, {O.clean_text_sql('text')} AS t FROM conversations)
+SELECT cast(floor((n - 1) / {C.CHUNK_SIZE}) + 1 AS BIGINT) AS chunk_id, count(*) AS n_texts,
+       string_agg(t, chr(10) ORDER BY n) AS chunk_text FROM o GROUP BY 1""")
+def q_conversation_chunks(spark, sf):
+    cv = read_table(spark, sf, "conversations").withColumn("clean_text", TX.clean_text("text"))
+    n = SM.global_ordinal(cv.select("conv_id", "turn", "clean_text"), ["conv_id", "turn"])
+    return SM.chunk_texts(n)
+
+
+KEYWORDS = ["und", "por"]
+
+
+@query("keyword_first", O.with_posts(
+    "SELECT chunk_id, hit, row_number() OVER (ORDER BY hit DESC, chunk_id) AS position FROM ("
+    "SELECT chunk_id, " + " OR ".join(f"contains(lower(chunk_text), '{k}')" for k in KEYWORDS)
+    + " AS hit FROM chunks)", _CHUNKS_SQL))
+def q_keyword_first(spark, sf):
+    ch = _chunks(spark, sf).withColumn("hit", TX.contains_any("chunk_text", KEYWORDS))
+    ordered = SM.small_ordinal(ch, [F.col("hit").desc(), F.col("chunk_id").asc()], name="position")
+    return ordered.select("chunk_id", "hit", F.col("position").cast("long").alias("position"))
