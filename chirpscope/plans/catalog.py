@@ -472,3 +472,127 @@ def q_keyword_first(spark, sf):
     ch = _chunks(spark, sf).withColumn("hit", TX.contains_any("chunk_text", KEYWORDS))
     ordered = SM.small_ordinal(ch, [F.col("hit").desc(), F.col("chunk_id").asc()], name="position")
     return ordered.select("chunk_id", "hit", F.col("position").cast("long").alias("position"))
+
+
+# ---------------------------------------------------------------------------
+# summary clean-up, map and reduce steps
+# ---------------------------------------------------------------------------
+
+def _split_sql(t: str) -> str:
+    """Sentence list of an ASCII, squeezed text (break after . ! ? + whitespace)."""
+    marked = f"regexp_replace({t}, '([.!?]){O.ASCII_WS}+', '\\1' || chr(57344), 'g')"
+    return (f"list_filter(list_transform(string_split({marked}, chr(57344)), lambda s: trim(s)), "
+            f"lambda s: s <> '')")
+
+
+def _clean_summary_sql(col: str) -> str:
+    t = f"coalesce({col}, '')"
+    t = f"regexp_replace({t}, 'http{O.NON_WS}+', '', 'g')"
+    t = f"regexp_replace({t}, '#{O.NON_WS}+', '', 'g')"
+    t = f"regexp_replace({t}, '[^\\x{{00}}-\\x{{7F}}]+', ' ', 'g')"
+    t = f"trim(regexp_replace({t}, '{O.WS}+', ' ', 'g'))"
+    return t
+
+
+@query("summary_cleanup", f"""
+WITH a AS (SELECT doc_id, {_split_sql(_clean_summary_sql('text'))} AS s FROM documents),
+b AS (SELECT doc_id, s, list_transform(s, lambda x: lower(x)) AS ls FROM a)
+SELECT doc_id, trim(array_to_string(list_filter(s, lambda x, i: list_position(ls, lower(x)) = i), ' ')) AS summary
+FROM b""")
+def q_summary_cleanup(spark, sf):
+    d = read_table(spark, sf, "documents")
+    return d.select("doc_id", TX.clean_summary("text").alias("summary"))
+
+
+@query("chunk_summaries", O.with_posts(f"""
+SELECT chunk_id, trim(array_to_string(list_transform(
+         list_filter(string_split(chunk_text, chr(10)), lambda t: trim(regexp_replace(t, '{O.WS}+', ' ', 'g')) <> ''),
+         lambda t: {_split_sql("trim(regexp_replace(t, '" + O.WS + "+', ' ', 'g'))")}[1]), ' ')) AS summary
+FROM chunks""", _CHUNKS_SQL))
+def q_chunk_summaries(spark, sf):
+    return SM.summarize_chunks(_chunks(spark, sf))
+
+
+@query("final_summary")
+def q_final_summary(spark, sf):
+    return SM.final_summary(SM.summarize_chunks(_chunks(spark, sf)))
+
+
+# ---------------------------------------------------------------------------
+# sources and sinks: CSV round trip, SQL over views
+# ---------------------------------------------------------------------------
+
+@query("csv_roundtrip", O.with_posts(f"SELECT {_POST_COLS_SQL} FROM posts"))
+def q_csv_roundtrip(spark, sf):
+    from chirpscope import schemas as S
+    from chirpscope.session import scratch_path
+    from chirpscope.sources.readers import read_posts_csv
+    from chirpscope.sources.writers import append_csv, write_csv
+    p = _posts(spark, sf)
+    path = scratch_path(spark, "posts-csv")
+    labelled = p.join(read_table(spark, sf, "labels").select(F.col("doc_id").alias("tweet_id")), "tweet_id", "left_semi")
+    write_csv(labelled, path)                                          # SNK1
+    append_csv(p.join(labelled.select("tweet_id"), "tweet_id", "left_anti"), path)   # SNK2
+    return read_posts_csv(spark, path, S.POSTS)                        # SRC1
+
+
+@query("table_scan_sql", O.with_posts(
+    "SELECT tweet_id, author_id, tweet_text, created_at FROM posts WHERE tweet_text IS NOT NULL ORDER BY created_at"))
+def q_table_scan_sql(spark, sf):
+    from chirpscope.sources.readers import run_sql, scan_not_null
+    _posts(spark, sf).createOrReplaceTempView("posts")
+    s = run_sql(spark, "SELECT * FROM posts ORDER BY created_at")
+    return scan_not_null(s, ["tweet_id", "author_id", "tweet_text", "created_at"], "tweet_text")
+
+
+# ---------------------------------------------------------------------------
+# streaming: the events table drained as a file stream (availableNow)
+# ---------------------------------------------------------------------------
+
+def _event_stream(spark, sf):
+    from chirpscope.streaming.incremental import file_stream
+    schema = read_table(spark, sf, "events").schema
+    return file_stream(spark, sf, schema, glob="events.parquet")
+
+
+def _stream_raw_posts(spark, sf):
+    ev = _event_stream(spark, sf)
+    d = read_table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    j = ev.join(d, ev["event_id"] == d["doc_id"])
+    return j.select(
+        d["doc_id"].alias("id"), ev["user_id"].alias("author_id"),
+        F.concat_ws("", d["text"], F.lit(" #"), d["source"], F.lit(" #"), ev["event_type"], F.lit(" #"),
+                    d["lang"], F.lit(" @"), d["source"], F.lit(" http://x.example/"), ev["event_type"]).alias("text"),
+        ev["ts"].alias("created_at"), d["lang"].alias("lang"), d["source"].alias("source"),
+        F.struct(F.floor(ev["value"]).cast("int").alias("like_count"),
+                 F.get_json_object(ev["props"], "$.k").cast("int").alias("retweet_count")).alias("public_metrics"))
+
+
+@query("stream_ingest", O.with_posts(f"SELECT {_POST_COLS_SQL} FROM posts"))
+def q_stream_ingest(spark, sf):
+    from chirpscope.session import scratch_path
+    from chirpscope.streaming.incremental import stream_ingest
+    target = scratch_path(spark, "stream-posts")
+    stream_ingest(_stream_raw_posts(spark, sf), target)
+    return spark.read.parquet(target).select(*POST_COLS)
+
+
+@query("stream_scoring", O.with_posts("SELECT * FROM scored", _polarity_ctes()))
+def q_stream_scoring(spark, sf):
+    from chirpscope.operators.ingest import flatten_records
+    from chirpscope.session import scratch_path
+    from chirpscope.streaming.incremental import stream_scoring
+    target = scratch_path(spark, "stream-scored")
+    stream_scoring(flatten_records(_stream_raw_posts(spark, sf)), SN.fixture_lexicon(spark), target)
+    return spark.read.parquet(target).select("tweet_id", "polarity", "sentiment")
+
+
+@query("stream_daily_trend", """
+SELECT cast(ts AS DATE) AS date, round(avg(CASE WHEN isnan(value) THEN NULL ELSE value END), 6) AS avg_value
+FROM events WHERE ts IS NOT NULL GROUP BY 1""")
+def q_stream_daily_trend(spark, sf):
+    from chirpscope.session import scratch_path
+    from chirpscope.streaming.incremental import stream_daily_trend
+    target = scratch_path(spark, "stream-trend")
+    stream_daily_trend(_event_stream(spark, sf), target)
+    return spark.read.parquet(target)

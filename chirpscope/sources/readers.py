@@ -12,7 +12,10 @@ from pyspark.sql import types as T
 from chirpscope import schemas as S
 
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"',
-               "encoding": "UTF-8", "mode": "FAILFAST"}
+               "encoding": "UTF-8", "mode": "FAILFAST",
+               # microseconds kept (the default format stops at milliseconds)
+               "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+               "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def read_posts_csv(spark: SparkSession, path: str, schema: T.StructType = S.POSTS) -> DataFrame:
