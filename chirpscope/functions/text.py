@@ -90,7 +90,9 @@ def node_type(c) -> Column:
 def polarity_class(c, threshold: float = C.POLARITY_THRESHOLD) -> Column:
     """Strict thresholds: > t positive, < -t negative, else (incl. null/NaN) neutral (FN13)."""
     p = _col(c)
-    return (F.when(p > F.lit(threshold), F.lit(C.POSITIVE))
+    # Spark orders NaN above every number: test it first so NaN stays neutral
+    return (F.when(F.isnan(p), F.lit(C.NEUTRAL))
+            .when(p > F.lit(threshold), F.lit(C.POSITIVE))
             .when(p < F.lit(-threshold), F.lit(C.NEGATIVE))
             .otherwise(F.lit(C.NEUTRAL)))
 

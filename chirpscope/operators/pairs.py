@@ -78,12 +78,13 @@ def _blocked_pairs(items: DataFrame, hot_items: int, distinct_done: bool = False
     # de-duplicated by (group, item): that shuffle spreads a hot group over all tasks
     d = items if distinct_done else items.dropDuplicates(["_g", "_i"])
     nb = F.greatest(F.ceil(F.col("_n") / F.lit(hot_items)), F.lit(1)).cast("int")
-    d = d.withColumn("_B", nb).withColumn("_b", F.pmod(F.xxhash64("_i"), F.col("_B")).cast("int"))
-    left = d.select("_g", F.col("_b").alias("_bi"),
-                    F.explode(F.sequence(F.col("_b"), F.col("_B") - 1)).alias("_bj"),
+    # (column names are case-insensitive: keep block count and block id distinct)
+    d = d.withColumn("_nblk", nb).withColumn("_blk", F.pmod(F.xxhash64("_i"), F.col("_nblk")).cast("int"))
+    left = d.select("_g", F.col("_blk").alias("_bi"),
+                    F.explode(F.sequence(F.col("_blk"), F.col("_nblk") - 1)).alias("_bj"),
                     F.col("_i").alias("x"))
-    right = d.select("_g", F.explode(F.sequence(F.lit(0), F.col("_b"))).alias("_bi"),
-                     F.col("_b").alias("_bj"), F.col("_i").alias("y"))
+    right = d.select("_g", F.explode(F.sequence(F.lit(0), F.col("_blk"))).alias("_bi"),
+                     F.col("_blk").alias("_bj"), F.col("_i").alias("y"))
     j = left.join(right, ["_g", "_bi", "_bj"])
     j = j.where((F.col("_bi") != F.col("_bj")) | (F.col("x") < F.col("y")))
     return j.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v"))
