@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from chirpscope import constants as C
@@ -105,6 +105,15 @@ def _parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+# rows of round state per partition below which fewer partitions are used
+STATE_ROWS_PER_PART = 200_000
+
+
+def _parts_for(df: DataFrame, rows: int) -> int:
+    """Partitions for per-round state: the session default, fewer for small states."""
+    return max(1, min(_parts(df), -(-rows // STATE_ROWS_PER_PART)))
+
+
 # ---------------------------------------------------------------------------
 # degree (GRF3)
 # ---------------------------------------------------------------------------
@@ -134,23 +143,24 @@ def pagerank(edges: DataFrame, directed: bool, alpha: float = C.PAGERANK_ALPHA,
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
-    n_parts = _parts(edges)
+    edges = edges.checkpoint(eager=True)       # computed once, re-read by every setup step
     a = arcs(edges, directed)
     out_w = a.groupBy("src").agg(F.sum("w").alias("ow")).where(F.col("ow") > 0)
     nodes = (nodes_of(edges, directed)
              .join(out_w.select(F.col("src").alias("node"), F.lit(False).alias("_has_out")), "node", "left")
              .select("node", F.col("_has_out").isNull().alias("dangling")))
-    nodes = nodes.repartition(n_parts, "node").persist(StorageLevel.MEMORY_AND_DISK)
+    nodes = nodes.persist(StorageLevel.MEMORY_AND_DISK)
     n = nodes.count()
     if n == 0:
         nodes.unpersist()
         return spark.createDataFrame([], "node string, pagerank double")
+    n_parts = _parts_for(edges, n)
     ext = (a.join(out_w, "src")
            .select("src", "dst", (F.col("w") / F.col("ow")).alias("wn"), F.lit(False).alias("self"))
            .unionByName(nodes.select(F.col("node").alias("src"), F.col("node").alias("dst"),
                                      F.lit(0.0).alias("wn"), F.lit(True).alias("self")))
            .repartition(n_parts, "src").persist(StorageLevel.MEMORY_AND_DISK))
-    ranks = nodes.select("node", "dangling", F.lit(1.0 / n).alias("x"))
+    ranks = nodes.repartition(n_parts, "node").select("node", "dangling", F.lit(1.0 / n).alias("x"))
     dang = ranks.where("dangling").agg(F.coalesce(F.sum("x"), F.lit(0.0))).first()[0]
     for it in range(1, max_iter + 1):
         base = (alpha * dang + (1.0 - alpha)) / n
@@ -161,11 +171,14 @@ def pagerank(edges: DataFrame, directed: bool, alpha: float = C.PAGERANK_ALPHA,
                     F.max(F.when(F.col("self"), F.col("dangling"))).alias("dangling"))
                .select("node", "dangling", "x_prev",
                        (F.lit(alpha) * F.coalesce(F.col("s"), F.lit(0.0)) + F.lit(base)).alias("x")))
-        # cut the lineage every round: one job computes and writes the state; no
-        # persist/unpersist in the loop (unpersist re-caches every plan built on it)
+        # one job per round: it computes the state, writes it to the checkpoint
+        # folder (lineage cut) and, through ``observe``, returns the L1 change and
+        # the dangling mass.  No persist/unpersist in the loop.
+        obs = Observation(f"pagerank_{it}")
+        new = new.observe(obs, F.sum(F.abs(F.col("x") - F.col("x_prev"))).alias("err"),
+                          F.coalesce(F.sum(F.when(F.col("dangling"), F.col("x"))), F.lit(0.0)).alias("dang"))
         new = new.checkpoint(eager=True)
-        row = new.agg(F.sum(F.abs(F.col("x") - F.col("x_prev"))).alias("err"),
-                      F.coalesce(F.sum(F.when(F.col("dangling"), F.col("x"))), F.lit(0.0)).alias("dang")).first()
+        row = obs.get
         ranks = new.select("node", "dangling", "x")
         dang = row["dang"]
         if row["err"] < n * tol:
@@ -196,6 +209,7 @@ def betweenness(edges: DataFrame, directed: bool, weighted: bool = True,
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
+    edges = edges.checkpoint(eager=True)       # computed once, re-read by every setup step
     a = arcs(edges, directed)
     if not weighted:
         a = a.withColumn("w", F.lit(1.0))

@@ -47,11 +47,13 @@ def lexicon_polarity(df: DataFrame, lexicon: DataFrame, text_col: str = "tweet_t
             pol = F.lit(0.0)
         else:
             m = F.map_from_arrays(F.lit([r["token"] for r in pairs]), F.lit([float(r["score"]) for r in pairs]))
-            hits = F.filter(F.transform(tokens(text_col), lambda t: F.try_element_at(m, t)),
-                            lambda x: x.isNotNull())
-            pol = F.when(F.size(hits) > 0,
-                         F.aggregate(hits, F.lit(0.0), lambda acc, x: acc + x) / F.size(hits)
-                         ).otherwise(F.lit(0.0))
+            # one pass over the tokens: (sum, hits) accumulated, mean in the finish step
+            acc0 = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("c"))
+            pol = F.aggregate(
+                F.transform(tokens(text_col), lambda t: F.try_element_at(m, t)), acc0,
+                lambda acc, v: F.struct((acc["s"] + F.coalesce(v, F.lit(0.0))).alias("s"),
+                                        (acc["c"] + F.when(v.isNull(), 0).otherwise(1)).alias("c")),
+                lambda acc: F.when(acc["c"] > 0, acc["s"] / acc["c"]).otherwise(F.lit(0.0)))
         if digits is not None:
             pol = F.round(pol, digits) + F.lit(0.0)     # + 0.0 turns -0.0 into 0.0
         return df.withColumn(out, pol)
