@@ -36,6 +36,9 @@ def array_pairs(df: DataFrame, group: str, arr: str, inline_max: int = 64,
     """
     t = (df.select(F.col(group).alias("_g"), TX.distinct_sorted(arr).alias("_items"))
          .where(F.size("_items") >= 2))
+    # the three tiers read one compact (group, items) table: the source (e.g. the
+    # regex pass over every text) runs once, not once per tier
+    t = t.checkpoint(eager=True)
     small = (t.where(F.size("_items") <= inline_max)
              .select(F.explode(TX.array_pairs("_items")).alias("_p"))
              .select(F.col("_p.u").alias("u"), F.col("_p.v").alias("v")))

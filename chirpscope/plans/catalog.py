@@ -110,13 +110,22 @@ def q_hashtag_betweenness(spark, sf):
         "node", F.round("betweenness", PR_DIGITS).alias("betweenness"))
 
 
-def _metrics(spark, sf) -> DataFrame:
+def _metrics(spark, sf, mention: bool = True, hashtag: bool = True) -> DataFrame:
+    """Node-metric table; node types are disjoint by prefix ('@'/'user:' only in the
+    mention graph, '#' only in the tag graph), so a top-k over one type family
+    needs only that graph's metrics."""
     p = _posts(spark, sf)
-    me = G.mention_edges(p).persist()
-    he = G.hashtag_edges(p).persist()
-    mm = G.centrality_table(me, True, C.GRAPH_KIND_MENTION)
-    hm = G.centrality_table(he, False, C.GRAPH_KIND_HASHTAG)
-    return G.node_metrics(mm, hm)
+    parts = []
+    if mention:
+        me = G.mention_edges(p).checkpoint(eager=True)
+        parts.append(G.centrality_table(me, True, C.GRAPH_KIND_MENTION).withColumn("node_type", TX.node_type("node")))
+    if hashtag:
+        he = G.hashtag_edges(p).checkpoint(eager=True)
+        parts.append(G.centrality_table(he, False, C.GRAPH_KIND_HASHTAG).withColumn("node_type", TX.node_type("node")))
+    out = parts[0]
+    for q in parts[1:]:
+        out = out.unionByName(q)
+    return out
 
 
 @query("node_metrics", O.with_posts(
@@ -135,7 +144,7 @@ _TOP_SQL = ("SELECT node, degree, round(pagerank, {d}) AS pagerank, round(betwee
 @query("top_accounts", O.with_posts(
     _TOP_SQL.format(d=PR_DIGITS, extra=", node_type", types="'user', 'user_id'", k=C.TOP_K), O.metrics_ctes()))
 def q_top_accounts(spark, sf):
-    t = G.top_nodes(_metrics(spark, sf), [C.NODE_TYPE_USER, C.NODE_TYPE_USER_ID], with_type=True)
+    t = G.top_nodes(_metrics(spark, sf, hashtag=False), [C.NODE_TYPE_USER, C.NODE_TYPE_USER_ID], with_type=True)
     return t.select("node", "degree", F.round("pagerank", PR_DIGITS).alias("pagerank"),
                     F.round("betweenness", PR_DIGITS).alias("betweenness"), "node_type")
 
@@ -143,7 +152,7 @@ def q_top_accounts(spark, sf):
 @query("top_hashtags", O.with_posts(
     _TOP_SQL.format(d=PR_DIGITS, extra="", types="'hashtag'", k=C.TOP_K), O.metrics_ctes()))
 def q_top_hashtags(spark, sf):
-    t = G.top_nodes(_metrics(spark, sf), [C.NODE_TYPE_HASHTAG], with_type=False)
+    t = G.top_nodes(_metrics(spark, sf, mention=False), [C.NODE_TYPE_HASHTAG], with_type=False)
     return t.select("node", "degree", F.round("pagerank", PR_DIGITS).alias("pagerank"),
                     F.round("betweenness", PR_DIGITS).alias("betweenness"))
 
