@@ -248,11 +248,24 @@ def _cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_obs_seq = [0]
+
+
+def _cut_count(df: DataFrame, cond=None) -> tuple[DataFrame, int]:
+    """``_cut`` plus the number of rows (matching ``cond``), observed in the same job."""
+    _obs_seq[0] += 1
+    obs = Observation(f"rows_{_obs_seq[0]}")
+    c = F.count(F.lit(1)) if cond is None else F.count_if(cond)
+    out = df.observe(obs, c.alias("n")).checkpoint(eager=True)
+    return out, int(obs.get["n"])
+
+
 def _dependencies(a: DataFrame, pivots: DataFrame) -> DataFrame:
     """δ_s(v) for the pivots s of one block: ``(s, v, delta)`` with v ≠ s."""
     # (a) distances: Bellman-Ford on the frontier; state (s, v, d, improved) is cut each round
-    state = _cut(pivots.select("s", F.col("s").alias("v"), F.lit(0.0).alias("d"), F.lit(True).alias("imp")))
-    while state.where("imp").limit(1).count() > 0:
+    state, n_imp = _cut_count(
+        pivots.select("s", F.col("s").alias("v"), F.lit(0.0).alias("d"), F.lit(True).alias("imp")), F.col("imp"))
+    while n_imp > 0:
         cand = (state.where("imp").drop("imp").join(a.withColumnRenamed("src", "v"), "v")
                 .select("s", F.col("dst").alias("v"), F.lit(None).cast("double").alias("d_old"),
                         (F.col("d") + F.col("w")).alias("cand")))
@@ -260,8 +273,9 @@ def _dependencies(a: DataFrame, pivots: DataFrame) -> DataFrame:
         g = (both.unionByName(cand).groupBy("s", "v")
              .agg(F.min("d_old").alias("d_old"), F.min("cand").alias("cand")))
         imp = F.col("cand").isNotNull() & (F.col("d_old").isNull() | (F.col("cand") < F.col("d_old")))
-        state = _cut(g.select("s", "v", F.when(imp, F.col("cand")).otherwise(F.col("d_old")).alias("d"),
-                              imp.alias("imp")))
+        state, n_imp = _cut_count(
+            g.select("s", "v", F.when(imp, F.col("cand")).otherwise(F.col("d_old")).alias("d"),
+                     imp.alias("imp")), F.col("imp"))
     dist = state.select("s", "v", "d")
     # (b) shortest-path DAG arcs per pivot
     du = dist.select("s", F.col("v").alias("src"), F.col("d").alias("du"))
@@ -276,9 +290,9 @@ def _dependencies(a: DataFrame, pivots: DataFrame) -> DataFrame:
     while True:
         x = (x.join(dag.withColumnRenamed("src", "v"), ["s", "v"])
              .groupBy("s", F.col("dst").alias("v")).agg(F.sum("x").alias("x")))
-        x = _cut(x)
+        x, nx = _cut_count(x)
         i += 1
-        if x.limit(1).count() == 0:
+        if nx == 0:
             break
         parts.append(x)
     sigma = parts[0]
@@ -298,9 +312,9 @@ def _dependencies(a: DataFrame, pivots: DataFrame) -> DataFrame:
     while True:
         y = (amat.join(y.withColumnRenamed("v", "dst"), ["s", "dst"])
              .groupBy("s", F.col("src").alias("v")).agg(F.sum(F.col("c") * F.col("y")).alias("y")))
-        y = _cut(y)
+        y, ny = _cut_count(y)
         i += 1
-        if y.limit(1).count() == 0:
+        if ny == 0:
             break
         acc.append(y)
     if not acc:
