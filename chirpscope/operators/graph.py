@@ -364,7 +364,9 @@ def top_nodes(metrics: DataFrame, types: Iterable[str], k: int = C.TOP_K,
     types = list(types)
     m = metrics.where(F.col("node_type").isin(types))
     cols = ["node", "degree", "pagerank", "betweenness"] + (["node_type"] if with_type else [])
-    return (m.orderBy(F.round("pagerank", 12).desc(), F.col("degree").desc(), F.col("first_seen").asc())
+    # a saved metrics table (SRT8) has no first_seen: ties then go by node name
+    tie = F.col("first_seen").asc() if "first_seen" in m.columns else F.col("node").asc()
+    return (m.orderBy(F.round("pagerank", 12).desc(), F.col("degree").desc(), tie)
             .limit(k).select(*cols))
 
 

@@ -164,3 +164,19 @@ def test_csv_multiline_roundtrip_and_sinks(spark):
 def test_search_parse():
     q = I.parse_search("fed rate cut lang:en -is:retweet")
     assert q == {"terms": ["fed", "rate", "cut"], "lang": "en", "no_reposts": True}
+
+
+def test_network_exports_and_metrics_reread(spark):
+    from chirpscope.operators import graph as G
+    me = spark.createDataFrame([("user:1", "@a", 2)], "source string, target string, weight long")
+    he = spark.createDataFrame([], "node_u string, node_v string, weight long")
+    nodes = spark.createDataFrame([("@a", 1, 0.0, 0.5, "mention", "user")], S.NODE_METRICS)
+    base = scratch_path(spark, "net")
+    paths = {k: f"{base}/{k}" for k in
+             ("mention_edges", "hashtag_edges", "nodes_metrics", "top_accounts", "top_hashtags")}
+    top = G.top_nodes(nodes, ["user", "user_id"])
+    W.export_network(paths, me, he, nodes, top, top.drop("node_type"))
+    assert not os.path.exists(paths["hashtag_edges"])          # empty edge table not written
+    back = RD.read_node_metrics_csv(spark, paths["nodes_metrics"]).collect()
+    assert back == nodes.collect()
+    assert len([f for f in os.listdir(paths["top_accounts"]) if f.endswith(".csv")]) == 1
