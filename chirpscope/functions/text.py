@@ -131,12 +131,14 @@ def split_sentences(c) -> Column:
 
 def distinct_ci(arr) -> Column:
     """Keep the first of each case-insensitive duplicate, order kept (SET5)."""
-    a = _col(arr)
-    # bind the lowered copy once through an outer lambda variable: an outer
-    # expression inside the inner lambda would be re-evaluated for every element
-    packed = F.array(F.struct(a.alias("a"), F.transform(a, lambda s: F.lower(s)).alias("l")))
-    return F.element_at(F.transform(packed, lambda p: F.filter(
-        p["a"], lambda s, i: F.array_position(p["l"], F.lower(s)) == i + 1)), 1)
+    # bind the array and its lowered copy once each through outer lambda variables:
+    # an outer expression inside the inner lambda would be re-evaluated per element
+    def dedupe(a):
+        return F.element_at(F.transform(
+            F.array(F.transform(a, lambda s: F.lower(s))),
+            lambda low: F.filter(a, lambda s, i: F.array_position(low, F.lower(s)) == i + 1)), 1)
+
+    return F.element_at(F.transform(F.array(_col(arr)), dedupe), 1)
 
 
 def clean_summary(c) -> Column:
