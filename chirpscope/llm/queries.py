@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chirpscope.llm import chat_format, decontaminate, mixing, token_output
+from chirpscope.llm import chat_format, decontaminate, minhash_dedup, mixing, quality, token_output
 from chirpscope.llm import common as U
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,40 @@ def op10(spark, sf):
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(_HOSTILE).alias("text"))
     rows = rows.unionByName(hostile).withColumn("parts", chat_format.text_part(F.col("text")))
     return chat_format.digest(chat_format.format_chats(rows))
+
+
+@query("op3_quality")
+def op3(spark, sf):
+    return quality.quality_scores(U.read(spark, sf, "documents", "doc_id", "text"),
+                                  U.read(spark, sf, "labels", "doc_id", "quality"))
+
+
+def _component_sql(links: str) -> str:
+    """Recursive tail: the smallest node that can be reached over ``links`` (a, b)."""
+    return f"""
+l2 AS (SELECT a, b FROM {links} UNION SELECT b, a FROM {links}),
+reach(a, b) AS (SELECT DISTINCT a, a FROM l2 UNION SELECT r.a, l2.b FROM reach r JOIN l2 ON r.b = l2.a),
+root AS (SELECT a, min(b) AS root FROM reach GROUP BY a)"""
+
+
+def near_sql(words: int, percent: int) -> str:
+    """Common table expressions: s (doc_id, n, shingles) and l (a, b), the linked documents."""
+    part = " || ' ' || ".join(f"w[i + {k}]" for k in range(words))
+    return f"""
+w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {words} THEN [array_to_string(w, ' ')]
+      ELSE list_distinct([{part} for i in range(1, len(w) - {words - 2})]) END AS sh FROM w),
+u AS (SELECT sh, min(doc_id) AS rep, len(sh) AS n FROM (SELECT doc_id, list_sort(sh) AS sh FROM s WHERE len(sh) > 0) GROUP BY sh),
+x AS (SELECT rep, n, unnest(sh) AS t FROM u),
+l AS (SELECT p.rep AS a, q.rep AS b FROM x p JOIN x q ON p.t = q.t AND p.rep < q.rep
+      AND 100 * least(p.n, q.n) >= {percent} * greatest(p.n, q.n)
+      GROUP BY p.rep, q.rep, p.n, q.n HAVING 100 * count(*) >= {percent} * (p.n + q.n - count(*)))""".replace("\\\\", "\\")
+
+
+@query("op8_minhash_dedup", "WITH RECURSIVE" + near_sql(2, 80) + "," + _component_sql("l") + """
+SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, coalesce(root.root, u.rep, s.doc_id) AS component_id,
+       s.doc_id = coalesce(root.root, u.rep, s.doc_id) AS kept
+FROM s LEFT JOIN u ON list_sort(s.sh) = u.sh LEFT JOIN root ON root.a = u.rep""")
+def op8(spark, sf):
+    return minhash_dedup.near_duplicates(U.read(spark, sf, "documents", "doc_id", "text"), size=2, percent=80)
