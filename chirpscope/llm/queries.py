@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chirpscope.llm import chat_format, decontaminate, minhash_dedup, mixing, quality, token_output
+from chirpscope.llm import chat_format, decontaminate, embedding_dedup, minhash_dedup, mixing, quality, token_output
 from chirpscope.llm import common as U
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +121,19 @@ SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, coalesce(root.root, u.
 FROM s LEFT JOIN u ON list_sort(s.sh) = u.sh LEFT JOIN root ON root.a = u.rep""")
 def op8(spark, sf):
     return minhash_dedup.near_duplicates(U.read(spark, sf, "documents", "doc_id", "text"), size=2, percent=80)
+
+
+@query("op9_embedding_dedup", r"""
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_sum([x * x for x in CAST(embedding AS DOUBLE[])]) > 0),
+l AS (SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q ON p.label = q.label AND p.vec_id <> q.vec_id AND len(p.e) = len(q.e)
+      WHERE list_cosine_similarity(p.e, q.e) >= 0.93),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a),
+reach(a, b) AS (SELECT DISTINCT a, a FROM l UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a),
+root AS (SELECT a, min(b) AS root FROM reach GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, coalesce(root.root, e.vec_id) AS component_id,
+       e.vec_id = coalesce(root.root, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN root ON root.a = e.vec_id""")
+def op9(spark, sf):
+    return embedding_dedup.embedding_links(U.read(spark, sf, "embeddings", "vec_id", "embedding", "label"))
