@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chirpscope.llm import chat_format, decontaminate, embedding_dedup, minhash_dedup, mixing, quality, token_output
+from chirpscope.llm import chat_format, decontaminate, embedding_dedup, minhash_dedup, mixing, quality, suffix_dedup, token_output
 from chirpscope.llm import common as U
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +137,8 @@ SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, coalesce(root.root
 FROM embeddings e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN root ON root.a = e.vec_id""")
 def op9(spark, sf):
     return embedding_dedup.embedding_links(U.read(spark, sf, "embeddings", "vec_id", "embedding", "label"))
+
+
+@query("op7_suffix_dedup")
+def op7(spark, sf):
+    return suffix_dedup.remove_repeats(U.read(spark, sf, "documents", "doc_id", "text"))
