@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chirpscope.llm import chat_format, decontaminate, embedding_dedup, minhash_dedup, mixing, quality, suffix_dedup, token_output
+from chirpscope.llm import chat_format, decontaminate, embedding_dedup, language_crf, minhash_dedup, mixing, quality, suffix_dedup, token_output
 from chirpscope.llm import common as U
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,8 @@ def op9(spark, sf):
 @query("op7_suffix_dedup")
 def op7(spark, sf):
     return suffix_dedup.remove_repeats(U.read(spark, sf, "documents", "doc_id", "text"))
+
+
+@query("op1_language_crf")
+def op1(spark, sf):
+    return language_crf.language_ids(U.read(spark, sf, "documents", "doc_id", "text", "lang"))
