@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chirpscope.llm import chat_format, decontaminate, embedding_dedup, language_crf, minhash_dedup, mixing, quality, suffix_dedup, token_output
+import corpus_pipeline
+from chirpscope.llm import chat_format, decontaminate, embedding_dedup, language_crf, license_scan, minhash_dedup, mixing, quality, suffix_dedup, token_output
 from chirpscope.llm import common as U
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,12 +24,6 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-def byte_bpe() -> str:
-    """The public byte-level BPE vocabulary file."""
-    import public_tokenizers
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 @query("op4_decontamination", """
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                   '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w, row_number() OVER () AS r FROM documents),
@@ -54,7 +49,7 @@ def op4(spark, sf):
 
 @query("op5_token_output")
 def op5(spark, sf):
-    return token_output.token_output(U.read(spark, sf, "documents", "doc_id", "text"), byte_bpe())
+    return token_output.token_output(U.read(spark, sf, "documents", "doc_id", "text"), token_output.byte_bpe())
 
 
 @query("op6_mixing")
@@ -147,3 +142,13 @@ def op7(spark, sf):
 @query("op1_language_crf")
 def op1(spark, sf):
     return language_crf.language_ids(U.read(spark, sf, "documents", "doc_id", "text", "lang"))
+
+
+@query("op2_license_scan", license_scan.oracle_sql())
+def op2(spark, sf):
+    return license_scan.license_table(U.read(spark, sf, "documents", "doc_id", "text"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf):
+    return corpus_pipeline.run(spark, sf)

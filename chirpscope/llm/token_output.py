@@ -7,11 +7,12 @@ Documents are range-partitioned and sorted by id; each task tokenises its run an
     u8 id-is-null and i64 id of each document | u64 ids of each document
     u64 start of each block in the payload (the index), plus its end
     payload, per block: u32 minimum, u8 width, u16 exceptions | packed low bits
-                        | u16 exception positions | u32 exception values
+                        | u8 exception positions | u32 exception values
 
-A block subtracts its minimum and packs at the width that holds ``percentile`` of the
-differences; larger ones are exceptions, stored whole in a list that patches the block.  The
-index gives random access: ``read_range`` decodes only the blocks that it needs.
+A block subtracts its minimum and packs at the width that holds a percentile of the differences
+(of ``PERCENTILES`` the one that makes the block smallest); larger ones are exceptions, stored
+whole in a list that patches the block.  The index gives random access: ``read_range`` decodes
+only the blocks that it needs.
 
 Segments travel as rows of a Parquet table, so Spark's commit protocol makes a lost or repeated
 task harmless and any file system that Spark can write will do.
@@ -37,16 +38,26 @@ from chirpscope.llm import common as U
 from chirpscope.session import scratch_path
 
 BLOCK = 128
-PERCENTILE = 0.9
+PERCENTILES = (0.75, 0.95, 1.0)
 #: Known pieces kept in a worker before the cache starts anew; bounds memory, never changes ids.
 CACHE_PIECES = 1_500_000
+#: Bytes of text that make a segment.
+SEGMENT_BYTES = 8 << 20
 MAGIC = b"PFR1"
 SEGMENTS = "part int, seq int, start long, n_docs long, n_tokens long, file binary"
 
+
+
+def byte_bpe() -> str:
+    """The public byte-level BPE vocabulary file."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 # --- PFOR ----------------------------------------------------------------------------
 
 
-def pack(ids: np.ndarray, block: int = BLOCK, percentile: float = PERCENTILE) -> tuple[bytes, np.ndarray]:
+def pack(ids: np.ndarray, block: int = BLOCK, percentiles: tuple[float, ...] = PERCENTILES) -> tuple[bytes, np.ndarray]:
     """Payload and block starts (with the end)."""
     n = len(ids)
     blocks = -(-n // block)
@@ -57,12 +68,14 @@ def pack(ids: np.ndarray, block: int = BLOCK, percentile: float = PERCENTILE) ->
     v = v.reshape(blocks, block)
     low = v.min(axis=1)
     d = v - low[:, None]
-    at = min(block - 1, int(np.ceil(percentile * block)) - 1)
-    width = np.ceil(np.log2(np.partition(d, at, axis=1)[:, at] + 1)).astype(np.int64)
+    at = [max(0, int(np.ceil(p * block)) - 1) for p in percentiles]
+    widths = np.ceil(np.log2(np.partition(d, at, axis=1)[:, at] + 1)).astype(np.int64)
+    cost = np.stack([w * block // 8 + 5 * (d >> w[:, None] > 0).sum(axis=1) for w in widths.T], axis=1)
+    width = widths[np.arange(blocks), cost.argmin(axis=1)]
     out = d >> width[:, None] > 0
     n_exc = out.sum(axis=1)
     body = width * block // 8 + (width * block % 8 > 0)
-    size = 7 + body + 6 * n_exc
+    size = 7 + body + 5 * n_exc
     starts = np.zeros(blocks + 1, np.uint64)
     starts[1:] = np.cumsum(size)
     payload = np.zeros(int(starts[-1]), np.uint8)
@@ -80,8 +93,8 @@ def pack(ids: np.ndarray, block: int = BLOCK, percentile: float = PERCENTILE) ->
     row, col = np.nonzero(out)
     nth = np.arange(len(row)) - np.repeat(np.cumsum(n_exc) - n_exc, n_exc)
     base = s[row] + 7 + body[row]
-    payload[(base + 2 * nth)[:, None] + np.arange(2)] = col.astype("<u2").view(np.uint8).reshape(-1, 2)
-    payload[(base + 2 * n_exc[row] + 4 * nth)[:, None] + np.arange(4)] = \
+    payload[base + nth] = col
+    payload[(base + n_exc[row] + 4 * nth)[:, None] + np.arange(4)] = \
         d[row, col].astype("<u4").view(np.uint8).reshape(-1, 4)
     return payload.tobytes(), starts
 
@@ -107,8 +120,8 @@ def unpack(payload: np.ndarray, starts: np.ndarray, n: int, block: int = BLOCK)
     row = np.repeat(np.arange(len(s)), n_exc)
     nth = np.arange(len(row)) - np.repeat(np.cumsum(n_exc) - n_exc, n_exc)
     base = s[row] + 7 + body[row]
-    col = payload[(base + 2 * nth)[:, None] + np.arange(2)].view("<u2")[:, 0]
-    d[row, col] = payload[(base + 2 * n_exc[row] + 4 * nth)[:, None] + np.arange(4)].view("<u4")[:, 0]
+    col = payload[base + nth]
+    d[row, col] = payload[(base + n_exc[row] + 4 * nth)[:, None] + np.arange(4)].view("<u4")[:, 0]
     return (d + low[:, None]).reshape(-1)[:n]
 
 
@@ -207,14 +220,14 @@ class Encoder:
             (plain if fine else odd).append(k)
         for j in range(0, len(plain), 512):
             g = plain[j:j + 512]
-            ids = np.array(self.tok.encode(b"\n".join(pieces[k] for k in g).decode(), add_special_tokens=False).ids, np.int32)
+            ids = np.array(self.tok.encode_batch_fast([b"\n".join(pieces[k] for k in g).decode()], add_special_tokens=False)[0].ids, np.int32)
             sep = np.flatnonzero(ids == self.newline[0])
             if len(self.newline) != 1 or len(sep) != len(g) - 1:
                 odd += g
                 continue
             for k, a, b in zip(g, [0, *(sep + 1)], [*sep, len(ids)]):
                 out[k] = ids[a:b]
-        for k, e in zip(odd, self.tok.encode_batch([pieces[k].decode() for k in odd], add_special_tokens=False)):
+        for k, e in zip(odd, self.tok.encode_batch_fast([pieces[k].decode() for k in odd], add_special_tokens=False)):
             out[k] = np.array(e.ids, np.int32)
         return out
 
@@ -228,18 +241,16 @@ class Encoder:
         distinct = coded.dictionary.cast(pa.binary()) if len(coded.dictionary) else pa.array([], pa.binary())
         if len(self.known) > CACHE_PIECES:
             self._clear()
-        place = pc.index_in(distinct, value_set=self.known)
-        new = distinct.filter(pc.is_null(place))
-        if len(new):
+        place = pc.fill_null(pc.index_in(distinct, value_set=self.known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        fresh = place < 0
+        if fresh.any():
+            new = distinct.filter(pa.array(fresh))
+            place[fresh] = len(self.known) + np.arange(len(new))
             got = self._encode(new.to_pylist())
             self.known = pa.concat_arrays([self.known, new])
             self.lens = np.concatenate([self.lens, np.array([len(g) for g in got], np.int64)])
             self.pool = np.concatenate([self.pool, *got])
-            place = pc.index_in(distinct, value_set=self.known)
-        if len(at) > 1:
-            code = place.to_numpy(zero_copy_only=False).astype(np.int64)[coded.indices.to_numpy()] + 1
-        else:
-            code = np.zeros(0, np.int64)
+        code = place[coded.indices.to_numpy()] + 1 if len(at) > 1 else np.zeros(0, np.int64)
         ends = np.searchsorted(at[:-1], off[1:])              # pieces before the end of each text
         code = np.insert(code, ends, 0)
         begin = np.cumsum(self.lens) - self.lens
@@ -265,7 +276,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder(tokenizer, end_id)
         part, start = TaskContext.get().partitionId(), 0
-        for seq, b in enumerate(U.bulk(batches, "text")):
+        for seq, b in enumerate(U.bulk(batches, "text", SEGMENT_BYTES)):
             ids, counts = encode(b.column("text"))
             yield pa.RecordBatch.from_pydict({
                 "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "start": [start],
