@@ -12,7 +12,8 @@ A pair that shares several caps is counted in the first of them only, so a group
 counts and a spanning forest of its links instead of pairs, and a cluster of any size costs no
 quadratic output.  Groups over ``BLOCK`` rows are cut into blocks, each pair of blocks a group.
 
-At cosine 0.93 two vectors miss each other with a probability of about exp(-FILTERS / 2).
+At cosine 0.93 two vectors of 64 dimensions shared a cap in at least 99.5 % of trials for any
+number of nodes up to 10**8 (tests); closer ones practically always do.
 
 Cases: a vector that is null, zero or holds nulls or non-finite numbers, or whose label is null,
 links with nothing; equal vectors of a label are one node with a count; vectors of different
@@ -33,8 +34,8 @@ from chirpscope.llm import common as U
 from chirpscope.llm.components import components
 
 COSINE = 0.93
-FILTERS = 28
-AT_LEAST = 14
+FILTERS = 48
+AT_LEAST = 32
 PER_FILTER = 12
 WORDS = (16, 4096)
 BLOCK = 1024
