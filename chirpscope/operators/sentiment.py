@@ -1,5 +1,5 @@
 """Sentiment: lexicon polarity (a join, or an in-row lookup for tiny lexicons),
-three-class labels, incremental scoring, and a pluggable batch model.
+three-class labels, incremental scoring, a naive Bayes scorer and a plug-in model.
 
 Polarity = mean lexicon score over all token hits of the text; no hit → 0.
 Tokens are ``[a-z]+`` runs of the lower-cased text.
@@ -7,7 +7,8 @@ Tokens are ``[a-z]+`` runs of the lower-cased text.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -20,52 +21,67 @@ from chirpscope.functions import text as TX
 TOKEN_PATTERN = "[a-z]+"
 # a lexicon up to this many entries is applied in-row (map lookup is a linear scan)
 INLINE_LEXICON_MAX = 64
-# a lexicon up to this many entries is broadcast to the token join
-BROADCAST_LEXICON_MAX = 2_000_000
 
 
 def tokens(c) -> Column:
     return F.regexp_extract_all(F.lower(TX.text_or_empty(c)), F.lit(TOKEN_PATTERN), 0)
 
 
+def clean_lexicon(lexicon: DataFrame) -> DataFrame:
+    """One score per token: null tokens and scores are left out, a repeated token has its mean."""
+    return (lexicon.select(F.col("token").cast("string").alias("token"), F.col("score").cast("double").alias("score"))
+            .where(F.col("token").isNotNull() & F.col("score").isNotNull())
+            .groupBy("token").agg(F.avg("score").alias("score")))
+
+
+def row_key(id_col: str, text_col: str) -> Column:
+    """A key of (id, text): rows with equal keys have equal scores, null ids and texts included."""
+    return F.sha2(F.concat_ws("\u0000", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), TX.text_or_empty(text_col)), 256)
+
+
 def lexicon_polarity(df: DataFrame, lexicon: DataFrame, text_col: str = "tweet_text",
                      id_col: str = "tweet_id", out: str = "polarity", digits: int | None = 6) -> DataFrame:
     """Add ``out`` = mean score of the text's lexicon hits (0 when none) (NLP1, JN6, AGG12).
 
+    Two plans, one result; each row's value depends on its own text only:
     * tiny lexicon (≤ INLINE_LEXICON_MAX, counted): an in-row map lookup — no
       explode, no shuffle, the text never leaves its task;
-    * otherwise: tokens exploded → hash join with the lexicon (broadcast when its
-      counted size is ≤ BROADCAST_LEXICON_MAX, else a shuffle join that AQE splits
-      on hot tokens) → per-post partial aggregation → left join back on the id.
+    * otherwise: distinct (key, token) counts → join with the lexicon (Spark picks a
+      broadcast by the table's size; AQE splits hot tokens) → aggregation per key →
+      left join back on the key of (id, text).
     """
-    lex = lexicon.select(F.col("token").cast("string").alias("token"),
-                         F.col("score").cast("double").alias("score")).dropDuplicates(["token"])
-    n = lex.count()
-    if n <= INLINE_LEXICON_MAX:
-        pairs = lex.collect()                       # ≤ INLINE_LEXICON_MAX rows, counted above
+    lex = clean_lexicon(lexicon)
+    pairs = lex.limit(INLINE_LEXICON_MAX + 1).collect()          # bounded
+    if len(pairs) <= INLINE_LEXICON_MAX:
         if not pairs:
             pol = F.lit(0.0)
         else:
             m = F.map_from_arrays(F.lit([r["token"] for r in pairs]), F.lit([float(r["score"]) for r in pairs]))
-            # one pass over the tokens: (sum, hits) accumulated, mean in the finish step
             acc0 = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("c"))
-            pol = F.aggregate(
-                F.transform(tokens(text_col), lambda t: F.try_element_at(m, t)), acc0,
-                lambda acc, v: F.struct((acc["s"] + F.coalesce(v, F.lit(0.0))).alias("s"),
-                                        (acc["c"] + F.when(v.isNull(), 0).otherwise(1)).alias("c")),
-                lambda acc: F.when(acc["c"] > 0, acc["s"] / acc["c"]).otherwise(F.lit(0.0)))
+
+            def step(acc, t):
+                v = F.try_element_at(m, t)
+                return F.struct((acc["s"] + F.coalesce(v, F.lit(0.0))).alias("s"),
+                                (acc["c"] + F.when(v.isNull(), 0).otherwise(1)).alias("c"))
+
+            pol = F.aggregate(tokens(text_col), acc0, step, lambda acc: F.when(
+                acc["c"] > 0, acc["s"] / acc["c"]).otherwise(F.lit(0.0)))
         if digits is not None:
             pol = F.round(pol, digits) + F.lit(0.0)     # + 0.0 turns -0.0 into 0.0
         return df.withColumn(out, pol)
-    lex_side = F.broadcast(lex) if n <= BROADCAST_LEXICON_MAX else lex
-    toks = df.select(F.col(id_col).alias("_id"), F.explode(tokens(text_col)).alias("token"))
-    scores = (toks.join(lex_side, "token")
-              .groupBy("_id").agg(F.avg("score").alias("_pol")))
+    keyed = df.withColumn("_key", row_key(id_col, text_col))
+    hits = token_counts(keyed, text_col).join(lex, "token")
+    scores = hits.groupBy("_key").agg((F.sum(F.col("score") * F.col("_n")) / F.sum("_n")).alias("_pol"))
     pol = F.coalesce(F.col("_pol"), F.lit(0.0))
     if digits is not None:
         pol = F.round(pol, digits) + F.lit(0.0)
-    return (df.join(scores.withColumnRenamed("_id", id_col), id_col, "left")
-            .withColumn(out, pol).drop("_pol"))
+    return keyed.join(scores, "_key", "left").withColumn(out, pol).drop("_pol", "_key")
+
+
+def token_counts(keyed: DataFrame, text_col: str) -> DataFrame:
+    """(_key, token, _n): tokens of all rows of a key together (equal rows count each time)."""
+    return (keyed.select("_key", F.explode(tokens(text_col)).alias("token"))
+            .groupBy("_key", "token").agg(F.count(F.lit(1)).alias("_n")))
 
 
 def score_lexicon(df: DataFrame, lexicon: DataFrame, text_col: str = "tweet_text",
@@ -83,42 +99,79 @@ def incremental_scoring(posts: DataFrame, scored_keys: DataFrame | None, lexicon
 
 
 # ---------------------------------------------------------------------------
-# batch model scoring (NLP4): a caller-supplied model, loaded once per partition
+# naive Bayes scoring (NLP4), fitted and applied with aggregations and joins
 # ---------------------------------------------------------------------------
 
-Predict = Callable[[list[str]], list[tuple[str, float]]]
-
-
-class LengthModel:
-    """Deterministic offline stand-in for a sentiment model: the label cycles with
-    the text length, the score is the length over the limit.  Empty text fails,
-    exercising the error path."""
-
-    LABELS = (C.NEGATIVE, C.NEUTRAL, C.POSITIVE)
+@dataclass
+class NaiveBayes:
+    """``tokens``: token and its log-probability in each class (columns lp0, lp1, …);
+    ``prior`` and ``unseen``: log-probabilities of each class and of a token it never held."""
+
+    classes: list[str]
+    tokens: DataFrame
+    prior: list[float]
+    unseen: list[float]
+
+
+def fit_naive_bayes(labelled: DataFrame, text_col: str = "text", label_col: str = "label",
+                    max_fit_rows: int | None = None) -> NaiveBayes:
+    """Multinomial naive Bayes with add-one smoothing over whole texts.  ``max_fit_rows`` (off by
+    default) bounds the labelled rows, drawn by hash.  Only the classes' totals reach the driver."""
+    import math
+    rows = labelled.select(F.col(label_col).alias("label"), tokens(text_col).alias("t")).where("label is not null")
+    if max_fit_rows is not None:
+        rows = rows.orderBy(F.xxhash64("label", "t")).limit(max_fit_rows)
+    counts = rows.select("label", F.explode("t").alias("token")).groupBy("label", "token").agg(F.count(F.lit(1)).alias("n"))
+    docs = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sums = {r["label"]: r["n"] for r in counts.groupBy("label").agg(F.sum("n").alias("n")).collect()}
+    words = counts.select("token").distinct().count()
+    classes = sorted(docs)
+    total = [sums.get(c, 0) + words for c in classes]
+    lp = [F.log((F.sum(F.when(F.col("label") == c, F.col("n")).otherwise(0)) + 1) / F.lit(float(max(n, 1)))).alias(f"lp{k}")
+          for k, (c, n) in enumerate(zip(classes, total))]
+    table = counts.groupBy("token").agg(*lp) if classes else counts.select("token")
+    return NaiveBayes(classes, table, [math.log(docs[c] / sum(docs.values())) for c in classes],
+                      [math.log(1.0 / max(n, 1)) for n in total])
+
+
+def score_naive_bayes(df: DataFrame, model: NaiveBayes, text_col: str = "tweet_text", id_col: str = "tweet_id",
+                      digits: int = 6) -> DataFrame:
+    """Add ``label`` (most probable class, ties by name) and ``score`` (its probability) from the
+    whole text; without any class both are null."""
+    if not model.classes:
+        return df.withColumn("label", F.lit(None).cast("string")).withColumn("score", F.lit(None).cast("double"))
+    k = range(len(model.classes))
+    keyed = df.withColumn("_key", row_key(id_col, text_col))
+    part = (token_counts(keyed, text_col).join(model.tokens, "token", "left").groupBy("_key")
+            .agg(*[F.sum(F.col("_n") * F.coalesce(f"lp{i}", F.lit(model.unseen[i]))).alias(f"_s{i}") for i in k]))
+    times = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_r"))     # equal rows share a key
+    out = keyed.join(part.join(times, "_key"), "_key", "left")
+    for i in k:
+        out = out.withColumn(f"_s{i}", F.coalesce(F.col(f"_s{i}") / F.col("_r"), F.lit(0.0)) + F.lit(model.prior[i]))
+    top = F.array_max(F.array(*[F.col(f"_s{i}") for i in k]))
+    out = out.withColumn("_m", top)
+    label = F.coalesce(*[F.when(F.col(f"_s{i}") == F.col("_m"), F.lit(model.classes[i])) for i in k])
+    share = F.lit(1.0) / sum((F.exp(F.col(f"_s{i}") - F.col("_m")) for i in k), F.lit(0.0))
+    return (out.withColumn("label", label).withColumn("score", F.round(share, digits))
+            .drop("_key", "_m", "_r", *[f"_s{i}" for i in k]))
 
-    def __call__(self, texts: list[str]) -> list[tuple[str, float]]:
-        out = []
-        for t in texts:
-            if not t:
-                raise ValueError("empty text")
-            n = len(t)
-            out.append((self.LABELS[n % 3], min(n, C.MODEL_MAX_CHARS) / C.MODEL_MAX_CHARS))
-        return out
 
+# ---------------------------------------------------------------------------
+# plug-in model: a caller's function, loaded once per partition
+# ---------------------------------------------------------------------------
 
-def _default_loader() -> Predict:
-    return LengthModel()
+Predict = Callable[[list[str]], list[tuple[str, float]]]
 
 
-def score_model(df: DataFrame, load: Callable[[], Predict] = _default_loader,
-                text_col: str = "tweet_text", max_chars: int = C.MODEL_MAX_CHARS) -> DataFrame:
-    """Add ``label`` / ``score`` from a model (NLP4, FN8, FN9).
+def score_model(df: DataFrame, load: Callable[[], Predict], text_col: str = "tweet_text",
+                max_chars: int | None = None) -> DataFrame:
+    """Add ``label`` / ``score`` from a caller's model over whole texts (NLP4, FN9).
 
-    Text is cut to ``max_chars`` code points in the JVM; ``mapInPandas`` hands
-    Arrow batches to the model, loaded once per partition.  A failing batch is
-    retried row by row; a failing row gets label ``ERROR`` and a null score.
-    """
-    cut = df.withColumn("_text", TX.truncate_chars(text_col, max_chars))
+    ``mapInPandas`` hands Arrow batches to the model, loaded once per partition.  A failing batch
+    is retried row by row; a failing row gets label ``ERROR`` and a null score.  ``max_chars``
+    cuts the texts for models that ask for it (FN8)."""
+    text = TX.text_or_empty(text_col) if max_chars is None else TX.truncate_chars(text_col, max_chars)
+    cut = df.withColumn("_text", text)
     schema = T.StructType(cut.schema.fields + [T.StructField("label", T.StringType(), True),
                                                 T.StructField("score", T.DoubleType(), True)])
 
@@ -156,7 +209,3 @@ def class_from_labels(quality: str = "quality", toxic: str = "toxic") -> Column:
     return (F.when(F.col(quality) == 1, F.lit(C.POSITIVE))
             .when(F.col(toxic) == 1, F.lit(C.NEGATIVE))
             .otherwise(F.lit(C.NEUTRAL)))
-
-
-def columns_like(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return df.select(*[F.col(n) for n in names])

@@ -1,14 +1,17 @@
 """Text preparation for map/reduce summarisation: newest-k, cleaning, keep-first
-de-duplication, ordinal numbering, chunks of 15, prompts, a pluggable map step and
-a reduce step.
+de-duplication, ordinal numbering, chunks of 15, prompts, a map step per chunk and
+one reduce step.
 
 Scale notes
-* keep-first de-duplication is an aggregation (``max`` over a struct), so a text
-  copied a million times is pre-reduced map-side, never gathered in one task;
+* keep-first de-duplication aggregates fixed-width columns (a text's sha-256 and its
+  rank), so a text copied a million times is pre-reduced map-side, and whole texts
+  are joined back once, for the winners only;
 * the whole-table ordinal is computed without a single-partition window: range
   partition + sort → per-partition offsets (a table of #partitions rows) → add;
-* every collected group is a chunk of at most ``chunk_size`` texts;
-* the reduce step is a tree: groups of ``fanout`` summaries per level.
+* the default map and reduce steps are relational: every sentence of every text
+  competes, ranked by keyword hits, word frequency and position; the number of
+  sentences kept is the documented size of a summary;
+* a caller's own summariser gets the prompt and the texts as a list.
 """
 
 from __future__ import annotations
@@ -23,7 +26,12 @@ from pyspark.sql import types as T
 from chirpscope import constants as C
 from chirpscope.functions import text as TX
 
-Summarizer = Callable[[list[str]], str]
+#: (prompt, texts) → summary
+Summarizer = Callable[[str, list[str]], str]
+
+#: Sentences of a chunk's summary and of the final summary (output sizes, as in the prompts).
+CHUNK_SENTENCES = 4
+FINAL_SENTENCES = 6
 
 
 def newest_k(df: DataFrame, ts_col: str = "created_at", id_col: str = "tweet_id",
@@ -38,18 +46,19 @@ def clean_posts(df: DataFrame, text_col: str = "tweet_text", out: str = "clean_t
 
 def unique_texts(df: DataFrame, text_col: str = "clean_text", ts_col: str = "created_at",
                  id_col: str = "tweet_id") -> DataFrame:
-    """One row per distinct text: the first in (ts desc, id asc) order wins (AGG8, WIN2)."""
-    key = F.struct(F.col(ts_col).alias("ts"), (-F.col(id_col)).alias("nid"))
-    agg = df.groupBy(text_col).agg(F.max(key).alias("_k"))
-    return agg.select(text_col, F.col("_k.ts").alias(ts_col), (-F.col("_k.nid")).alias(id_col))
-
+    """One row per distinct text: the first in (ts desc, id asc) order wins (AGG8, WIN2).
 
-def small_ordinal(df: DataFrame, order: Sequence[Column], name: str = "n") -> DataFrame:
-    """1-based ordinal over a *bounded* frame (e.g. after newest-k): one small window."""
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))
+    The order is one decimal (microseconds · 10^19 − id), so the winner comes from a
+    hash aggregation over (sha-256, decimal); texts are neither sorted nor
+    aggregated, only joined with the winners."""
+    micros = F.coalesce(F.unix_micros(F.col(ts_col).cast("timestamp")), F.lit(-(1 << 62))).cast("decimal(19,0)")
+    rank = (micros * F.lit("10000000000000000000").cast("decimal(20,0)")).cast("decimal(38,0)") - F.col(id_col).cast("decimal(20,0)")
+    keyed = df.select(text_col, ts_col, id_col, F.sha2(F.col(text_col), 256).alias("_h"), rank.cast("decimal(38,0)").alias("_r"))
+    best = keyed.groupBy("_h").agg(F.max("_r").alias("_r"))
+    return keyed.join(best, ["_h", "_r"], "left_semi").dropDuplicates(["_h"]).select(text_col, ts_col, id_col)
 
 
-def global_ordinal(df: DataFrame, order: Sequence[str], name: str = "n") -> DataFrame:
+def global_ordinal(df: DataFrame, order: Sequence[str | Column], name: str = "n") -> DataFrame:
     """1-based ordinal in ``order`` over a whole table, without a one-task window.
 
     Range-partition and sort on the order (ties must be broken by the caller's
@@ -73,18 +82,25 @@ def global_ordinal(df: DataFrame, order: Sequence[str], name: str = "n") -> Data
     return out.drop("_pid", "_off", "_mid")
 
 
+def newest_first(ts_col: str = "created_at", id_col: str = "tweet_id") -> list[Column]:
+    return [F.col(ts_col).desc_nulls_last(), F.col(id_col).asc()]
+
+
+def chunk_of(ordinal: str = "n", chunk_size: int = C.CHUNK_SIZE) -> Column:
+    return (F.floor((F.col(ordinal) - 1) / chunk_size) + 1).cast("long")
+
+
 def chunk_texts(df: DataFrame, ordinal: str = "n", text_col: str = "clean_text",
                 chunk_size: int = C.CHUNK_SIZE, group: Sequence[str] = ()) -> DataFrame:
-    """Chunks of ``chunk_size`` consecutive texts, joined by newlines in ordinal
-    order (WIN1, AGG11, FN7): ``(chunk_id, n_texts, chunk_text)``."""
-    cid = (F.floor((F.col(ordinal) - 1) / chunk_size) + 1).cast("long")
+    """Chunks of ``chunk_size`` consecutive texts in ordinal order (WIN1, AGG11, FN7):
+    ``(chunk_id, n_texts, chunk_text, texts)``; chunk_text joins the texts by newlines."""
     g = list(group)
-    return (df.groupBy(*g, cid.alias("chunk_id"))
+    return (df.groupBy(*g, chunk_of(ordinal, chunk_size).alias("chunk_id"))
             .agg(F.count(F.lit(1)).alias("n_texts"),
                  F.array_sort(F.collect_list(F.struct(F.col(ordinal).alias("o"), F.col(text_col).alias("t"))))
                  .alias("_items"))
-            .select(*g, "chunk_id", "n_texts",
-                    F.array_join(F.transform("_items", lambda x: x["t"]), "\n").alias("chunk_text")))
+            .withColumn("texts", F.transform("_items", lambda x: x["t"]))
+            .select(*g, "chunk_id", "n_texts", F.array_join("texts", "\n").alias("chunk_text"), "texts"))
 
 
 def chunk_prompt(chunk_text: str = "chunk_text", instruction: str = C.CHUNK_INSTRUCTION) -> Column:
@@ -94,69 +110,101 @@ def chunk_prompt(chunk_text: str = "chunk_text", instruction: str = C.CHUNK_INST
 
 def keyword_first(df: DataFrame, text_col: str, order_col: str,
                   keywords: Iterable[str] = C.SUMMARY_KEYWORDS) -> DataFrame:
-    """Flag rows mentioning any keyword (substring, case-insensitive) and order hits
+    """Flag rows mentioning any keyword (substring, case-insensitive) and number them, hits
     first, original order inside (FLT6, FLT7, SRT10, SET2)."""
     d = df.withColumn("hit", TX.contains_any(text_col, keywords))
-    return d.orderBy(F.col("hit").desc(), F.col(order_col).asc())
+    return global_ordinal(d, [F.col("hit").desc(), F.col(order_col).asc()], name="position")
 
 
 # ---------------------------------------------------------------------------
-# map and reduce steps (NLP6, NLP7) with a caller-supplied summariser
+# default map and reduce steps (NLP6, NLP7): sentences that compete
 # ---------------------------------------------------------------------------
 
-def extractive(texts: list[str]) -> str:
-    """Offline default summariser: the first sentence of every text, space-joined."""
-    import re
-    out = []
-    for t in texts:
-        t = " ".join(t.split())
-        if not t:
-            continue
-        out.append(re.split(r"(?<=[.!?])\s+", t)[0])
-    return " ".join(out)
-
-
-def summarize_chunks(chunks: DataFrame, fn: Summarizer = extractive, id_col: str = "chunk_id",
-                     text_col: str = "chunk_text") -> DataFrame:
-    """Map step: one summary per chunk via ``mapInPandas``; a failing chunk yields
-    ``[Error summarizing chunk i: …]`` and the job goes on."""
+def ranked_sentences(sents: DataFrame, by: Sequence[str], position: Sequence[str],
+                     keywords: Iterable[str]) -> DataFrame:
+    """Adds ``hit`` and ``freq`` (1000 × mean count of the sentence's words within its group,
+    rounded down) to de-duplicated sentences; ``by`` + ``position`` identify a sentence."""
+    keys = [*by, *position]
+    words = sents.select(*keys, F.explode(F.regexp_extract_all(F.lower("sentence"), F.lit("[a-z]+"), 0)).alias("w"))
+    counts = words.groupBy(*by, "w").agg(F.count(F.lit(1)).alias("c"))
+    freq = (words.join(counts, [*by, "w"]).groupBy(*keys)
+            .agg(F.floor(F.lit(1000) * F.sum("c") / F.count(F.lit(1))).alias("freq")))
+    return (sents.join(freq, keys, "left").withColumn("freq", F.coalesce("freq", F.lit(0)))
+            .withColumn("hit", TX.contains_any("sentence", list(keywords))))
+
+
+def chunk_sentences(texts: DataFrame, ordinal: str = "n", text_col: str = "clean_text",
+                    chunk_size: int = C.CHUNK_SIZE, keywords: Iterable[str] = C.SUMMARY_KEYWORDS,
+                    keep: int = CHUNK_SENTENCES) -> DataFrame:
+    """The ``keep`` best sentences of every chunk: ``(chunk_id, n, i, sentence)``.  Every sentence
+    of every text competes; repeats (case-insensitive) count once, at their first place."""
+    every = texts.select(chunk_of(ordinal, chunk_size).alias("chunk_id"), F.col(ordinal).cast("long").alias("n"),
+                         F.posexplode(TX.split_sentences(TX.squeeze_ws(TX.text_or_empty(text_col)))).alias("i", "sentence"))
+    once = (every.groupBy("chunk_id", F.lower("sentence").alias("_l")).agg(F.min(F.struct("n", "i", "sentence")).alias("s"))
+            .select("chunk_id", "s.n", "s.i", "s.sentence"))
+    ranked = ranked_sentences(once, ["chunk_id"], ["n", "i"], keywords)
+    w = Window.partitionBy("chunk_id").orderBy(F.col("hit").desc(), F.col("freq").desc(), "n", "i")
+    return ranked.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= keep).select("chunk_id", "n", "i", "sentence")
+
+
+def chunk_summaries(sentences: DataFrame) -> DataFrame:
+    """One summary per chunk: its kept sentences in reading order (NLP6)."""
+    return sentences.groupBy("chunk_id").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "i", "sentence"))), lambda x: x["sentence"]), " ").alias("summary"))
+
+
+def final_summary(sentences: DataFrame, keywords: Iterable[str] = C.SUMMARY_KEYWORDS,
+                  keep: int = FINAL_SENTENCES) -> DataFrame:
+    """One summary of all chunks (NLP7, FN5, FN6, SET5): the chunks' sentences, chunks with a
+    keyword first, repeats once; the ``keep`` best by the same score, in order, cleaned up."""
+    kw = list(keywords)
+    key = chunk_summaries(sentences).select("chunk_id", F.when(TX.contains_any("summary", kw), 0).otherwise(1).alias("key"))
+    every = sentences.join(key, "chunk_id")
+    once = (every.groupBy(F.lower("sentence").alias("_l")).agg(F.min(F.struct("key", "chunk_id", "n", "i", "sentence")).alias("s"))
+            .select("s.*"))
+    order = ["key", "chunk_id", "n", "i"]
+    best = (ranked_sentences(once, [], order, kw)
+            .orderBy(F.col("hit").desc(), F.col("freq").desc(), *order).limit(keep))
+    text = best.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, "sentence"))),
+                                             lambda x: x["sentence"]), " ").alias("t"))
+    return text.select(TX.clean_summary("t").alias("summary"))
+
+
+# ---------------------------------------------------------------------------
+# map and reduce steps with a caller-supplied summariser
+# ---------------------------------------------------------------------------
+
+def summarize_chunks(chunks: DataFrame, fn: Summarizer, id_col: str = "chunk_id", texts_col: str = "texts",
+                     prompt: Column | None = None) -> DataFrame:
+    """Map step: one summary per chunk via ``mapInPandas``; ``fn`` gets the prompt and the list
+    of texts.  A failing chunk yields ``[Error summarizing chunk i: …]`` and the job goes on."""
     schema = T.StructType([chunks.schema[id_col], T.StructField("summary", T.StringType(), True)])
+    text = prompt if prompt is not None else F.concat(F.lit(C.CHUNK_INSTRUCTION), F.array_join(texts_col, "\n"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             res = []
-            for cid, txt in zip(pdf[id_col].tolist(), pdf[text_col].tolist()):
+            for cid, ask, texts in zip(pdf[id_col].tolist(), pdf["_prompt"].tolist(), pdf[texts_col].tolist()):
                 try:
-                    res.append(fn(str(txt or "").split("\n")).strip())
+                    res.append(fn(ask, list(texts)).strip())
                 except Exception as e:  # noqa: BLE001 — reported in the row
                     res.append(f"[Error summarizing chunk {cid}: {e}]")
             yield pd.DataFrame({id_col: pdf[id_col].values, "summary": res})
 
-    return chunks.select(id_col, text_col).mapInPandas(run, schema)
+    return chunks.select(id_col, text.alias("_prompt"), texts_col).mapInPandas(run, schema)
 
 
-def reduce_summaries(summaries: DataFrame, order: str, fn: Summarizer = extractive,
-                     fanout: int = C.CHUNK_SIZE, text_col: str = "summary") -> DataFrame:
-    """Reduce step as a tree: ordinal → groups of ``fanout`` → one summary each, until
-    one row is left.  Each level is one bounded ``collect_list`` per group."""
-    cur = summaries.select(F.col(order).cast("long").alias("n"), F.col(text_col).alias("t"))
+def reduce_summaries(summaries: DataFrame, fn: Summarizer, order: str = "chunk_id",
+                     keywords: Iterable[str] = C.SUMMARY_KEYWORDS, fanout: int = C.CHUNK_SIZE) -> DataFrame:
+    """Reduce step for a caller's summariser: summaries with a keyword first, then levels of
+    groups of ``fanout`` summaries (each a list, with the final prompt around it) until one is
+    left; the clean-up at the end.  What a level keeps is ``fn``'s choice alone."""
+    ranked = keyword_first(summaries, "summary", order, keywords)
+    cur = ranked.select(F.col("position").alias("n"), F.col("summary").alias("t"))
     while True:
-        g = (cur.groupBy((F.floor((F.col("n") - 1) / fanout) + 1).cast("long").alias("n"))
-             .agg(F.array_sort(F.collect_list(F.struct("n", "t"))).alias("_i"))
-             .select("n", F.array_join(F.transform("_i", lambda x: x["t"]), "\n").alias("chunk_text")))
-        cur = summarize_chunks(g, fn, id_col="n").select("n", F.col("summary").alias("t"))
+        group = chunk_texts(cur, "n", "t", fanout)
+        ask = F.concat(F.lit(C.FINAL_INSTRUCTION), F.array_join("texts", "\n"), F.lit(C.FINAL_SUFFIX))
+        cur = summarize_chunks(group, fn, prompt=ask).select(F.col("chunk_id").alias("n"), F.col("summary").alias("t"))
         cur = cur.checkpoint(eager=True)
         if cur.limit(2).count() <= 1:
-            return cur.select(F.col("t").alias(text_col))
-        cur = global_ordinal(cur, ["n"], name="_m").select(F.col("_m").alias("n"), "t")
-
-
-def final_summary(chunk_summaries: DataFrame, fn: Summarizer = extractive,
-                  keywords: Iterable[str] = C.SUMMARY_KEYWORDS, id_col: str = "chunk_id") -> DataFrame:
-    """Keyword chunks first, then one reduce, then the clean-up (NLP7, FN5, FN6, SET5)."""
-    kw = list(keywords)
-    ranked = chunk_summaries.withColumn(
-        "_key", F.when(TX.contains_any("summary", kw), F.lit(0)).otherwise(F.lit(1)))
-    ranked = global_ordinal(ranked, ["_key", id_col], name="_n")
-    red = reduce_summaries(ranked, "_n", fn)
-    return red.select(TX.clean_summary("summary").alias("summary"))
+            return cur.select(TX.clean_summary("t").alias("summary"))
