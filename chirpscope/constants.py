@@ -11,6 +11,7 @@ HASHTAG_PATTERN = r"#([A-Za-z0-9_]+)"
 
 # --- fixed values: node-key prefixes and node types ------------------------
 USER_ID_PREFIX = "user:"
+UNKNOWN_AUTHOR = "None"             # posts without an author share one node
 HANDLE_PREFIX = "@"
 TAG_PREFIX = "#"
 NODE_TYPE_USER = "user"

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from chirpscope import constants as C
 from chirpscope.functions import text as TX
 from chirpscope.operators.pairs import array_pairs, row_pairs
-from chirpscope.session import checkpoint_dir
+from chirpscope.session import checkpoint_dir, scratch_path
 
 
 class PowerIterationFailedConvergence(RuntimeError):
@@ -45,9 +45,10 @@ def hashtags(posts: DataFrame) -> DataFrame:
 
 
 def mention_edges(posts: DataFrame) -> DataFrame:
-    """Directed ``user:<author_id> → @handle``; a handle named twice in a post counts twice."""
-    m = mentions(posts.where(F.col("author_id").isNotNull()))
-    return (m.groupBy(TX.user_key("author_id").alias("source"),
+    """Directed ``user:<author_id> → @handle``; a handle named twice in a post counts twice.
+    Posts without an author share the node ``user:None``."""
+    m = mentions(posts)
+    return (m.groupBy(TX.user_key(F.coalesce(F.col("author_id").cast("string"), F.lit(C.UNKNOWN_AUTHOR))).alias("source"),
                       TX.handle_key("mention").alias("target"))
             .agg(F.count(F.lit(1)).alias("weight")))
 
@@ -101,17 +102,8 @@ def first_seen(edges: DataFrame, directed: bool) -> DataFrame:
     return s.unionByName(t).groupBy("node").agg(F.min("k").alias("first_seen"))
 
 
-def _parts(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-# rows of round state per partition below which fewer partitions are used
-STATE_ROWS_PER_PART = 200_000
-
-
-def _parts_for(df: DataFrame, rows: int) -> int:
-    """Partitions for per-round state: the session default, fewer for small states."""
-    return max(1, min(_parts(df), -(-rows // STATE_ROWS_PER_PART)))
+#: Arcs of one partition of a round; a source with more is split over several.
+ARCS_PER_PART = 200_000
 
 
 # ---------------------------------------------------------------------------
@@ -135,8 +127,10 @@ def pagerank(edges: DataFrame, directed: bool, alpha: float = C.PAGERANK_ALPHA,
     """Weighted PageRank: start 1/N, out-weights normalised, dangling mass spread
     evenly, stop when Σ|x − x_prev| < N·tol (an undirected edge counts both ways).
 
-    One round = arcs ⋈ ranks on the source node (both hash-partitioned on it, so
-    neither side moves) → ``groupBy(dst)`` (the one shuffle, partial-aggregated).
+    One round = arcs ⋈ ranks on (source, slice) → ``groupBy(dst)`` (partial-aggregated).
+    The arcs are partitioned once, by their counted number; a hub with more than
+    ``ARCS_PER_PART`` arcs is cut into slices, and only hubs' ranks are replicated
+    (there are at most arcs / ARCS_PER_PART hubs, so their list may be broadcast).
     Every node also has a *self arc* that carries its previous value and dangling
     flag through the same aggregation, so the rank state is referenced once per
     round (the plan grows linearly, not 2^k).  One scalar action per round.
@@ -154,17 +148,23 @@ def pagerank(edges: DataFrame, directed: bool, alpha: float = C.PAGERANK_ALPHA,
     if n == 0:
         nodes.unpersist()
         return spark.createDataFrame([], "node string, pagerank double")
-    n_parts = _parts_for(edges, n)
-    ext = (a.join(out_w, "src")
-           .select("src", "dst", (F.col("w") / F.col("ow")).alias("wn"), F.lit(False).alias("self"))
-           .unionByName(nodes.select(F.col("node").alias("src"), F.col("node").alias("dst"),
+    n_parts = max(1, -(-(a.count() + n) // ARCS_PER_PART))
+    hubs = (a.groupBy("src").agg(F.count(F.lit(1)).alias("_m")).where(F.col("_m") > ARCS_PER_PART)
+            .select("src", F.ceil(F.col("_m") / ARCS_PER_PART).cast("int").alias("slices")).checkpoint(eager=True))
+    slices = F.coalesce(F.col("slices"), F.lit(1))
+    ext = (a.join(out_w, "src").join(F.broadcast(hubs), "src", "left")
+           .select("src", F.pmod(F.xxhash64("dst"), slices).cast("int").alias("slice"), "dst",
+                   (F.col("w") / F.col("ow")).alias("wn"), F.lit(False).alias("self"))
+           .unionByName(nodes.select(F.col("node").alias("src"), F.lit(0).alias("slice"), F.col("node").alias("dst"),
                                      F.lit(0.0).alias("wn"), F.lit(True).alias("self")))
-           .repartition(n_parts, "src").persist(StorageLevel.MEMORY_AND_DISK))
-    ranks = nodes.repartition(n_parts, "node").select("node", "dangling", F.lit(1.0 / n).alias("x"))
+           .repartition(n_parts, "src", "slice").persist(StorageLevel.MEMORY_AND_DISK))
+    ranks = nodes.select("node", "dangling", F.lit(1.0 / n).alias("x"))
     dang = ranks.where("dangling").agg(F.coalesce(F.sum("x"), F.lit(0.0))).first()[0]
     for it in range(1, max_iter + 1):
         base = (alpha * dang + (1.0 - alpha)) / n
-        j = ext.join(ranks.withColumnRenamed("node", "src"), "src")
+        spread = (ranks.withColumnRenamed("node", "src").join(F.broadcast(hubs), "src", "left")
+                  .withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1))).drop("slices"))
+        j = ext.join(spread, ["src", "slice"])
         new = (j.groupBy(F.col("dst").alias("node"))
                .agg(F.sum(F.when(~F.col("self"), F.col("x") * F.col("wn"))).alias("s"),
                     F.max(F.when(F.col("self"), F.col("x"))).alias("x_prev"),
@@ -197,7 +197,8 @@ def pagerank(edges: DataFrame, directed: bool, alpha: float = C.PAGERANK_ALPHA,
 # ---------------------------------------------------------------------------
 
 def betweenness(edges: DataFrame, directed: bool, weighted: bool = True,
-                pivot_block: int | None = None, normalized: bool = True) -> DataFrame:
+                pivot_block: int | None = None, normalized: bool = True,
+                pivot_state_rows: int = 20_000_000) -> DataFrame:
     """Exact betweenness (all pivots); edge weight is a *length*.
 
     For a block of pivots s at once, with one DataFrame keyed by (s, v):
@@ -205,7 +206,8 @@ def betweenness(edges: DataFrame, directed: bool, weighted: bool = True,
     arcs with d(u) + w = d(v); (c) path counts σ pushed one hop per round;
     (d) dependencies δ = Σ_{h≥1} Aʰ·1 with A(u, v) = σ(u)/σ(v) on DAG arcs;
     (e) Σ_s δ_s(v), v ≠ s, scaled by 1/((n−1)(n−2)).  Pivots are processed in
-    blocks so memory is block × nodes; every pivot is processed (exact).
+    blocks so memory is block × nodes (``pivot_state_rows`` rows at once, to be sized
+    to the cluster); every pivot is processed (exact).  Weights must be positive.
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
@@ -214,32 +216,39 @@ def betweenness(edges: DataFrame, directed: bool, weighted: bool = True,
     if not weighted:
         a = a.withColumn("w", F.lit(1.0))
     a = a.groupBy("src", "dst").agg(F.min("w").alias("w")).persist(StorageLevel.MEMORY_AND_DISK)
-    nodes = nodes_of(edges, directed).persist(StorageLevel.MEMORY_AND_DISK)
-    n = nodes.count()
-    zero = nodes.select("node", F.lit(0.0).alias("betweenness"))
-    if n <= 2:
-        return zero
-    if directed:
-        # a node on a path needs an in- and an out-arc; none such → all zero
-        mids = a.select(F.col("dst").alias("node")).distinct().join(
-            a.select(F.col("src").alias("node")).distinct(), "node")
-        if mids.limit(1).count() == 0:
+    try:
+        least = a.agg(F.min("w")).head()[0]
+        if least is not None and not least > 0:
+            raise ValueError("betweenness needs positive edge weights")
+        nodes = _cut(nodes_of(edges, directed))
+        n = nodes.count()
+        zero = nodes.select("node", F.lit(0.0).alias("betweenness"))
+        if n <= 2:
             return zero
-    if pivot_block is None:
-        m = a.count()
-        pivot_block = max(1, min(n, int(20_000_000 // max(m + n, 1))))
-    # pivot blocks by a stable hash bucket: no driver-side node list
-    n_blocks = (n + pivot_block - 1) // pivot_block
-    piv = nodes.withColumn("_blk", F.pmod(F.xxhash64("node"), F.lit(n_blocks)))
-    total = None
-    for blk in range(n_blocks):
-        pivots = piv.where(F.col("_blk") == blk).select(F.col("node").alias("s"))
-        part = _dependencies(a, pivots)
-        total = part if total is None else total.unionByName(part)
-    scale = 1.0 / ((n - 1) * (n - 2)) if normalized else (1.0 if directed else 0.5)
-    bc = total.groupBy("v").agg(F.sum("delta").alias("bc"))
-    return (nodes.join(bc.withColumnRenamed("v", "node"), "node", "left")
-            .select("node", (F.coalesce(F.col("bc"), F.lit(0.0)) * F.lit(scale)).alias("betweenness")))
+        if directed:
+            # a node on a path needs an in- and an out-arc; none such → all zero
+            mids = a.select(F.col("dst").alias("node")).distinct().join(
+                a.select(F.col("src").alias("node")).distinct(), "node")
+            if mids.limit(1).count() == 0:
+                return zero
+        if pivot_block is None:
+            pivot_block = max(1, min(n, int(pivot_state_rows // max(a.count() + n, 1))))
+        # pivot blocks by a stable hash bucket: no driver-side node list.  Each block ends as
+        # (v, delta) rows appended to one shared table, so the plan does not grow with the blocks.
+        n_blocks = (n + pivot_block - 1) // pivot_block
+        piv = nodes.withColumn("_blk", F.pmod(F.xxhash64("node"), F.lit(n_blocks)))
+        path = scratch_path(spark, "betweenness")
+        for blk in range(n_blocks):
+            pivots = piv.where(F.col("_blk") == blk).select(F.col("node").alias("s"))
+            (_dependencies(a, pivots).groupBy("v").agg(F.sum("delta").alias("delta"))
+             .write.mode("append").parquet(path))
+        total = spark.read.schema(f"v {a.schema['src'].dataType.simpleString()}, delta double").parquet(path)
+        scale = 1.0 / ((n - 1) * (n - 2)) if normalized else (1.0 if directed else 0.5)
+        bc = total.groupBy("v").agg(F.sum("delta").alias("bc"))
+        return (nodes.join(bc.withColumnRenamed("v", "node"), "node", "left")
+                .select("node", (F.coalesce(F.col("bc"), F.lit(0.0)) * F.lit(scale)).alias("betweenness")))
+    finally:
+        a.unpersist()
 
 
 def _cut(df: DataFrame) -> DataFrame:
@@ -397,7 +406,7 @@ def neighbourhood(edges: DataFrame, directed: bool, start: str | Iterable[str],
     a = arcs(edges, directed)
     if directed:
         a = a.unionByName(a.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "w"))
-    a = a.select("src", "dst").distinct()
+    a = _cut(a.select("src", "dst").distinct())          # computed once, used by every hop
     seen = spark.createDataFrame([(s, 0) for s in starts], "node string, hop int")
     front = seen
     for h in range(1, hops + 1):
@@ -411,6 +420,12 @@ def neighbourhood(edges: DataFrame, directed: bool, start: str | Iterable[str],
     return seen
 
 
+def nodes_by_value(nodes: DataFrame, column: str, values: Iterable) -> DataFrame:
+    """Nodes of a display or metrics table whose ``column`` is in ``values`` (GRF11)."""
+    key = "id" if "id" in nodes.columns else "node"
+    return nodes.where(F.col(column).isin(list(values))).select(F.col(key).alias("node")).distinct()
+
+
 def nodes_by_property(edges: DataFrame, directed: bool, column: str, values: Iterable) -> DataFrame:
     """Both ends of the edges whose ``column`` is in ``values``, distinct (GRF11)."""
     a, b = _ends(edges, directed)
