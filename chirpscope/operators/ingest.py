@@ -60,10 +60,10 @@ def parse_search(query: str) -> dict:
 
 
 def search_posts(posts: DataFrame, query: str = C.DEFAULT_SEARCH,
-                 max_results: int = C.SEARCH_MAX_RESULTS,
+                 max_results: int | None = None,
                  is_repost: Column | None = None) -> DataFrame:
-    """Posts matching every term (case-insensitive whole word), newest first, at most
-    ``max_results`` (the page size is the feature, not a cost cap)."""
+    """Posts matching every term (case-insensitive whole word).  ``max_results`` (off by
+    default) keeps the newest so many."""
     q = parse_search(query)
     out = posts
     if q["lang"]:
@@ -75,36 +75,34 @@ def search_posts(posts: DataFrame, query: str = C.DEFAULT_SEARCH,
         out = out.where(TX.has_word("tweet_text", t))
     if "is_repost" in out.columns:
         out = out.drop("is_repost")
+    if max_results is None:
+        return out
     return out.orderBy(F.col("created_at").desc_nulls_last(), F.col("tweet_id").asc()).limit(max_results)
 
 
 # --- insert-if-new (SNK4, SNK5, JN2, AGG9, AGG10) ---------------------------------
 
-def first_per_key(batch: DataFrame, key: str | Sequence[str],
-                  order: Sequence[Column] | None = None) -> DataFrame:
-    """One row per key.  With ``order`` the first row in that order wins.
+def first_per_key(batch: DataFrame, key: str | Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """One row per key: the first in ``order`` (which says what "first" is; ties by the
+    row's own values).
 
     Aggregation-based (``min_by`` over a struct), so a hot key is pre-reduced
     map-side instead of landing whole in one task.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    if not order:
-        return batch.dropDuplicates(keys)
     others = [c for c in batch.columns if c not in keys]
-    ordkey = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)])
     row = F.struct(*[F.col(c) for c in others])
+    ordkey = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], F.to_json(row).alias("_tie"))
     agg = batch.groupBy(*keys).agg(F.min_by(row, ordkey).alias("_r"))
     return agg.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others]).select(*batch.columns)
 
 
 def new_rows(batch: DataFrame, target_keys: DataFrame | None, key: str = "tweet_id",
-             order: Sequence[Column] | None = None) -> DataFrame:
-    """Rows of ``batch`` whose key is not yet in the target; a key repeated in the
-    batch is inserted once (JN2).  ``target_keys`` None = target missing."""
-    deduped = first_per_key(batch, key, order)
-    if target_keys is None:
-        return deduped
-    return deduped.join(target_keys.select(key), on=key, how="left_anti")
+             order: Sequence[Column] = ()) -> DataFrame:
+    """Rows of ``batch`` whose key is not yet in the target; of a key repeated in the
+    batch the first in ``order`` (JN2).  ``target_keys`` None = target missing."""
+    fresh = batch if target_keys is None else batch.join(target_keys.select(key), on=key, how="left_anti")
+    return first_per_key(fresh, key, order)
 
 
 def ingest_tally(batch: DataFrame, target_keys: DataFrame | None,

@@ -5,7 +5,7 @@ Schemas are always given; nothing is inferred.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,10 +18,31 @@ CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"
                "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
+#: Forms of a timestamp in post files: ISO with ``T``, or a space; up to nine decimals; with or
+#: without an offset (FN14).
+TIMESTAMP_FORMS = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(\.\d{1,9})?( ?(Z|[+-]\d{2}(:?\d{2})?))?$"
+
+
+def parse_timestamp(c: Column) -> Column:
+    """A timestamp text in any of the accepted forms as UTC without zone; blank is null, anything
+    else raises."""
+    t = F.trim(c)
+    bad = F.raise_error(F.concat(F.lit("not a timestamp: "), t)).cast("timestamp_ntz")
+    # an offset is moved to UTC; the session's zone is UTC, so a text without one is UTC too
+    parsed = F.regexp_replace(t, r" (?=Z|[+-]\d)", "").try_cast("timestamp").cast("timestamp_ntz")
+    return (F.when(t.isNull() | (t == ""), F.lit(None).cast("timestamp_ntz"))
+            .when(t.rlike(TIMESTAMP_FORMS) & parsed.isNotNull(), parsed).otherwise(bad))
+
+
 def read_posts_csv(spark: SparkSession, path: str, schema: T.StructType = S.POSTS) -> DataFrame:
     """Posts CSV with quoted fields that hold newlines (SRC1).  ``multiLine`` is
-    required; without it every embedded newline starts a new record."""
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    required; without it every embedded newline starts a new record.  Timestamps may be in
+    any of ``TIMESTAMP_FORMS``; all else fails fast."""
+    stamps = [f.name for f in schema.fields if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType))]
+    as_text = T.StructType([T.StructField(f.name, T.StringType(), True) if f.name in stamps else f for f in schema.fields])
+    rows = spark.read.schema(as_text).options(**CSV_OPTIONS).csv(path)
+    return rows.select(*[parse_timestamp(F.col(f.name)).cast(f.dataType).alias(f.name) if f.name in stamps else F.col(f.name)
+                         for f in schema.fields])
 
 
 def read_node_metrics_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -53,6 +74,7 @@ def key_scan(spark: SparkSession, name_or_path: str, key: str = "tweet_id",
     return df.select(key)
 
 
-def run_sql(spark: SparkSession, query: str) -> DataFrame:
-    """Ad-hoc SQL over registered views (SRC6, SRC7).  Errors propagate."""
-    return spark.sql(query)
+def run_sql(spark: SparkSession, query: str, **tables: DataFrame) -> DataFrame:
+    """Ad-hoc SQL over registered views, or over frames named ``{name}`` in the text (SRC6,
+    SRC7); no view of the user's is touched.  Errors propagate."""
+    return spark.sql(query, **tables)

@@ -28,12 +28,15 @@ def _post_text(d, e):
         e["event_type"])
 
 
-def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Posts as nested API records (``public_metrics`` as a struct) — input of ingest."""
+def raw_posts(spark: SparkSession, sf_dir: str, events: DataFrame | None = None,
+              keep: tuple[str, ...] = ()) -> DataFrame:
+    """Posts as nested API records (``public_metrics`` as a struct) — input of ingest.
+    ``events``: another frame (a stream, say) in place of the events table; ``keep``: columns of
+    it to pass on."""
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    e = read_table(spark, sf_dir, "events").select(
-        "event_id", "ts", "user_id", "event_type", "value", "props")
-    j = d.join(e, d["doc_id"] == e["event_id"], "inner")
+    e = (events if events is not None else read_table(spark, sf_dir, "events")).select(
+        "event_id", "ts", "user_id", "event_type", "value", "props", *keep)
+    j = e.join(d, d["doc_id"] == e["event_id"], "inner")
     return j.select(
         d["doc_id"].alias("id"),
         e["user_id"].alias("author_id"),
@@ -46,6 +49,7 @@ def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.get_json_object(e["props"], "$.k").cast("int").alias("retweet_count"),
         ).alias("public_metrics"),
         (e["event_type"] == F.lit("error")).alias("is_repost"),
+        *[e[c] for c in keep],
     )
 
 

@@ -6,12 +6,12 @@ Every writer raises on failure.  Paths are expected in a shared file system
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chirpscope import schemas as S
 from chirpscope.operators.ingest import new_rows
+from chirpscope.session import scratch_path
 from chirpscope.sources.readers import CSV_OPTIONS, key_scan, table_exists
 
 
@@ -58,21 +58,23 @@ def create_table_if_absent(spark: SparkSession, path: str, schema: T.StructType)
     return True
 
 
-def insert_if_new(spark: SparkSession, batch: DataFrame, path: str, key: str = "tweet_id",
-                  order=None) -> dict:
-    """Append the batch rows whose key is not in the target yet; a key repeated in
-    the batch is written once (SNK4, SNK5).  Returns true counts.
+def insert_if_new(spark: SparkSession, batch: DataFrame, path: str, key: str = "tweet_id", order=()) -> dict:
+    """Append the batch rows whose key is not in the target yet; of a key repeated in the batch
+    the first in ``order`` (SNK4, SNK5).  Returns true counts.
 
-    The new rows are written first to a staging folder next to the target (so the
-    anti join never reads the table it is writing), then appended."""
+    The batch and the new rows are each written once to a scratch folder of their own (the
+    anti join never reads the table it is writing, two writers never share a folder); both
+    counts are observed on those writes."""
+    seen, new = Observation(), Observation()
+    raw = scratch_path(spark, "insert-batch")
+    batch.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(raw)
     keys = key_scan(spark, path, key) if table_exists(spark, path) else None
-    fresh = new_rows(batch, keys, key, order)
-    staging = path.rstrip("/") + "._staging"
-    fresh.write.mode("overwrite").parquet(staging)
-    staged = spark.read.parquet(staging)
-    inserted = staged.count()
-    total = batch.count()
-    staged.write.mode("append").parquet(path)
+    fresh = new_rows(spark.read.schema(batch.schema).parquet(raw), keys, key, order)
+    staging = scratch_path(spark, "insert-new")
+    fresh.observe(new, F.count(F.lit(1)).alias("n")).write.parquet(staging)
+    inserted, total = int(new.get["n"]), int(seen.get["n"])
+    if inserted or keys is None:
+        spark.read.schema(fresh.schema).parquet(staging).write.mode("append").parquet(path)
     return {"inserted": inserted, "skipped": total - inserted}
 
 
@@ -86,5 +88,3 @@ def write_latest_text(summary: DataFrame, path: str) -> None:
     """Overwrite the "latest" text output with the single summary text (SNK8)."""
     summary.select(F.col("summary").alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
-
-SUMMARY_SCHEMA = S.SUMMARIES

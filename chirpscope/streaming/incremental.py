@@ -4,23 +4,24 @@
   it arrives, seen keys are ignored (``foreachBatch`` + insert-if-new; no
   watermark-based ``dropDuplicates``, which would drop late posts).
 * ``stream_scoring``  — lexicon scoring of unseen posts, appended per micro-batch.
-* ``stream_daily_trend`` — tumbling 1-day windows of the mean value with a watermark.
+* ``stream_daily_trend`` — mean value per 1-day tumbling window; each micro-batch
+  rewrites the days it changed.
 
 All run with ``trigger(availableNow=True)`` so a test or a scheduled job drains
-what is there and stops; checkpoints live under the shared checkpoint folder.
+what is there and stops.  The caller names the checkpoint location: with the same
+location the next run reads only new files.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chirpscope.operators.ingest import flatten_records
+from chirpscope.operators.ingest import first_per_key, flatten_records
 from chirpscope.operators.sentiment import score_lexicon
-from chirpscope.session import scratch_path
 from chirpscope.sources.writers import insert_if_new
 
 
@@ -34,57 +35,58 @@ def file_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: st
     return r.load(folder)
 
 
-def run_available(stream: DataFrame, batch_fn: Callable[[DataFrame, int], None], name: str) -> str:
-    """Drain the stream through ``batch_fn`` and stop; returns the checkpoint location."""
-    ckpt = scratch_path(stream.sparkSession, f"stream-{name}")
-    q = (stream.writeStream.foreachBatch(batch_fn)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+def run_available(stream: DataFrame, batch_fn: Callable[[DataFrame, int], None], checkpoint_location: str,
+                  output_mode: str = "append") -> int:
+    """Drain the stream through ``batch_fn`` and stop; the number of source rows read by this run."""
+    q = (stream.writeStream.outputMode(output_mode).foreachBatch(batch_fn)
+         .option("checkpointLocation", checkpoint_location).trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return ckpt
+    return sum(int(s["numInputRows"]) for p in q.recentProgress for s in p["sources"])
 
 
-def stream_ingest(raw_stream: DataFrame, target: str, key: str = "tweet_id") -> str:
-    """Each micro-batch: flatten, then insert-if-new into ``target`` (STR1)."""
+def stream_ingest(raw_stream: DataFrame, target: str, checkpoint_location: str, key: str = "tweet_id",
+                  order: Sequence[str] = ()) -> int:
+    """Each micro-batch: flatten, then insert-if-new into ``target``; of a key repeated in a batch
+    the first by the ``order`` columns of the stream (STR1).  Returns the rows read."""
     spark = raw_stream.sparkSession
 
     def batch(df: DataFrame, epoch: int) -> None:
-        insert_if_new(spark, flatten_records(df), target, key)
+        rows = flatten_records(df, keep=order)
+        wanted = [c for c in rows.columns if c not in order]
+        first = first_per_key(rows, key, [F.col(c) for c in order])
+        insert_if_new(spark, first.select(*wanted), target, key)
 
-    return run_available(raw_stream, batch, "ingest")
+    return run_available(raw_stream, batch, checkpoint_location)
 
 
-def stream_scoring(posts_stream: DataFrame, lexicon: DataFrame, target: str,
-                   key: str = "tweet_id") -> str:
-    """Each micro-batch: score the posts not yet in ``target`` and append them (STR2)."""
+def stream_scoring(posts_stream: DataFrame, lexicon: DataFrame, target: str, checkpoint_location: str,
+                   key: str = "tweet_id", order: Sequence[str] = ()) -> int:
+    """Each micro-batch: the first row of every key not yet in ``target``, scored and appended
+    (STR2).  Returns the rows read."""
     spark = posts_stream.sparkSession
 
     def batch(df: DataFrame, epoch: int) -> None:
-        insert_if_new(spark, score_lexicon(df, lexicon, id_col=key), target, key)
+        first = first_per_key(df, key, [F.col(c) for c in order]).drop(*order)
+        insert_if_new(spark, score_lexicon(first, lexicon, id_col=key), target, key)
 
-    return run_available(posts_stream, batch, "scoring")
+    return run_available(posts_stream, batch, checkpoint_location)
 
 
-def stream_daily_trend(events: DataFrame, target: str, ts_col: str = "ts", value_col: str = "value",
-                       watermark: str = "1 day", digits: int = 6) -> str:
-    """Mean value per 1-day tumbling window (STR3).  Complete output mode: every
-    micro-batch rewrites the whole (small: one row per day) result table."""
-    ts = F.col(ts_col).cast("timestamp")
+def stream_daily_trend(events: DataFrame, target: str, checkpoint_location: str, ts_col: str = "ts",
+                       value_col: str = "value", digits: int = 6) -> int:
+    """Mean value per 1-day tumbling window (STR3), in update mode: a micro-batch yields the days
+    that it changed, and each replaces its own partition ``date=…`` of ``target``.  The state is
+    one row a day, so no watermark is needed to bound it and late rows always count.  Returns the
+    rows read."""
     v = F.when(F.isnan(F.col(value_col)), F.lit(None)).otherwise(F.col(value_col))
     agg = (events.where(F.col(ts_col).isNotNull())
-           .withColumn("_ts", ts).withWatermark("_ts", watermark)
-           .groupBy(F.window("_ts", "1 day").alias("w"))
+           .groupBy(F.window(F.col(ts_col).cast("timestamp"), "1 day").alias("w"))
            .agg(F.avg(v).alias("_avg")))
 
     def batch(df: DataFrame, epoch: int) -> None:
         (df.select(F.to_date(F.col("w.start")).alias("date"), F.round("_avg", digits).alias("avg_value"))
-         .write.mode("overwrite").parquet(target))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(target))
 
-    ckpt = scratch_path(events.sparkSession, "stream-trend")
-    q = (agg.writeStream.outputMode("complete").foreachBatch(batch)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return ckpt
+    return run_available(agg, batch, checkpoint_location, "update")
