@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chirpscope import constants as C
+from chirpscope import schemas as S
 from chirpscope.functions import text as TX
 from chirpscope.operators import graph as G
 from chirpscope.plans import oracle_sql as O
+from chirpscope.session import scratch_path
 from chirpscope.sources.tables import posts, raw_posts, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +75,20 @@ def q_basket_edges(spark, sf):
     return G.basket_edges(li, "l_orderkey", "l_suppkey")
 
 
+_BASKET_SQL = """b_edges AS (SELECT a.l_suppkey AS node_u, b.l_suppkey AS node_v, count(*) AS weight
+  FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem WHERE l_suppkey IS NOT NULL) a
+  JOIN (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem WHERE l_suppkey IS NOT NULL) b
+    ON a.l_orderkey = b.l_orderkey AND a.l_suppkey < b.l_suppkey GROUP BY 1, 2)"""
+
+
+@query("basket_pagerank", "WITH " + _BASKET_SQL + ", " + O.pagerank_ctes("b_edges", "node_u", "node_v", False, "bp", rounds=30)
+       + f" SELECT node, round(pagerank, {PR_DIGITS}) AS pagerank FROM bp_pr")
+def q_basket_pagerank(spark, sf):
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey")
+    e = G.basket_edges(li, "l_orderkey", "l_suppkey")
+    return G.pagerank(e, directed=False).select("node", F.round("pagerank", PR_DIGITS).alias("pagerank"))
+
+
 @query("mention_degree", O.with_posts("SELECT * FROM md_deg",
                                       O.MENTION_EDGES_CTE + "," + O.degree_cte("m_edges", "source", "target", "md")))
 def q_mention_degree(spark, sf):
@@ -200,6 +216,15 @@ def q_nodes_by_property(spark, sf):
     return G.nodes_by_property(e, False, "weight", [1, 2, 3])
 
 
+@query("nodes_by_value", O.with_posts(f"""
+SELECT node FROM (SELECT node_u AS node FROM h_edges UNION SELECT node_v FROM h_edges)
+WHERE node IN ('#click', '#en', '#src1', '#absent')""", O.HASHTAG_EDGES_CTE))
+def q_nodes_by_value(spark, sf):
+    p = _posts(spark, sf)
+    nodes = G.viz_tables(G.mention_edges(p), G.hashtag_edges(p))[0]
+    return G.nodes_by_value(nodes, "label", ["#click", "#en", "#src1", "#absent"])
+
+
 @query("edge_weight_cast", O.with_posts(
     "SELECT source, target, cast(weight AS BIGINT) AS weight FROM m_edges WHERE source IS NOT NULL "
     "ORDER BY weight DESC, source, target", O.MENTION_EDGES_CTE))
@@ -240,32 +265,34 @@ def _word_sql(w: str) -> str:
 
 @query("search_posts", O.with_posts(
     f"SELECT {_POST_COLS_SQL} FROM posts WHERE lang = 'en' AND NOT is_repost AND "
-    + " AND ".join(_word_sql(w) for w in ("the", "and"))
-    + f" ORDER BY created_at DESC, tweet_id LIMIT {C.SEARCH_MAX_RESULTS}"))
+    + " AND ".join(_word_sql(w) for w in ("the", "and"))))
 def q_search_posts(spark, sf):
     p = I.flatten_records(raw_posts(spark, sf), keep=["is_repost"])
     return I.search_posts(p, SEARCH, is_repost=F.col("is_repost"))
 
 
 def _batch_and_target(spark, sf):
-    """Batch = every post, plus the already-labelled posts a second time (keys repeated
-    inside one batch); target = the labelled posts (keys already present)."""
+    """Batch = every post with its place 0, plus a changed copy (place 1) of the labelled ones and
+    of every tenth; target = the labelled posts (keys already present)."""
     p = _posts(spark, sf)
     lab = read_table(spark, sf, "labels").select(F.col("doc_id").alias("tweet_id")).distinct()
-    batch = p.unionByName(p.join(lab, "tweet_id", "left_semi"))
-    return batch, lab
+    again = p.join(lab, "tweet_id", "left_semi").unionByName(p.where(F.col("tweet_id") % 10 == 0))
+    changed = again.withColumn("tweet_text", F.concat(F.lit("changed "), F.col("tweet_text")))
+    return p.withColumn("place", F.lit(0)).unionByName(changed.withColumn("place", F.lit(1))), lab
 
 
-_BATCH_SQL = """batch AS (SELECT * FROM posts UNION ALL
-  SELECT * FROM posts WHERE tweet_id IN (SELECT doc_id FROM labels))"""
+_BATCH_SQL = """batch AS (SELECT *, 0 AS place FROM posts UNION ALL
+  SELECT * REPLACE ('changed ' || tweet_text AS tweet_text), 1 FROM posts WHERE tweet_id IN (SELECT doc_id FROM labels)
+  UNION ALL SELECT * REPLACE ('changed ' || tweet_text AS tweet_text), 1 FROM posts WHERE tweet_id % 10 = 0)"""
 
 
 @query("insert_if_new", O.with_posts(
-    f"SELECT DISTINCT {_POST_COLS_SQL} FROM batch WHERE tweet_id NOT IN (SELECT doc_id FROM labels)",
+    f"SELECT {_POST_COLS_SQL} FROM (SELECT *, row_number() OVER (PARTITION BY tweet_id ORDER BY place) AS rn FROM batch "
+    "WHERE tweet_id NOT IN (SELECT doc_id FROM labels)) WHERE rn = 1",
     _BATCH_SQL))
 def q_insert_if_new(spark, sf):
     batch, lab = _batch_and_target(spark, sf)
-    return I.new_rows(batch, lab, "tweet_id")
+    return I.new_rows(batch, lab, "tweet_id", [F.col("place")]).drop("place")
 
 
 @query("ingest_tally", O.with_posts(
@@ -326,13 +353,53 @@ def q_incremental_scoring(spark, sf):
     return s.select("tweet_id", "polarity", "sentiment")
 
 
-_MODEL_SQL = """SELECT tweet_id, CASE n % 3 WHEN 0 THEN 'negative' WHEN 1 THEN 'neutral' ELSE 'positive' END AS label,
-  least(n, 512) / 512.0 AS score FROM (SELECT tweet_id, length(substring(tweet_text, 1, 512)) AS n FROM posts)"""
+def _big_lexicon(spark, sf) -> DataFrame:
+    """Several thousand tokens of the documents, scored from their own letters."""
+    t = read_table(spark, sf, "documents").select(F.explode(SN.tokens("text")).alias("token")).distinct()
+    code = F.length("token") * 37 + F.ascii("token")
+    return t.where(code % 2 == 0).select("token", (((code % 201) - 100) / F.lit(97.0)).alias("score"))
+
+
+@query("polarity_scores_join", O.with_posts("SELECT * FROM scored", """
+dt AS (SELECT DISTINCT unnest(regexp_extract_all(lower(coalesce(text, '')), '[a-z]+')) AS token FROM documents),
+lc AS (SELECT token, length(token) * 37 + ascii(token) AS code FROM dt),
+lex AS (SELECT token, ((code % 201) - 100) / 97.0::DOUBLE AS score FROM lc WHERE code % 2 = 0),"""
+    + _polarity_ctes().split(",", _LEX_SQL.count(",") + 1)[-1]))
+def q_polarity_scores_join(spark, sf):
+    s = SN.score_lexicon(_posts(spark, sf), _big_lexicon(spark, sf))
+    return s.select("tweet_id", "polarity", "sentiment")
+
+
+_LABEL_CASE = "CASE WHEN l.quality = 1 THEN 'positive' WHEN l.toxic = 1 THEN 'negative' ELSE 'neutral' END"
+
 
+def _bayes_ctes(src: str = "posts") -> str:
+    """CTEs ending in bayes(tweet_id, label, score): naive Bayes over the labelled documents."""
+    return f"""
+fit AS (SELECT {_LABEL_CASE} AS label, regexp_extract_all(lower(coalesce(d.text, '')), '[a-z]+') AS t
+        FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+ft AS (SELECT label, unnest(t) AS token FROM fit),
+fc AS (SELECT label, token, count(*) AS n FROM ft GROUP BY 1, 2),
+fl AS (SELECT label, ln(count(*) / (SELECT count(*) FROM fit)) AS prior,
+              coalesce((SELECT sum(n) FROM fc WHERE fc.label = fit.label), 0) + (SELECT count(DISTINCT token) FROM fc) AS total
+       FROM fit GROUP BY label),
+pt AS (SELECT tweet_id, token, count(*) AS n FROM (SELECT tweet_id, unnest(regexp_extract_all(lower(tweet_text), '[a-z]+')) AS token FROM {src}) GROUP BY 1, 2),
+ps AS (SELECT p.tweet_id, fl.label, fl.prior + sum(coalesce(p.n, 0) * ln((coalesce(fc.n, 0) + 1) / fl.total)) AS s
+       FROM pt p CROSS JOIN fl LEFT JOIN fc ON fc.label = fl.label AND fc.token = p.token GROUP BY p.tweet_id, fl.label, fl.prior),
+allp AS (SELECT q.tweet_id, fl.label, coalesce(ps.s, fl.prior) AS s FROM {src} q CROSS JOIN fl
+         LEFT JOIN ps ON ps.tweet_id = q.tweet_id AND ps.label = fl.label),
+pm AS (SELECT *, max(s) OVER (PARTITION BY tweet_id) AS m FROM allp),
+bayes AS (SELECT tweet_id, min(label) FILTER (s = m) AS label, round(1.0 / sum(exp(s - m)), 6) AS score FROM pm GROUP BY tweet_id)"""
 
-@query("model_scores", O.with_posts(_MODEL_SQL))
+
+def _bayes(spark, sf) -> SN.NaiveBayes:
+    lab = read_table(spark, sf, "labels").withColumn("label", SN.class_from_labels()).select("doc_id", "label")
+    return SN.fit_naive_bayes(read_table(spark, sf, "documents").select("doc_id", "text").join(lab, "doc_id"))
+
+
+@query("model_scores", O.with_posts("SELECT tweet_id, label, score FROM bayes", _bayes_ctes()))
 def q_model_scores(spark, sf):
-    return SN.score_model(_posts(spark, sf)).select("tweet_id", "label", "score")
+    return SN.score_naive_bayes(_posts(spark, sf), _bayes(spark, sf)).select("tweet_id", "label", "score")
 
 
 # ---------------------------------------------------------------------------
@@ -415,12 +482,11 @@ _NEWEST_SQL = f"nk AS (SELECT * FROM posts ORDER BY created_at DESC, tweet_id LI
 
 
 @query("newest_k", O.with_posts(
-    "SELECT tweet_text, label AS sentiment, created_at FROM (" +
-    _MODEL_SQL.replace("FROM posts", "FROM nk").replace("SELECT tweet_id, length", "SELECT tweet_id, tweet_text, created_at, length")
-    .replace("SELECT tweet_id, CASE", "SELECT tweet_text, created_at, CASE") + ")", _NEWEST_SQL))
+    "SELECT nk.tweet_text, bayes.label AS sentiment, nk.created_at FROM nk JOIN bayes USING (tweet_id)",
+    _NEWEST_SQL + ", " + _bayes_ctes("nk")))
 def q_newest_k(spark, sf):
     nk = SM.newest_k(_posts(spark, sf))
-    return SN.score_model(nk).select("tweet_text", F.col("label").alias("sentiment"), "created_at")
+    return SN.score_naive_bayes(nk, _bayes(spark, sf)).select("tweet_text", F.col("label").alias("sentiment"), "created_at")
 
 
 @query("clean_texts", O.with_posts(f"SELECT tweet_id, {O.clean_text_sql('tweet_text')} AS clean_text FROM posts"))
@@ -437,20 +503,22 @@ def q_unique_texts(spark, sf):
     return SM.unique_texts(SM.clean_posts(_posts(spark, sf)))
 
 
-_CHUNKS_SQL = _NEWEST_SQL + f""",
+_CHUNKS_SQL = f"""
 ct AS (SELECT tweet_id, created_at, {O.clean_text_sql('tweet_text')} AS t,
-              row_number() OVER (ORDER BY created_at DESC, tweet_id) AS pos FROM nk),
+              row_number() OVER (ORDER BY created_at DESC, tweet_id) AS pos FROM posts),
 ut AS (SELECT t, min(pos) AS first_pos FROM ct GROUP BY t),
 un AS (SELECT t, row_number() OVER (ORDER BY first_pos) AS n FROM ut),
 chunks AS (SELECT cast(floor((n - 1) / {C.CHUNK_SIZE}) + 1 AS BIGINT) AS chunk_id, count(*) AS n_texts,
                   string_agg(t, chr(10) ORDER BY n) AS chunk_text FROM un GROUP BY 1)"""
 
 
+def _numbered_texts(spark, sf) -> DataFrame:
+    """Every distinct cleaned text, numbered newest first."""
+    return SM.global_ordinal(SM.unique_texts(SM.clean_posts(_posts(spark, sf))), SM.newest_first())
+
+
 def _chunks(spark, sf) -> DataFrame:
-    nk = SM.clean_posts(SM.newest_k(_posts(spark, sf)))
-    u = SM.unique_texts(nk)
-    u = SM.small_ordinal(u, [F.col("created_at").desc_nulls_last(), F.col("tweet_id").asc()])
-    return SM.chunk_texts(u)
+    return SM.chunk_texts(_numbered_texts(spark, sf))
 
 
 @query("text_chunks", O.with_posts(
@@ -467,7 +535,7 @@ SELECT cast(floor((n - 1) / {C.CHUNK_SIZE}) + 1 AS BIGINT) AS chunk_id, count(*)
 def q_conversation_chunks(spark, sf):
     cv = read_table(spark, sf, "conversations").withColumn("clean_text", TX.clean_text("text"))
     n = SM.global_ordinal(cv.select("conv_id", "turn", "clean_text"), ["conv_id", "turn"])
-    return SM.chunk_texts(n)
+    return SM.chunk_texts(n).drop("texts")
 
 
 KEYWORDS = ["und", "por"]
@@ -478,8 +546,7 @@ KEYWORDS = ["und", "por"]
     "SELECT chunk_id, " + " OR ".join(f"contains(lower(chunk_text), '{k}')" for k in KEYWORDS)
     + " AS hit FROM chunks)", _CHUNKS_SQL))
 def q_keyword_first(spark, sf):
-    ch = _chunks(spark, sf).withColumn("hit", TX.contains_any("chunk_text", KEYWORDS))
-    ordered = SM.small_ordinal(ch, [F.col("hit").desc(), F.col("chunk_id").asc()], name="position")
+    ordered = SM.keyword_first(_chunks(spark, sf), "chunk_text", "chunk_id", KEYWORDS)
     return ordered.select("chunk_id", "hit", F.col("position").cast("long").alias("position"))
 
 
@@ -513,18 +580,54 @@ def q_summary_cleanup(spark, sf):
     return d.select("doc_id", TX.clean_summary("text").alias("summary"))
 
 
-@query("chunk_summaries", O.with_posts(f"""
-SELECT chunk_id, trim(array_to_string(list_transform(
-         list_filter(string_split(chunk_text, chr(10)), lambda t: trim(regexp_replace(t, '{O.WS}+', ' ', 'g')) <> ''),
-         lambda t: {_split_sql("trim(regexp_replace(t, '" + O.WS + "+', ' ', 'g'))")}[1]), ' ')) AS summary
-FROM chunks""", _CHUNKS_SQL))
+_HIT_SQL = "(" + " OR ".join(f"contains(lower({{c}}), '{k}')" for k in KEYWORDS) + ")"
+
+
+def _ranked_sql(src: str, out: str, by: str, pos: str) -> str:
+    """CTE ``out``: the sentences of ``src`` with hit and freq (see ranked_sentences)."""
+    keys = f"{by + ', ' if by else ''}{pos}"
+    words = "w" if not by else f"{by}, w"
+    return f"""
+{out}w AS (SELECT {keys}, unnest(regexp_extract_all(lower(s), '[a-z]+')) AS w FROM {src}),
+{out}c AS (SELECT {words}, count(*) AS c FROM {out}w GROUP BY ALL),
+{out}f AS (SELECT {keys}, floor(1000 * sum(c) / count(*)) AS freq FROM {out}w JOIN {out}c USING ({words}) GROUP BY ALL),
+{out} AS (SELECT x.*, coalesce(f.freq, 0) AS freq, {_HIT_SQL.format(c='x.s')} AS hit
+          FROM {src} x LEFT JOIN {out}f f USING ({keys}))"""
+
+
+_SENTENCES_SQL = _CHUNKS_SQL + f""",
+sl AS (SELECT cast(floor((n - 1) / {C.CHUNK_SIZE}) + 1 AS BIGINT) AS chunk_id, n, {_split_sql('t')} AS ss FROM un),
+sx AS (SELECT chunk_id, n, i, ss[i] AS s FROM (SELECT *, unnest(range(1, len(ss) + 1)) AS i FROM sl)),
+sd AS (SELECT chunk_id, n, i, s FROM (SELECT *, row_number() OVER (PARTITION BY chunk_id, lower(s) ORDER BY n, i) AS rn FROM sx) WHERE rn = 1),
+""" + _ranked_sql("sd", "sr", "chunk_id", "n, i") + f""",
+sk AS (SELECT chunk_id, n, i, s FROM (SELECT *, row_number() OVER (PARTITION BY chunk_id ORDER BY hit DESC, freq DESC, n, i) AS k FROM sr)
+       WHERE k <= {SM.CHUNK_SENTENCES}),
+summ AS (SELECT chunk_id, string_agg(s, ' ' ORDER BY n, i) AS summary FROM sk GROUP BY chunk_id)"""
+
+
+def _kept_sentences(spark, sf) -> DataFrame:
+    return SM.chunk_sentences(_numbered_texts(spark, sf), keywords=KEYWORDS).checkpoint(eager=True)
+
+
+@query("chunk_summaries", O.with_posts("SELECT chunk_id, summary FROM summ", _SENTENCES_SQL))
 def q_chunk_summaries(spark, sf):
-    return SM.summarize_chunks(_chunks(spark, sf))
+    return SM.chunk_summaries(_kept_sentences(spark, sf))
+
+
+_FINAL_SQL = _SENTENCES_SQL + f""",
+fk AS (SELECT sk.*, CASE WHEN {_HIT_SQL.format(c='summ.summary')} THEN 0 ELSE 1 END AS key FROM sk JOIN summ USING (chunk_id)),
+fd AS (SELECT key, chunk_id, n, i, s FROM (SELECT *, row_number() OVER (PARTITION BY lower(s) ORDER BY key, chunk_id, n, i) AS rn FROM fk) WHERE rn = 1),
+""" + _ranked_sql("fd", "fr", "", "key, chunk_id, n, i") + f""",
+fb AS (SELECT * FROM fr ORDER BY hit DESC, freq DESC, key, chunk_id, n, i LIMIT {SM.FINAL_SENTENCES}),
+ft AS (SELECT coalesce(string_agg(s, ' ' ORDER BY key, chunk_id, n, i), '') AS text FROM fb),
+fs AS (SELECT {_split_sql(_clean_summary_sql('text'))} AS s FROM ft)"""
 
 
-@query("final_summary")
+@query("final_summary", O.with_posts(
+    "SELECT trim(array_to_string(list_filter(s, lambda x, i: list_position(list_transform(s, lambda y: lower(y)), lower(x)) = i), ' ')) AS summary FROM fs",
+    _FINAL_SQL))
 def q_final_summary(spark, sf):
-    return SM.final_summary(SM.summarize_chunks(_chunks(spark, sf)))
+    return SM.final_summary(_kept_sentences(spark, sf), KEYWORDS)
 
 
 # ---------------------------------------------------------------------------
@@ -533,8 +636,6 @@ def q_final_summary(spark, sf):
 
 @query("csv_roundtrip", O.with_posts(f"SELECT {_POST_COLS_SQL} FROM posts"))
 def q_csv_roundtrip(spark, sf):
-    from chirpscope import schemas as S
-    from chirpscope.session import scratch_path
     from chirpscope.sources.readers import read_posts_csv
     from chirpscope.sources.writers import append_csv, write_csv
     p = _posts(spark, sf)
@@ -545,63 +646,241 @@ def q_csv_roundtrip(spark, sf):
     return read_posts_csv(spark, path, S.POSTS)                        # SRC1
 
 
+@query("csv_offset_roundtrip", O.with_posts("SELECT tweet_id, tweet_text, created_at FROM posts"))
+def q_csv_offset_roundtrip(spark, sf):
+    """Post files as other tools write them: a space, no decimals or some, an offset or none."""
+    from chirpscope.sources.readers import read_posts_csv
+    from chirpscope.sources.writers import write_csv
+    p = _posts(spark, sf)
+    path = scratch_path(spark, "posts-offset-csv")
+    there = F.date_format(F.col("created_at") + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    form = (F.when(F.col("tweet_id") % 3 == 0, F.concat(F.date_format("created_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("+00:00")))
+            .when(F.col("tweet_id") % 3 == 1, F.concat(there, F.lit("+02:00")))
+            .otherwise(F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")))
+    write_csv(p.withColumn("created_at", form), path)
+    return read_posts_csv(spark, path, S.POSTS).select("tweet_id", "tweet_text", "created_at")
+
+
 @query("table_scan_sql", O.with_posts(
-    "SELECT tweet_id, author_id, tweet_text, created_at FROM posts WHERE tweet_text IS NOT NULL ORDER BY created_at"))
+    "SELECT tweet_id, author_id, tweet_text, created_at FROM posts WHERE tweet_text IS NOT NULL"))
 def q_table_scan_sql(spark, sf):
     from chirpscope.sources.readers import run_sql, scan_not_null
-    _posts(spark, sf).createOrReplaceTempView("posts")
-    s = run_sql(spark, "SELECT * FROM posts ORDER BY created_at")
-    return scan_not_null(s, ["tweet_id", "author_id", "tweet_text", "created_at"], "tweet_text")
+    return scan_not_null(run_sql(spark, "SELECT * FROM {posts}", posts=_posts(spark, sf)),
+                         ["tweet_id", "author_id", "tweet_text", "created_at"], "tweet_text").orderBy("created_at")
+
+
+@query("metrics_reread", O.with_posts(
+    "SELECT node, degree, round(pagerank, 4) AS pagerank, printf('%s (pagerank=%.4f)', node, pagerank) AS line FROM (" +
+    "SELECT node, degree, pagerank FROM hd_deg JOIN hp_pr USING (node) ORDER BY round(pagerank, 12) DESC, degree DESC, node "
+    f"LIMIT {C.TOP_K})",
+    O.HASHTAG_EDGES_CTE + "," + O.degree_cte("h_edges", "node_u", "node_v", "hd") + ","
+    + O.pagerank_ctes("h_edges", "node_u", "node_v", False, "hp")))
+def q_metrics_reread(spark, sf):
+    """Save the metrics table, read it back, top nodes with their display lines (SRC2, SRT8, FN16)."""
+    from chirpscope.sources.readers import read_node_metrics_csv
+    from chirpscope.sources.writers import write_csv
+    path = scratch_path(spark, "metrics-csv")
+    write_csv(_metrics(spark, sf, mention=False).select(*S.NODE_METRICS.names), path)
+    top = G.top_nodes(read_node_metrics_csv(spark, path), [C.NODE_TYPE_HASHTAG], with_type=False)
+    line = F.format_string("%s (pagerank=%.4f)", F.col("node"), F.col("pagerank"))
+    return top.select("node", "degree", F.round("pagerank", 4).alias("pagerank"), line.alias("line"))
+
+
+@query("network_exports", O.with_posts("""
+SELECT 'mention_edges' AS file, count(*) AS rows, cast(sum(weight) AS BIGINT) AS total FROM m_edges
+UNION ALL SELECT 'hashtag_edges', count(*), cast(sum(weight) AS BIGINT) FROM h_edges
+UNION ALL SELECT 'nodes_metrics', count(*), cast(sum(degree) AS BIGINT) FROM hd_deg
+UNION ALL SELECT 'top_hashtags', least(count(*), 10), NULL FROM hd_deg
+UNION ALL SELECT 'top_accounts', 0, NULL""",
+    O.MENTION_EDGES_CTE + "," + O.HASHTAG_EDGES_CTE + "," + O.degree_cte("h_edges", "node_u", "node_v", "hd")))
+def q_network_exports(spark, sf):
+    """All five exports written and read back (SNK3); the metrics here are the tag graph's."""
+    from chirpscope.sources.writers import export_network
+    p = _posts(spark, sf)
+    me, he = G.mention_edges(p).checkpoint(eager=True), G.hashtag_edges(p).checkpoint(eager=True)
+    nodes = _metrics(spark, sf, mention=False).select(*S.NODE_METRICS.names).checkpoint(eager=True)
+    base = scratch_path(spark, "network")
+    names = ["mention_edges", "hashtag_edges", "nodes_metrics", "top_accounts", "top_hashtags"]
+    paths = {n: f"{base}/{n}" for n in names}
+    export_network(paths, me, he, nodes, G.top_nodes(nodes, [C.NODE_TYPE_USER, C.NODE_TYPE_USER_ID]),
+                   G.top_nodes(nodes, [C.NODE_TYPE_HASHTAG], with_type=False))
+    out = None
+    for n, of in zip(names, ["weight", "weight", "degree", None, None]):
+        back = spark.read.options(header="true", multiLine="true", escape='"').csv(paths[n])
+        total = F.sum(F.col(of).cast("long")) if of else F.lit(None).cast("long")
+        row = back.agg(F.count(F.lit(1)).alias("rows"), total.alias("total")).select(F.lit(n).alias("file"), "rows", "total")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("summary_log", O.with_posts(
+    "SELECT summary, true AS stamped, 2 AS copies FROM summ", _SENTENCES_SQL))
+def q_summary_log(spark, sf):
+    """Stamped summary rows appended twice and read back (SNK7, FN19)."""
+    from chirpscope.sources.writers import append_summary
+    path, summaries = scratch_path(spark, "summary-log"), SM.chunk_summaries(_kept_sentences(spark, sf))
+    append_summary(spark, summaries, path)
+    append_summary(spark, summaries, path)
+    return (spark.read.schema(S.SUMMARIES).parquet(path).groupBy("summary")
+            .agg((F.count("generated_at") == F.count(F.lit(1))).alias("stamped"), F.count(F.lit(1)).cast("int").alias("copies")))
+
+
+@query("latest_text", O.with_posts(
+    "SELECT trim(array_to_string(list_filter(s, lambda x, i: list_position(list_transform(s, lambda y: lower(y)), lower(x)) = i), ' ')) AS value FROM fs",
+    _FINAL_SQL))
+def q_latest_text(spark, sf):
+    """The latest summary as text, overwritten once, read back (SNK8)."""
+    from chirpscope.sources.writers import write_latest_text
+    path, final = scratch_path(spark, "latest-text"), SM.final_summary(_kept_sentences(spark, sf), KEYWORDS)
+    write_latest_text(spark.range(1).select(F.lit("an older text").alias("summary")), path)
+    write_latest_text(final, path)
+    return spark.read.text(path)
+
+
+@query("created_table", "SELECT count(*) FILTER (false) AS before, count(*) AS after, false AS created_again FROM events")
+def q_created_table(spark, sf):
+    """Create a table if absent (SNK9), scan it empty (SRC9), fill it, find it there."""
+    from chirpscope.sources.writers import append_table, create_table_if_absent
+    ev, path = read_table(spark, sf, "events"), scratch_path(spark, "created")
+    create_table_if_absent(spark, path, ev.schema)
+    before = R.value_counts(spark.read.parquet(path), "event_type").agg(F.count(F.lit(1)).alias("before")).checkpoint(eager=True)
+    append_table(ev, path)
+    again = create_table_if_absent(spark, path, ev.schema)
+    after = spark.read.schema(ev.schema).parquet(path).agg(F.count(F.lit(1)).alias("after"))
+    return before.join(after).withColumn("created_again", F.lit(again))
+
+
+@query("append_posts", O.with_posts(f"SELECT {_POST_COLS_SQL} FROM posts"))
+def q_append_posts(spark, sf):
+    """A table appended to in two halves, partitioned by language, read back (SNK6)."""
+    from chirpscope.sources.writers import append_table
+    p, path = _posts(spark, sf), scratch_path(spark, "append-posts")
+    append_table(p.where("tweet_id % 2 = 0"), path, ["lang"])
+    append_table(p.where("tweet_id % 2 = 1"), path, ["lang"])
+    return spark.read.schema(S.POSTS).parquet(path).select(*POST_COLS)
+
+
+@query("key_scan", "SELECT doc_id AS tweet_id FROM labels")
+def q_key_scan(spark, sf):
+    """Keys of an existing target (SRC4)."""
+    from chirpscope.sources.readers import key_scan
+    path = scratch_path(spark, "keyed")
+    read_table(spark, sf, "labels").select(F.col("doc_id").alias("tweet_id"), "quality").write.parquet(path)
+    return key_scan(spark, path)
+
+
+# ---------------------------------------------------------------------------
+# reports over scored posts
+# ---------------------------------------------------------------------------
+
+_REPORT_SQL = _polarity_ctes() + """,
+rp AS (SELECT p.tweet_id, p.tweet_text, p.created_at, s.polarity, s.sentiment FROM posts p JOIN scored s USING (tweet_id)
+       WHERE p.created_at >= TIMESTAMP '2024-01-01' AND p.created_at < TIMESTAMP '2024-02-01' AND s.sentiment IN ('positive', 'negative'))"""
+
+
+def _report_posts(spark, sf) -> DataFrame:
+    """Posts of a date range and of two classes, with polarity: the frame all reports start from."""
+    in_range = R.filter_date_range(_posts(spark, sf), "created_at", "2024-01-01", "2024-01-31")
+    return R.filter_in(SN.score_lexicon(in_range, SN.fixture_lexicon(spark)), "sentiment", ["positive", "negative"])
+
+
+@query("scored_totals", O.with_posts("""SELECT count(*) AS total, count(*) FILTER (sentiment = 'positive') AS positive,
+count(*) FILTER (sentiment = 'negative') AS negative FROM rp""", _REPORT_SQL))
+def q_scored_totals(spark, sf):
+    return R.class_totals(_report_posts(spark, sf), "sentiment")
+
+
+@query("scored_counts", O.with_posts("SELECT sentiment, count(*) AS count FROM rp GROUP BY 1", _REPORT_SQL))
+def q_scored_counts(spark, sf):
+    return R.value_counts(_report_posts(spark, sf), "sentiment")
+
+
+@query("scored_trend", O.with_posts(
+    "SELECT cast(created_at AS DATE) AS date, round(avg(polarity), 6) AS avg_polarity FROM rp GROUP BY 1", _REPORT_SQL))
+def q_scored_trend(spark, sf):
+    return R.daily_mean(_report_posts(spark, sf), "created_at", "polarity", out="avg_polarity")
+
+
+@query("scored_top_bottom", O.with_posts("""
+SELECT * FROM (SELECT 'top' AS side, tweet_text, polarity FROM rp ORDER BY polarity DESC, tweet_id LIMIT 5)
+UNION ALL SELECT * FROM (SELECT 'bottom' AS side, tweet_text, polarity FROM rp ORDER BY polarity, tweet_id LIMIT 5)""", _REPORT_SQL))
+def q_scored_top_bottom(spark, sf):
+    return R.top_bottom(_report_posts(spark, sf), "polarity", "tweet_id", 5, cols=["tweet_text", "polarity"])
+
+
+@query("scored_top_per_label", O.with_posts("""
+SELECT label, tweet_id, score, printf('%s (score=%.2f)', cast(tweet_id AS VARCHAR), score) AS display, rk AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, tweet_id) AS rk FROM bayes) WHERE rk <= 5""", _bayes_ctes()))
+def q_scored_top_per_label(spark, sf):
+    s = SN.score_naive_bayes(_posts(spark, sf), _bayes(spark, sf)).withColumn("id_text", F.col("tweet_id").cast("string"))
+    t = R.top_per_class(s, "label", "score", "tweet_id", 5)
+    return t.select("label", "tweet_id", "score", R.display_line("id_text", "score").alias("display"), F.col("rank").cast("long").alias("rank"))
 
 
 # ---------------------------------------------------------------------------
-# streaming: the events table drained as a file stream (availableNow)
+# streaming: the events table as several files, drained one by one (availableNow)
 # ---------------------------------------------------------------------------
 
-def _event_stream(spark, sf):
+def _event_files(spark, sf) -> tuple[str, DataFrame]:
+    """The events in four files by id (``place`` 0), every fifth once more with another value
+    (``place`` 1): some of these in the same file as the first, some in a later one."""
+    ev = read_table(spark, sf, "events").withColumn("place", F.lit(0))
+    late = ev.where("event_id % 5 = 0").withColumn("value", -F.col("value") - 1).withColumn("place", F.lit(1))
+    files = ev.withColumn("f", F.col("event_id") % 4).unionByName(
+        late.withColumn("f", F.least(F.col("event_id") % 4 + F.col("event_id") % 2, F.lit(3))))
+    path = scratch_path(spark, "event-files")
+    for k in range(4):                       # one after the other: files are read in order of their time
+        files.where(F.col("f") == k).drop("f").coalesce(1).write.mode("append").parquet(path)
+    return path, ev.limit(0)
+
+
+def _event_stream(spark, path, like):
     from chirpscope.streaming.incremental import file_stream
-    schema = read_table(spark, sf, "events").schema
-    return file_stream(spark, sf, schema, glob="events.parquet")
+    return file_stream(spark, path, like.schema, max_files=1)
 
 
-def _stream_raw_posts(spark, sf):
-    ev = _event_stream(spark, sf)
-    d = read_table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
-    j = ev.join(d, ev["event_id"] == d["doc_id"])
-    return j.select(
-        d["doc_id"].alias("id"), ev["user_id"].alias("author_id"),
-        F.concat_ws("", d["text"], F.lit(" #"), d["source"], F.lit(" #"), ev["event_type"], F.lit(" #"),
-                    d["lang"], F.lit(" @"), d["source"], F.lit(" http://x.example/"), ev["event_type"]).alias("text"),
-        ev["ts"].alias("created_at"), d["lang"].alias("lang"), d["source"].alias("source"),
-        F.struct(F.floor(ev["value"]).cast("int").alias("like_count"),
-                 F.get_json_object(ev["props"], "$.k").cast("int").alias("retweet_count")).alias("public_metrics"))
+def _drained(run) -> None:
+    """Run a stream twice on one checkpoint: the second run must find nothing new."""
+    run()
+    if (again := run()):
+        raise RuntimeError(f"the second run read {again} rows again")
 
 
 @query("stream_ingest", O.with_posts(f"SELECT {_POST_COLS_SQL} FROM posts"))
 def q_stream_ingest(spark, sf):
-    from chirpscope.session import scratch_path
+    """Several micro-batches into a target that already holds the labelled posts (STR1, SNK4, SNK5)."""
+    from chirpscope.sources.writers import insert_if_new
     from chirpscope.streaming.incremental import stream_ingest
-    target = scratch_path(spark, "stream-posts")
-    stream_ingest(_stream_raw_posts(spark, sf), target)
+    path, like = _event_files(spark, sf)
+    target, checkpoint = scratch_path(spark, "stream-posts"), scratch_path(spark, "stream-posts-checkpoint")
+    lab = read_table(spark, sf, "labels").select(F.col("doc_id").alias("tweet_id"))
+    insert_if_new(spark, _posts(spark, sf).join(lab, "tweet_id", "left_semi"), target)
+    _drained(lambda: stream_ingest(raw_posts(spark, sf, _event_stream(spark, path, like), ("place",)), target, checkpoint,
+                                   order=["place"]))
     return spark.read.parquet(target).select(*POST_COLS)
 
 
 @query("stream_scoring", O.with_posts("SELECT * FROM scored", _polarity_ctes()))
 def q_stream_scoring(spark, sf):
-    from chirpscope.operators.ingest import flatten_records
-    from chirpscope.session import scratch_path
+    from chirpscope.sources.writers import insert_if_new
     from chirpscope.streaming.incremental import stream_scoring
-    target = scratch_path(spark, "stream-scored")
-    stream_scoring(flatten_records(_stream_raw_posts(spark, sf)), SN.fixture_lexicon(spark), target)
+    path, like = _event_files(spark, sf)
+    target, checkpoint = scratch_path(spark, "stream-scored"), scratch_path(spark, "stream-scored-checkpoint")
+    lab = read_table(spark, sf, "labels").select(F.col("doc_id").alias("tweet_id"))
+    lex = SN.fixture_lexicon(spark)
+    insert_if_new(spark, SN.score_lexicon(_posts(spark, sf).join(lab, "tweet_id", "left_semi"), lex), target)
+    _drained(lambda: stream_scoring(I.flatten_records(raw_posts(spark, sf, _event_stream(spark, path, like), ("place",)), ["place"]),
+                                    lex, target, checkpoint, order=["place"]))
     return spark.read.parquet(target).select("tweet_id", "polarity", "sentiment")
 
 
 @query("stream_daily_trend", """
+WITH e AS (SELECT ts, value FROM events UNION ALL SELECT ts, -value - 1 FROM events WHERE event_id % 5 = 0)
 SELECT cast(ts AS DATE) AS date, round(avg(CASE WHEN isnan(value) THEN NULL ELSE value END), 6) AS avg_value
-FROM events WHERE ts IS NOT NULL GROUP BY 1""")
+FROM e WHERE ts IS NOT NULL GROUP BY 1""")
 def q_stream_daily_trend(spark, sf):
-    from chirpscope.session import scratch_path
     from chirpscope.streaming.incremental import stream_daily_trend
-    target = scratch_path(spark, "stream-trend")
-    stream_daily_trend(_event_stream(spark, sf), target)
-    return spark.read.parquet(target)
+    path, like = _event_files(spark, sf)
+    target, checkpoint = scratch_path(spark, "stream-trend"), scratch_path(spark, "stream-trend-checkpoint")
+    _drained(lambda: stream_daily_trend(_event_stream(spark, path, like), target, checkpoint))
+    return spark.read.schema("avg_value double, date date").parquet(target).select("date", "avg_value")

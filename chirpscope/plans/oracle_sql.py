@@ -6,6 +6,8 @@ CTE per round, a fixed number of rounds large enough for the driver's graphs.
 
 from __future__ import annotations
 
+from chirpscope import constants as C
+
 POSTS_SQL = """
 SELECT d.doc_id AS tweet_id,
        e.user_id AS author_id,
@@ -26,8 +28,7 @@ WS = r"[\s\v\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x
 NON_WS = r"[^\s\v\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 ASCII_WS = r"[\s\v\x{1c}-\x{1f}]"
 
-MENTION_RE = r"@([A-Za-z0-9_]{1,15})"
-HASHTAG_RE = r"#([A-Za-z0-9_]+)"
+MENTION_RE, HASHTAG_RE = C.MENTION_PATTERN, C.HASHTAG_PATTERN
 
 
 def with_posts(body: str, extra: str = "") -> str:
@@ -58,8 +59,8 @@ def mentions_sql(col: str) -> str:
 
 MENTION_EDGES_CTE = f"""
 m_edges AS (
-  SELECT 'user:' || cast(author_id AS VARCHAR) AS source, '@' || m AS target, count(*) AS weight
-  FROM (SELECT author_id, unnest({mentions_sql('tweet_text')}) AS m FROM posts WHERE author_id IS NOT NULL)
+  SELECT 'user:' || coalesce(cast(author_id AS VARCHAR), '{C.UNKNOWN_AUTHOR}') AS source, '@' || m AS target, count(*) AS weight
+  FROM (SELECT author_id, unnest({mentions_sql('tweet_text')}) AS m FROM posts)
   GROUP BY 1, 2)
 """
 
