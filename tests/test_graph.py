@@ -74,11 +74,25 @@ def test_weighted_betweenness_matches_brute_force(spark):
         adj[b][a] = w
     used = sorted({x for e in edges for x in e})
     exp = brute_betweenness(used, adj)
-    got = {r["node"]: r["betweenness"]
-           for r in G.betweenness(und(spark, [(a, b, w) for (a, b), w in edges.items()]), False,
-                                  pivot_block=3).collect()}
-    for k in used:
-        assert got[k] == pytest.approx(exp[k], abs=1e-12)
+    for block in (1, 7):
+        got = {r["node"]: r["betweenness"]
+               for r in G.betweenness(und(spark, [(a, b, w) for (a, b), w in edges.items()]), False,
+                                      pivot_block=block).collect()}
+        for k in used:
+            assert got[k] == pytest.approx(exp[k], abs=1e-12)
+    with pytest.raises(ValueError):
+        G.betweenness(und(spark, [("#a", "#b", 1), ("#b", "#c", 0)]), False)
+
+
+def test_pagerank_splits_a_hub(spark, monkeypatch):
+    monkeypatch.setattr(G, "ARCS_PER_PART", 30_000)
+    n = 100_000
+    star = spark.range(n).select(F.lit("hub").alias("node_u"), F.concat(F.lit("x"), F.col("id").cast("string")).alias("node_v"), F.lit(1).cast("long").alias("weight"))
+    got = G.pagerank(star, False, tol=1e-9)
+    hub = got.where("node = 'hub'").head()["pagerank"]
+    leaf = got.where("node <> 'hub'").agg(F.min("pagerank"), F.max("pagerank"), F.count(F.lit(1))).head()
+    assert hub == pytest.approx((0.15 / (n + 1) + 0.85 * 0.15 * n / (n + 1)) / (1 - 0.85 ** 2), rel=1e-3)
+    assert leaf[2] == n and leaf[0] == pytest.approx(leaf[1]) and hub + n * leaf[0] == pytest.approx(1.0, abs=1e-6)
 
 
 def test_mention_graph_betweenness_zero(spark):
@@ -146,6 +160,8 @@ def test_hashtag_edges_dedupe_per_post(spark):
     m = spark.createDataFrame([(1, 10, "@a @a @b")], "tweet_id long, author_id long, tweet_text string")
     me = {(r["source"], r["target"]): r["weight"] for r in G.mention_edges(m).collect()}
     assert me == {("user:10", "@a"): 2, ("user:10", "@b"): 1}
+    m = spark.createDataFrame([(1, None, "@a"), (2, None, "@a")], "tweet_id long, author_id long, tweet_text string")
+    assert [(r["source"], r["weight"]) for r in G.mention_edges(m).collect()] == [("user:None", 2)]
 
 
 def test_neighbourhood_hops(spark):
@@ -159,4 +175,3 @@ def test_empty_graph_keeps_schema(spark):
     assert G.pagerank(e, False).count() == 0
     assert G.degree(e, False).columns == ["node", "degree"]
     assert G.hashtag_edges(spark.createDataFrame([], "tweet_id long, tweet_text string")).count() == 0
-    assert F is not None

@@ -21,29 +21,64 @@ def posts_df(spark, rows):
     return spark.createDataFrame(rows, "tweet_id long, tweet_text string, created_at timestamp_ntz")
 
 
-def test_lexicon_paths_agree(spark, monkeypatch):
-    rows = [(1, "The and the", dt.datetime(2024, 1, 1)), (2, "nothing here", dt.datetime(2024, 1, 2)),
-            (3, None, dt.datetime(2024, 1, 3)), (4, "LA la de por", dt.datetime(2024, 1, 4))]
-    p = posts_df(spark, rows)
-    lex = SN.fixture_lexicon(spark)
-    inline = {r["tweet_id"]: r["polarity"] for r in SN.lexicon_polarity(p, lex).collect()}
-    monkeypatch.setattr(SN, "INLINE_LEXICON_MAX", 0)
-    joined = {r["tweet_id"]: r["polarity"] for r in SN.lexicon_polarity(p, lex).collect()}
-    assert inline == joined
-    assert inline[1] == pytest.approx((0.5 - 0.1 + 0.5) / 3, abs=1e-6)
-    assert inline[2] == 0.0 and inline[3] == 0.0
-
-
-def test_model_scoring_error_rows(spark):
+ODD_POSTS = [(1, "The and the", dt.datetime(2024, 1, 1)), (2, "nothing here", dt.datetime(2024, 1, 2)),
+             (3, None, dt.datetime(2024, 1, 3)), (4, "LA la de por", dt.datetime(2024, 1, 4)), (1, "und", None),
+             (None, "the", None), (None, "und und the", None), (None, None, None), (4, "LA la de por", None)]
+
+
+def test_lexicon_paths_agree(spark):
+    p = posts_df(spark, ODD_POSTS)
+    small = SN.fixture_lexicon(spark).unionByName(spark.createDataFrame(
+        [(None, 0.3), ("nothing", None), ("por", 0.1)], "token string, score double"))
+    padded = small.unionByName(spark.range(100).select(
+        F.concat(F.lit("zz"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("token"), F.lit(9.0).alias("score")))
+
+    def scores(lex):
+        rows = SN.lexicon_polarity(p, lex).collect()
+        return sorted(((r["tweet_id"], r["tweet_text"], r["polarity"]) for r in rows), key=repr)
+
+    got = scores(small)
+    assert got == scores(padded) and len(got) == len(ODD_POSTS)
+    assert (1, "The and the", 0.3) in got and (1, "und", -0.6) in got and (None, "the", 0.5) in got
+    assert (None, "und und the", round((-0.6 - 0.6 + 0.5) / 3, 6)) in got and (3, None, 0.0) in got
+    assert (4, "LA la de por", round((-0.4 - 0.4 + 0.1 + 0.4) / 4, 6)) in got
+
+
+def test_naive_bayes(spark):
+    import math
+    from collections import Counter
+    fit = [("positive", "good fine good"), ("positive", "fine day"), ("negative", "bad awful day"), ("neutral", None), (None, "good bad")]
+    model = SN.fit_naive_bayes(spark.createDataFrame(fit, "label string, text string"))
+    words = {c: Counter(w for l, t in fit if l == c for w in (t or "").split()) for c in ("negative", "neutral", "positive")}
+    size = len(set().union(*words.values()))
+    prior = {"negative": 1 / 4, "neutral": 1 / 4, "positive": 2 / 4}
+
+    def want(text):
+        p = {c: prior[c] * math.prod((words[c][w] + 1) / (sum(words[c].values()) + size) for w in (text or "").split()) for c in words}
+        best = max(sorted(p), key=p.get)
+        return best, round(p[best] / sum(p.values()), 6)
+
+    texts = ["good day", "awful bad bad", "unseen", None, "", "good day"]
+    p = posts_df(spark, [(i % 5, t, None) for i, t in enumerate(texts)] + [(None, "fine", None)])
+    rows = SN.score_naive_bayes(p, model).collect()
+    assert len(rows) == 7 and all((r["label"], r["score"]) == want(r["tweet_text"]) for r in rows)
+    none = SN.fit_naive_bayes(spark.createDataFrame([], "label string, text string"))
+    assert {r["label"] for r in SN.score_naive_bayes(p, none).collect()} == {None}
+
+
+def test_plug_in_model_sees_whole_texts_and_reports_errors(spark):
     p = posts_df(spark, [(1, "abc", None), (2, "", None), (3, "x" * 600, None)])
 
     def load():
-        return SN.LengthModel()
+        def predict(texts):
+            if "" in texts:
+                raise ValueError("empty text")
+            return [("neutral", float(len(t))) for t in texts]
+        return predict
 
     got = {r["tweet_id"]: (r["label"], r["score"]) for r in SN.score_model(p, load).collect()}
-    assert got[2] == ("ERROR", None)
-    assert got[1] == ("negative", 3 / 512)
-    assert got[3][1] == 1.0
+    assert got == {1: ("neutral", 3.0), 2: ("ERROR", None), 3: ("neutral", 600.0)}
+    assert SN.score_model(p, load, max_chars=512).where("tweet_id = 3").head()["score"] == 512.0
 
 
 def test_incremental_scoring_only_new(spark):
@@ -77,7 +112,7 @@ def test_top_per_class_plan_has_group_limit(spark):
     t = R.top_per_class(ev, "k", "v", "id", 5)
     plan = t._jdf.queryExecution().executedPlan().toString()
     assert t.count() == 15
-    assert "WindowGroupLimit" in plan or "AdaptiveSparkPlan" in plan
+    assert "WindowGroupLimit" in plan
 
 
 def test_global_ordinal_matches_row_number(spark):
@@ -95,21 +130,49 @@ def test_unique_texts_keep_first(spark):
     assert u == {"same": 2, "other": 4}
 
 
-def test_chunks_and_reduce(spark):
+def test_chunks(spark):
     texts = spark.createDataFrame([(i, f"Text {i}. More.") for i in range(1, 41)], "n long, clean_text string")
     ch = SM.chunk_texts(texts).orderBy("chunk_id").collect()
     assert [r["n_texts"] for r in ch] == [15, 15, 10]
-    assert ch[0]["chunk_text"].split("\n")[0] == "Text 1. More."
-    summ = SM.summarize_chunks(SM.chunk_texts(texts))
-    assert summ.count() == 3
+    assert ch[0]["texts"][0] == "Text 1. More." and ch[0]["chunk_text"].split("\n")[1] == "Text 2. More."
 
-    def boom(xs):
+
+def test_every_sentence_competes(spark):
+    texts = spark.createDataFrame(
+        [(1, "Plain start. Silver fell again. Plain end."), (2, "plain START. Rates, rates and rates."), (3, None), (4, "")], "n long, clean_text string")
+    got = SM.chunk_sentences(texts, keep=2).orderBy("n", "i").collect()
+    assert [r["sentence"] for r in got] == ["Silver fell again.", "Rates, rates and rates."]
+    assert SM.chunk_summaries(SM.chunk_sentences(texts)).head()["summary"] == "Plain start. Silver fell again. Plain end. Rates, rates and rates."
+
+
+@pytest.mark.parametrize("chunks", [16, 40, 1000])
+def test_final_summary_does_not_depend_on_the_number_of_chunks(spark, chunks):
+    marks = [0, chunks // 5, chunks // 4, chunks // 3, chunks // 2, chunks - 1]
+    rows = [(i * 15 + 1, f"Filler number {'abcdefghij'[i % 10] * (i // 10 + 1)}. " + (f"Gold case {marks.index(i)} here." if i in marks else "")) for i in range(chunks)]
+    texts = spark.createDataFrame(rows, "n long, clean_text string")
+    final = SM.final_summary(SM.chunk_sentences(texts)).collect()
+    assert [r["summary"] for r in final] == [" ".join(f"Gold case {k} here." for k in range(6))]
+
+
+@pytest.mark.parametrize("fanout", [2, 15])
+def test_plug_in_summaries_lose_nothing(spark, fanout):
+    texts = spark.createDataFrame([(i, f"Line{i} a\nb." + (" gold" if i == 300 else "")) for i in range(1, 316)], "n long, clean_text string")
+
+    def keep_all(prompt, texts):
+        assert prompt.startswith("Summarize the following") and all(t in prompt for t in texts)
+        return " ".join(t for t in texts)
+
+    summaries = SM.summarize_chunks(SM.chunk_texts(texts), keep_all).checkpoint()
+    assert summaries.count() == 21
+    final = SM.reduce_summaries(summaries, keep_all, fanout=fanout).collect()
+    assert len(final) == 1 and [f"Line{i} " in final[0]["summary"] for i in range(1, 316)] == [True] * 315
+    assert final[0]["summary"].startswith("Line286 ")          # the chunk with the keyword comes first
+
+    def boom(prompt, texts):
         raise RuntimeError("down")
 
     err = SM.summarize_chunks(SM.chunk_texts(texts), boom).collect()
-    assert all(r["summary"].startswith("[Error summarizing chunk") for r in err)
-    final = SM.final_summary(summ).collect()
-    assert len(final) == 1 and final[0]["summary"].startswith("Text 1.")
+    assert all(r["summary"].startswith(f"[Error summarizing chunk {r['chunk_id']}") for r in err)
 
 
 def test_insert_if_new_and_tally(spark):
@@ -124,6 +187,39 @@ def test_insert_if_new_and_tally(spark):
     assert (tally["inserted"], tally["skipped"]) == (0, 2)
     missing = RD.key_scan(spark, scratch_path(spark, "nothing"))
     assert missing.count() == 0
+    b3 = spark.createDataFrame([(9, "second", None, 2), (9, "first", None, 1)], "tweet_id long, tweet_text string, created_at timestamp_ntz, seq int")
+    assert W.insert_if_new(spark, b3.where("seq > 0"), scratch_path(spark, "t-first"), order=[F.col("seq")]) == {"inserted": 1, "skipped": 1}
+    assert [r["tweet_text"] for r in I.new_rows(b3, None, order=[F.col("seq")]).collect()] == ["first"]
+
+
+def test_streams_go_on_where_they_stopped(spark):
+    from chirpscope.streaming.incremental import file_stream, stream_ingest
+    src, target, checkpoint = (scratch_path(spark, x) for x in ("s-in", "s-out", "s-checkpoint"))
+    rows = lambda ids, t: spark.createDataFrame([(i, None, t, None, None, None, None) for i in ids], S.RAW_POST).coalesce(1)
+    rows([1, 2], "a").write.mode("append").parquet(src)
+    run = lambda: stream_ingest(file_stream(spark, src, S.RAW_POST, max_files=1), target, checkpoint)
+    assert (run(), run()) == (2, 0)
+    rows([2, 3], "b").write.mode("append").parquet(src)
+    assert run() == 2
+    assert {r["tweet_id"]: r["tweet_text"] for r in spark.read.parquet(target).collect()} == {1: "a", 2: "a", 3: "b"}
+
+
+def test_timestamp_forms(spark):
+    forms = {"2025-10-15 19:08:51+00:00": (19, 8, 51, 0), "2025-10-15T19:08:51.5": (19, 8, 51, 500000), "2025-10-15 19:08:51 +0200": (17, 8, 51, 0),
+             "2025-10-15T19:08:51.123456Z": (19, 8, 51, 123456), " ": None, None: None}
+    df = spark.createDataFrame([(k,) for k in forms], "t string").select("t", RD.parse_timestamp(F.col("t")).alias("p"))
+    for r in df.collect():
+        want = forms[r["t"]]
+        assert r["p"] == (want and dt.datetime(2025, 10, 15, *want)), r
+    with pytest.raises(Exception, match="not a timestamp"):
+        spark.createDataFrame([("yesterday",)], "t string").select(RD.parse_timestamp(F.col("t"))).collect()
+
+
+def test_hand_made_post_file(spark, tmp_path):
+    (tmp_path / "p.csv").write_text('tweet_id,author_id,tweet_text,created_at,lang,source,like_count,retweet_count,sentiment\n'
+                                    '7,8,"two\nlines, ""quoted""",2025-10-15 19:08:51+00:00,en,,3,0,\n')
+    r = RD.read_posts_csv(spark, str(tmp_path / "p.csv")).collect()[0]
+    assert (r["tweet_id"], r["tweet_text"], r["created_at"]) == (7, 'two\nlines, "quoted"', dt.datetime(2025, 10, 15, 19, 8, 51))
 
 
 def test_first_per_key_order(spark):
@@ -158,7 +254,6 @@ def test_csv_multiline_roundtrip_and_sinks(spark):
     assert W.create_table_if_absent(spark, cp, S.SUMMARIES) is True
     assert W.create_table_if_absent(spark, cp, S.SUMMARIES) is False
     assert spark.read.parquet(cp).schema.names == S.SUMMARIES.names
-    assert os.path.sep or True
 
 
 def test_search_parse():
