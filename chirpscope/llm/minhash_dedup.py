@@ -14,8 +14,12 @@ Two nodes with similarity 0.8 miss each other in one tree with probability 1 - 0
 prefix that their region needs: with 24 trees 1e-11 for p = 2, 4e-6 for p = 4.
 
 A 2-bit sketch of the MinHash values drops candidates whose estimate is over four standard
-deviations too low.  The others are confirmed on the full sets of both texts: first those that
-span each neighbourhood, then those that still lie in different components.
+deviations too low, and so do set sizes that are too unequal.  Candidates are confirmed on the
+full sets of both texts, in two walks: the first confirms a spanning forest of each neighbourhood
+(a few pairs a node, however dense the group); the second looks, among groups of candidates that
+are not one component by then, at the pairs that lie in different components.  There a vector of
+shingle counts in ``COUNTS`` hash buckets bounds the intersection from above - exactly - and what
+it cannot rule out is confirmed on the texts too.
 
 Cases: null, empty and word-less texts have no shingles and link with nothing; a text of fewer
 words than a shingle is one shingle; rows with equal ids are judged by their texts, a component's
@@ -53,8 +57,13 @@ _B = np.random.default_rng(SEED + 1).integers(0, 1 << 32, HASHES, dtype=np.uint6
 _PAIR = np.uint64(0x5555555555555555)
 SKETCH_WORDS = HASHES // 32
 
-ORDER_ROW = "tree int, labels binary, sketch binary, node long, part int, side int"
-PAIR_ROW = "a long, b long, first boolean"
+#: Buckets of the count vector, four bits each.
+COUNTS = 256
+
+ORDER = {"tree": "int", "labels": "binary", "sketch": "binary", "node": "long", "n": "long"}
+#: What the second walk carries besides.
+ROOTED = {"root": "long", "counts": "binary"}
+PAIR_ROW = "a long, b long"
 
 
 # --- sets --------------------------------------------------------------------------------
@@ -103,8 +112,24 @@ def _sketch(mh: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=1, bitorder="little")
 
 
+def count_vectors(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Shingles in each of COUNTS buckets, two to a byte.  A set that overflows a bucket gets 15
+    everywhere, which bounds nothing and stays true."""
+    out = np.zeros((len(sizes), COUNTS), np.int64)
+    np.add.at(out, (np.repeat(np.arange(len(sizes)), sizes), (U.mix(h) >> np.uint64(56)).astype(np.int64) % COUNTS), 1)
+    out[out.max(axis=1) > 15] = 15
+    out = out.astype(np.uint8)
+    return out[:, ::2] | (out[:, 1::2] << 4)
+
+
+def _most_shared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """An upper bound of the intersection of two sets from their count vectors."""
+    return (np.minimum(x & 15, y & 15).sum(axis=1, dtype=np.int64) + np.minimum(x >> 4, y >> 4).sum(axis=1, dtype=np.int64))
+
+
 def document_sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """doc_id, text_key, n (set size), node (null without shingles) and the node's MinHash values."""
+    """doc_id, text_key, n (set size), node (null without shingles), the node's MinHash values and
+    its count vector."""
     U.small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,20 +137,20 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> Dat
             h, n = shingles(*U.text_bytes(b.column("text")), size)
             some = np.flatnonzero(n)
             node = np.zeros(len(n), np.uint64)
-            mh = np.empty((0, HASHES), np.uint32)
+            values, counts = np.full((2, len(n)), None, object)
             if len(some):
                 begin = (np.cumsum(n) - n)[some]
                 one, two = np.add.reduceat(U.mix(h), begin), np.bitwise_xor.reduceat(U.mix(h * np.uint64(3)), begin)
                 node[some] = U.mix(one ^ U.mix(two + n[some].astype(np.uint64)))
-                mh = minhashes(h, n)
-            values = np.full(len(n), None, object)
-            values[some] = [x.tobytes() for x in mh]
+                values[some] = [x.tobytes() for x in minhashes(h, n)]
+                counts[some] = [x.tobytes() for x in count_vectors(h, n[some])]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": b.column("doc_id"), "text_key": b.column("text_key"), "n": pa.array(n.astype(np.int64)),
-                "node": pa.array(node.view(np.int64), mask=n == 0), "mh": pa.array(values.tolist(), pa.binary())})
+                "node": pa.array(node.view(np.int64), mask=n == 0), "mh": pa.array(values.tolist(), pa.binary()),
+                "counts": pa.array(counts.tolist(), pa.binary())})
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
-    return U.stored(rows.mapInArrow(run, "doc_id long, text_key long, n long, node long, mh binary"), "sets")
+    return U.stored(rows.mapInArrow(run, "doc_id long, text_key long, n long, node long, mh binary, counts binary"), "sets")
 
 
 # --- candidates -----------------------------------------------------------------------------
@@ -136,13 +161,12 @@ def _order_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not b.num_rows:
             continue
         mh = np.frombuffer(b"".join(b.column("mh").to_pylist()), np.uint32).reshape(-1, HASHES)
-        node = b.column("node").to_numpy()
-        sketch = pa.array([x.tobytes() for x in _sketch(mh)], pa.binary())
+        same = {c: b.column(c) for c in b.schema.names if c != "mh"}
+        same["sketch"] = pa.array([x.tobytes() for x in _sketch(mh)], pa.binary())
         for t in range(TREES):
             own = np.ascontiguousarray((mh[:, t * DEPTH:(t + 1) * DEPTH] >> 16).astype(">u2")).view(np.uint8)
-            yield pa.RecordBatch.from_pydict({
-                "tree": pa.array(np.full(len(node), t, np.int32)), "labels": pa.array([x.tobytes() for x in own], pa.binary()),
-                "sketch": sketch, "node": node})
+            rows = same | {"tree": pa.array(np.full(len(mh), t, np.int32)), "labels": pa.array([x.tobytes() for x in own], pa.binary())}
+            yield pa.RecordBatch.from_pydict({c: rows[c] for c in (*ORDER, *ROOTED) if c in rows})
 
 
 def _estimate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -151,15 +175,22 @@ def _estimate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (same - 0.25) / 0.75
 
 
-def _neighbours(tree: np.ndarray, labels: np.ndarray, sketch: np.ndarray, node: np.ndarray, cutoff: float,
-                cut: int | None = None) -> pa.RecordBatch:
+def _flat(b: pa.RecordBatch, column: str, kind, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(b.column(column).to_pylist()), kind).reshape(-1, width)
+
+
+def _neighbours(rows: pa.RecordBatch, percent: int, cut: int | None = None) -> pa.RecordBatch:
     """Candidate pairs among sorted rows: at most REACH apart, sharing MIN_PREFIX labels; with
-    ``cut`` only pairs on different sides of that place."""
-    n = len(node)
-    prefix = np.zeros(n, np.uint64)
+    ``cut`` only pairs on different sides of that place.  Rows without roots give a spanning
+    forest of the candidates, rows with roots all that lie in different components."""
+    n, rooted = rows.num_rows, "root" in rows.schema.names
+    node, size, sketch = rows.column("node").to_numpy(), rows.column("n").to_numpy(), _flat(rows, "sketch", np.uint64, SKETCH_WORDS)
+    labels = _flat(rows, "labels", np.uint8, 2 * DEPTH)
+    prefix = rows.column("tree").to_numpy().astype(np.uint64)
     for k in range(2 * MIN_PREFIX):
         prefix = (prefix << np.uint64(8)) | labels[:, k].astype(np.uint64)
-    prefix = (prefix << np.uint64(8)) | tree.astype(np.uint64)
+    group = rows.column("root").to_numpy() if rooted else node
+    counts = _flat(rows, "counts", np.uint8, COUNTS // 2) if rooted else None
     left, right, score = [], [], []
     for o in range(1, min(REACH, n - 1) + 1):
         i = np.flatnonzero(prefix[:-o] == prefix[o:])
@@ -167,19 +198,30 @@ def _neighbours(tree: np.ndarray, labels: np.ndarray, sketch: np.ndarray, node:
             break
         if cut is not None:
             i = i[(i < cut) & (i + o >= cut)]
-        for at in range(0, len(i), 1 << 18):
-            part = i[at:at + (1 << 18)]
-            est = _estimate(sketch[part], sketch[part + o])
-            good = (est >= cutoff) & (node[part] != node[part + o])
-            left.append(part[good])
-            right.append(part[good] + o)
-            score.append(est[good])
-    if not left:
-        left = right = [np.zeros(0, np.int64)]
-        score = [np.zeros(0)]
-    i, j, est = np.concatenate(left), np.concatenate(right), np.concatenate(score)
-    order = np.argsort(-est, kind="stable")
-    i, j = i[order], j[order]
+        i = i[(group[i] != group[i + o]) & (100 * np.minimum(size[i], size[i + o]) >= percent * np.maximum(size[i], size[i + o]))]
+        for at in range(0, len(i), 1 << 16):
+            x = i[at:at + (1 << 16)]
+            est = _estimate(sketch[x], sketch[x + o])
+            good = est >= percent / 100 - SLACK
+            x, est = x[good], est[good]
+            if rooted:
+                shared = _most_shared(counts[x], counts[x + o])
+                good = 100 * shared >= percent * (size[x] + size[x + o] - shared)
+                x, est = x[good], est[good]
+            left.append(x)
+            right.append(x + o)
+            score.append(est)
+    none = [np.zeros(0, np.int64)]
+    i, j = np.concatenate(left or none), np.concatenate(right or none)
+    if not rooted and len(i):
+        keep = _spanning(i, j, np.concatenate(score), n)
+        i, j = i[keep], j[keep]
+    a, b = node[i], node[j]
+    return pa.RecordBatch.from_pydict({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+
+def _spanning(i: np.ndarray, j: np.ndarray, est: np.ndarray, n: int) -> np.ndarray:
+    """Places of the pairs that make a spanning forest, best estimates first."""
     root = list(range(n))
 
     def find(x: int) -> int:
@@ -188,30 +230,25 @@ def _neighbours(tree: np.ndarray, labels: np.ndarray, sketch: np.ndarray, node:
             x = root[x]
         return x
 
-    spans = np.zeros(len(i), bool)
-    for k, (x, y) in enumerate(zip(i.tolist(), j.tolist())):
-        x, y = find(x), find(y)
+    keep = []
+    for k in np.argsort(-est, kind="stable").tolist():
+        x, y = find(int(i[k])), find(int(j[k]))
         if x != y:
             root[x] = y
-            spans[k] = True
-    a, b = node[i], node[j]
-    return pa.RecordBatch.from_pydict({"a": np.minimum(a, b), "b": np.maximum(a, b), "first": pa.array(spans)})
-
-
-def _arrays(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    flat = lambda c, kind, w: np.frombuffer(b"".join(b.column(c).to_pylist()), kind).reshape(-1, w)
-    return (b.column("tree").to_numpy(), flat("labels", np.uint8, 2 * DEPTH), flat("sketch", np.uint64, SKETCH_WORDS),
-            b.column("node").to_numpy())
+            keep.append(k)
+    return np.array(keep, np.int64)
 
 
 def candidates(nodes: DataFrame, percent: int) -> DataFrame:
-    """Distinct candidate pairs (a < b) of nodes; ``first``: it spans a neighbourhood."""
+    """Distinct candidate pairs (a < b) of nodes.  ``nodes``: node, n, mh, and for the second walk
+    root and counts."""
     spark = nodes.sparkSession
-    cutoff = percent / 100 - SLACK
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8192")
-    rows = nodes.select("node", "mh").mapInArrow(_order_rows, "tree int, labels binary, sketch binary, node long")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartitionByRange(parts, "tree", "labels", "sketch", "node").sortWithinPartitions("tree", "labels", "sketch", "node")
+    kinds = ORDER | {c: k for c, k in ROOTED.items() if c in nodes.columns}
+    schema = ", ".join(f"{c} {k}" for c, k in kinds.items())
+    by = ["tree", "labels", "sketch", "node"]
+    rows = nodes.select("mh", "node", "n", *[c for c in ROOTED if c in nodes.columns]).mapInArrow(_order_rows, schema)
+    rows = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *by).sortWithinPartitions(*by)
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs of each batch with the REACH rows before it; the partition's own ends are passed
@@ -223,38 +260,41 @@ def candidates(nodes: DataFrame, percent: int) -> DataFrame:
             if head is None:
                 head = b.slice(0, REACH)
             elif head.num_rows < REACH:
-                head = pa.Table.from_batches([head, b.slice(0, REACH - head.num_rows)]).combine_chunks().to_batches()[0]
-            both = b if tail is None else pa.Table.from_batches([tail, b]).combine_chunks().to_batches()[0]
-            t, l, s, n = _arrays(both)
-            pairs = _neighbours(t, l, s, n, cutoff)
+                head = _stacked([head, b.slice(0, REACH - head.num_rows)])
+            both = b if tail is None else _stacked([tail, b])
+            pairs = _neighbours(both, percent)
             if pairs.num_rows:
-                yield _tagged(pairs=pairs)
+                yield _tagged(kinds, pairs=pairs)
             tail = both.slice(max(0, both.num_rows - REACH))
         if head is not None:
-            yield _tagged(rows=tail, part=part, side=0)
-            yield _tagged(rows=head, part=part - 1, side=1)
+            yield _tagged(kinds, rows=tail, part=part, side=0)
+            yield _tagged(kinds, rows=head, part=part - 1, side=1)
 
-    both = U.stored(rows.mapInArrow(walk, f"{PAIR_ROW}, {ORDER_ROW}"), "forest")
-    inside = both.filter("a is not null").select("a", "b", "first")
+    both = U.stored(rows.mapInArrow(walk, f"{PAIR_ROW}, {schema}, part int, side int"), "forest")
 
     def across(t: pa.Table) -> pa.Table:
-        t = t.sort_by([("side", "ascending"), ("tree", "ascending"), ("labels", "ascending"), ("sketch", "ascending"), ("node", "ascending")])
+        t = t.sort_by([(c, "ascending") for c in ("side", *by)])
         cut = int(np.searchsorted(t["side"].to_numpy(), 1))
-        b = t.combine_chunks().to_batches()[0]
-        return pa.Table.from_batches([_neighbours(*_arrays(b), cutoff, cut)])
+        return pa.Table.from_batches([_neighbours(t.combine_chunks().to_batches()[0], percent, cut)])
+
+    cuts = both.filter("a is null").drop("a", "b").groupBy("part").applyInArrow(across, PAIR_ROW)
+    return U.stored(both.filter("a is not null").select("a", "b").unionByName(cuts).distinct(), "candidates")
+
+
+def _stacked(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+
 
-    cuts = both.filter("a is null").select("tree", "labels", "sketch", "node", "part", "side").groupBy("part").applyInArrow(across, PAIR_ROW)
-    return U.stored(inside.unionByName(cuts).groupBy("a", "b").agg(F.max("first").alias("first")), "candidates")
+_ARROW = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
 
 
-def _tagged(pairs: pa.RecordBatch | None = None, rows: pa.RecordBatch | None = None, part: int = 0, side: int = 0) -> pa.RecordBatch:
-    kinds = {"a": pa.int64(), "b": pa.int64(), "first": pa.bool_(), "tree": pa.int32(), "labels": pa.binary(),
-             "sketch": pa.binary(), "node": pa.int64(), "part": pa.int32(), "side": pa.int32()}
+def _tagged(kinds: dict, pairs: pa.RecordBatch | None = None, rows: pa.RecordBatch | None = None, part: int = 0, side: int = 0) -> pa.RecordBatch:
     given = pairs if pairs is not None else rows
     n = given.num_rows
     extra = {} if rows is None else {"part": pa.array(np.full(n, part, np.int32)), "side": pa.array(np.full(n, side, np.int32))}
+    every = {"a": "long", "b": "long"} | kinds | {"part": "int", "side": "int"}
     return pa.RecordBatch.from_pydict({
-        c: given.column(c) if c in given.schema.names else extra.get(c, pa.nulls(n, k)) for c, k in kinds.items()})
+        c: given.column(c) if c in given.schema.names else extra.get(c, pa.nulls(n, _ARROW[k])) for c, k in every.items()})
 
 
 # --- confirmation ------------------------------------------------------------------------------
@@ -286,24 +326,25 @@ def confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Data
 
 def node_components(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
     """(node, root) of all nodes that have a link."""
-    nodes = sets.filter("node is not null").groupBy("node").agg(
-        F.first("mh").alias("mh"), F.min(F.struct("doc_id", "text_key")).alias("rep"))
-    nodes = U.stored(nodes, "nodes")
-    found = candidates(nodes, percent)
+    nodes = U.stored(sets.filter("node is not null").groupBy("node").agg(
+        F.first("n").alias("n"), F.first("mh").alias("mh"), F.first("counts").alias("counts"),
+        F.min(F.struct("doc_id", "text_key")).alias("rep")), "nodes")
+    found = candidates(nodes.select("node", "n", "mh"), percent)
     wanted = U.stored(found.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "rep"), "node")
                       .select("node", F.col("rep.doc_id").alias("__id"), F.col("rep.text_key").alias("__key")), "wanted")
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
     texts = U.stored(source.join(wanted, source["doc_id"].eqNullSafe(wanted["__id"]) & (source["text_key"] == wanted["__key"]))
                      .select("node", "text"), "texts").dropDuplicates(["node"])
-    sure = U.stored(confirm(found.filter("first"), texts, size, percent), "links")
+    sure = U.stored(confirm(found, texts, size, percent), "links")
     roots = components(sure)
-    root = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
-    rest = (found.filter("not first").join(root("a"), "a", "left").join(root("b"), "b", "left")
-            .filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"))
+    # groups of candidates that are not one component yet: look at their other pairs
+    groups = components(found).withColumnRenamed("root", "grp").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    groups = U.stored(groups, "groups")
+    split = groups.groupBy("grp").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("grp")
+    open_ = U.stored(groups.join(split, "grp").select("node", "root"), "open")
+    rest = candidates(nodes.join(open_, "node").select("node", "n", "mh", "root", "counts"), percent)
     more = U.stored(confirm(rest, texts, size, percent), "links")
-    if more.isEmpty():
-        return roots
-    return components(sure.unionByName(more))
+    return roots if more.isEmpty() else components(sure.unionByName(more))
 
 
 def component_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
