@@ -60,4 +60,3 @@ FINAL_SUFFIX = "\n\nFinal Summary:"
 
 # --- fixed values: search --------------------------------------------------
 DEFAULT_SEARCH = "fed rate cut lang:en -is:retweet"
-SEARCH_MAX_RESULTS = 100

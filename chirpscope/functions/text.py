@@ -130,15 +130,16 @@ def split_sentences(c) -> Column:
 
 
 def distinct_ci(arr) -> Column:
-    """Keep the first of each case-insensitive duplicate, order kept (SET5)."""
-    # bind the array and its lowered copy once each through outer lambda variables:
-    # an outer expression inside the inner lambda would be re-evaluated per element
-    def dedupe(a):
-        return F.element_at(F.transform(
-            F.array(F.transform(a, lambda s: F.lower(s))),
-            lambda low: F.filter(a, lambda s, i: F.array_position(low, F.lower(s)) == i + 1)), 1)
+    """Keep the first of each case-insensitive duplicate, order kept (SET5): sort by
+    (lower-cased, place), keep the first of each run, sort back — n log n in the elements."""
+    sorted_ = F.array_sort(F.transform(_col(arr), lambda s, i: F.struct(F.lower(s).alias("l"), i.alias("i"), s.alias("s"))))
 
-    return F.element_at(F.transform(F.array(_col(arr)), dedupe), 1)
+    def firsts(z):
+        # z is bound once by the outer lambda; element_at is 1-based, so k is the one before
+        return F.filter(z, lambda x, k: (k == 0) | (F.element_at(z, F.greatest(k, F.lit(1)))["l"] != x["l"]))
+
+    kept = F.element_at(F.transform(F.array(sorted_), firsts), 1)
+    return F.transform(F.array_sort(F.transform(kept, lambda x: F.struct(x["i"].alias("i"), x["s"].alias("s")))), lambda x: x["s"])
 
 
 def clean_summary(c) -> Column:
@@ -146,11 +147,6 @@ def clean_summary(c) -> Column:
     return F.trim(F.array_join(distinct_ci(split_sentences(summary_ascii(c))), " "))
 
 
-def first_sentence(c) -> Column:
-    """First sentence of a cleaned text (extractive default of the map step)."""
-    return F.coalesce(F.element_at(split_sentences(squeeze_ws(text_or_empty(c))), 1), F.lit(""))
-
-
 # --- predicates (FLT6, FN11, SRC8) ------------------------------------------------
 
 def contains_any(c, keywords: Iterable[str]) -> Column:
