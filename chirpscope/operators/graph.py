@@ -151,8 +151,13 @@ def pagerank(edges: DataFrame, directed: bool, alpha: float = C.PAGERANK_ALPHA,
     n_parts = max(1, -(-(a.count() + n) // ARCS_PER_PART))
     hubs = (a.groupBy("src").agg(F.count(F.lit(1)).alias("_m")).where(F.col("_m") > ARCS_PER_PART)
             .select("src", F.ceil(F.col("_m") / ARCS_PER_PART).cast("int").alias("slices")).checkpoint(eager=True))
+    split = not hubs.isEmpty()
     slices = F.coalesce(F.col("slices"), F.lit(1))
-    ext = (a.join(out_w, "src").join(F.broadcast(hubs), "src", "left")
+
+    def with_slices(df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(hubs), "src", "left") if split else df.withColumn("slices", F.lit(1))
+
+    ext = (with_slices(a.join(out_w, "src"))
            .select("src", F.pmod(F.xxhash64("dst"), slices).cast("int").alias("slice"), "dst",
                    (F.col("w") / F.col("ow")).alias("wn"), F.lit(False).alias("self"))
            .unionByName(nodes.select(F.col("node").alias("src"), F.lit(0).alias("slice"), F.col("node").alias("dst"),
@@ -162,8 +167,10 @@ def pagerank(edges: DataFrame, directed: bool, alpha: float = C.PAGERANK_ALPHA,
     dang = ranks.where("dangling").agg(F.coalesce(F.sum("x"), F.lit(0.0))).first()[0]
     for it in range(1, max_iter + 1):
         base = (alpha * dang + (1.0 - alpha)) / n
-        spread = (ranks.withColumnRenamed("node", "src").join(F.broadcast(hubs), "src", "left")
-                  .withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1))).drop("slices"))
+        spread = ranks.withColumnRenamed("node", "src").withColumn("slice", F.lit(0))
+        if split:
+            spread = (with_slices(spread).withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1)))
+                      .drop("slices"))
         j = ext.join(spread, ["src", "slice"])
         new = (j.groupBy(F.col("dst").alias("node"))
                .agg(F.sum(F.when(~F.col("self"), F.col("x") * F.col("wn"))).alias("s"),
