@@ -117,9 +117,15 @@ def features(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out.astype(np.float32)
 
 
+def _features(text: pa.Array) -> np.ndarray:
+    """Features of a batch, some megabytes of text at a time."""
+    groups = U.bulk([pa.RecordBatch.from_arrays([text], ["text"])], "text")
+    return np.concatenate([features(*U.text_bytes(g.column("text"))) for g in groups] or [np.zeros((0, len(FEATURES)), np.float32)])
+
+
 def features_udf():
     def run(text: pa.Array) -> pa.Array:
-        f = features(*U.text_bytes(text))
+        f = _features(text)
         return pa.ListArray.from_arrays(np.arange(len(f) + 1, dtype=np.int32) * len(FEATURES), pa.array(f.reshape(-1)))
     run.__annotations__ = {"text": pa.Array, "return": pa.Array}
     return F.arrow_udf(run, "array<float>")
@@ -271,7 +277,7 @@ def score_features(model: Additive):
 
 def score_texts(model: Additive):
     def run(text: pa.Array) -> pa.Array:
-        return pa.array(model.score(features(*U.text_bytes(text))))
+        return pa.array(model.score(_features(text)))
     run.__annotations__ = {"text": pa.Array, "return": pa.Array}
     return F.arrow_udf(run, "double")
 
