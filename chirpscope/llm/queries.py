@@ -15,9 +15,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: str | None = None, settle: bool = False):
+    """Register a query.  ``settle``: it ends in a step that wants tiny Arrow batches, so its rows
+    are stored and the session's batch size is put back for whatever comes next."""
     def deco(fn):
-        QUERIES[name] = fn
+        def settled(spark, sf):
+            rows = U.stored(fn(spark, sf), name)
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+            return rows
+
+        QUERIES[name] = settled if settle else fn
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -40,14 +47,14 @@ t AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' O
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n.n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(t.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(t.items, '')) AS items_sha256,
        coalesce(n.n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN n ON d.r = n.r LEFT JOIN t ON d.r = t.r""")
+FROM d LEFT JOIN n ON d.r = n.r LEFT JOIN t ON d.r = t.r""", settle=True)
 def op4(spark, sf):
     found = decontaminate.hits(U.read(spark, sf, "documents", "doc_id", "text"),
                                U.read(spark, sf, "benchmark", "item_id", "text"))
     return decontaminate.digest(found).drop("n_near_items")
 
 
-@query("op5_token_output")
+@query("op5_token_output", settle=True)
 def op5(spark, sf):
     return token_output.token_output(U.read(spark, sf, "documents", "doc_id", "text"), token_output.byte_bpe())
 
@@ -134,7 +141,7 @@ def op9(spark, sf):
     return embedding_dedup.embedding_links(U.read(spark, sf, "embeddings", "vec_id", "embedding", "label"))
 
 
-@query("op7_suffix_dedup")
+@query("op7_suffix_dedup", settle=True)
 def op7(spark, sf):
     return suffix_dedup.remove_repeats(U.read(spark, sf, "documents", "doc_id", "text"))
 
@@ -149,6 +156,6 @@ def op2(spark, sf):
     return license_scan.license_table(U.read(spark, sf, "documents", "doc_id", "text"))
 
 
-@query("pipeline", corpus_pipeline.ORACLE_SQL)
+@query("pipeline", corpus_pipeline.ORACLE_SQL, settle=True)
 def pipeline(spark, sf):
     return corpus_pipeline.run(spark, sf)
