@@ -8,14 +8,15 @@ import os
 import pytest
 
 SF = "/root/testdata/sf0.01"
-HEAVY = {"node_metrics", "top_accounts", "top_hashtags", "mention_pagerank"}
+HEAVY = {"node_metrics", "top_accounts", "top_hashtags", "mention_pagerank", "metrics_reread", "network_exports",
+         "summary_log", "latest_text"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables absent")
 
 
 def _names():
-    import __spark_entry__ as E
-    names = sorted(E.queries())
+    from chirpscope.plans import catalog
+    names = sorted(catalog.QUERIES)
     if not os.environ.get("CHIRPSCOPE_FULL"):
         names = [n for n in names if n not in HEAVY]
     return names
