@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chirpscope.session import scratch_path
 
@@ -34,6 +35,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few fixed-width columns that may be broadcast (tens of megabytes).
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """A stored table of a few fixed-width columns as the small side of a join: broadcast if its
+    counted rows allow it, left to a shuffle join otherwise."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def bulk(batches: Iterable[pa.RecordBatch], text_col: str,
          max_bytes: int = GROUP_BYTES) -> Iterator[pa.RecordBatch]:
     """Regroup Arrow batches so that each holds about ``max_bytes`` of ``text_col``."""

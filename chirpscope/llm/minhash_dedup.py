@@ -34,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chirpscope.llm import common as U
@@ -333,6 +333,7 @@ def node_components(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str
     wanted = U.stored(found.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "rep"), "node")
                       .select("node", F.col("rep.doc_id").alias("__id"), F.col("rep.text_key").alias("__key")), "wanted")
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
+    wanted = U.small_side(wanted)
     texts = U.stored(source.join(wanted, source["doc_id"].eqNullSafe(wanted["__id"]) & (source["text_key"] == wanted["__key"]))
                      .select("node", "text"), "texts").dropDuplicates(["node"])
     sure = U.stored(confirm(found, texts, size, percent), "links")
@@ -369,12 +370,21 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row of each component, the first by id, with all columns; texts without shingles stay."""
     rows = component_table(docs, id_col, text_col, **options).filter("root is not null")
-    same = rows.groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("n"))
-    kept = U.stored(same.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "text_key", "n")).alias("k"))
-                    .select(F.col("k.doc_id").alias("__id"), F.col("k.text_key").alias("__key"), F.col("k.n").alias("__n")), "kept")
-    wordless = F.coalesce(~F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(True))
-    empty = docs.filter(wordless)
-    full = docs.filter(~wordless).withColumn("__text", F.xxhash64(text_col))
-    full = full.join(kept, full[id_col].cast("long").eqNullSafe(kept["__id"]) & (full["__text"] == kept["__key"]))
-    many = full.filter("__n > 1").dropDuplicates(["__id", "__key"])
-    return full.filter("__n = 1").unionByName(many).drop("__text", "__key", "__id", "__n").unionByName(empty)
+    same = U.stored(rows.groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("n")), "same")
+    first = same.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "text_key")).alias("k"))
+    ranked = same.join(first, "root").withColumn("kept", F.struct("doc_id", "text_key").eqNullSafe(F.struct("k.doc_id", "k.text_key")))
+    key = [F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")]
+    gone = U.stored(ranked.filter("not kept").select(*key), "near-copies")
+    again = U.stored(ranked.filter("kept and n > 1").select(*key), "repeated-rows")
+    full = docs.withColumn("__text", F.xxhash64(text_col))
+
+    def match(side: DataFrame) -> Column:
+        return full[id_col].cast("long").eqNullSafe(side["__id"]) & (full["__text"] == side["__key"])
+
+    gone = U.small_side(gone)
+    left = full.join(gone, match(gone), "left_anti")
+    if again.isEmpty():
+        return left.drop("__text")
+    once = left.join(again, match(again), "left_anti")
+    many = left.join(again, match(again), "left_semi").dropDuplicates([id_col, "__text"])
+    return once.unionByName(many).drop("__text")
