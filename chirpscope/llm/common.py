@@ -42,7 +42,7 @@ BROADCAST_ROWS = 1_000_000
 def small_side(df: DataFrame) -> DataFrame:
     """A stored table of a few fixed-width columns as the small side of a join: broadcast if its
     counted rows allow it, left to a shuffle join otherwise."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def bulk(batches: Iterable[pa.RecordBatch], text_col: str,

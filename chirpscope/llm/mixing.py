@@ -180,7 +180,7 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each document as often as it was drawn, all columns kept."""
     c = U.stored(copies(docs, **options).select(F.col("key").alias("__key"), "n", (F.col("n") * F.col("base") + F.col("extra")).alias("__times"))
                  .withColumnRenamed("n", "__n").filter("__times > 0"), "mix-copies")
-    keyed = docs.withColumn("__key", F.xxhash64(*row_key(docs))).join(c, "__key")
+    keyed = docs.withColumn("__key", F.xxhash64(*row_key(docs))).join(U.small_side(c), "__key")
     once = keyed.filter("__n = 1")
     many = keyed.filter("__n > 1").dropDuplicates(["__key"])
     return (once.unionByName(many).withColumn("__k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times"))))
