@@ -86,8 +86,10 @@ class Caps:
 
 
 def valid_nodes(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
-    """vec_id, node (null if the vector can't link), label, dim, vec (float64 bytes)."""
+    """vec_id, node (null if the vector can't link), label, dim, vec (its bytes, in single
+    precision if the column is, else in double)."""
     U.small_batches(vectors.sparkSession, 1024)
+    single = vectors.schema[vec_col].dataType.simpleString() == "array<float>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -103,7 +105,7 @@ def valid_nodes(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -
                 p = U.mix(data + np.arange(1, len(data) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
                 node.append(int(U.mix(np.array([np.bitwise_xor.reduce(U.mix(p)) ^ p.sum()], np.uint64)).view(np.int64)[0]))
                 dim.append(len(x))
-                raw.append((x + 0.0).tobytes())
+                raw.append((x + 0.0).astype(np.float32 if single else np.float64).tobytes())
             yield pa.RecordBatch.from_pydict({
                 "vec_id": b.column("vec_id"), "node": pa.array(node, pa.int64()), "label": b.column("label"),
                 "dim": pa.array(dim, pa.int32()), "vec": pa.array(raw, pa.binary())})
@@ -113,29 +115,38 @@ def valid_nodes(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -
     return U.stored(rows.mapInArrow(run, "vec_id long, node long, label long, dim int, vec binary"), "vectors")
 
 
+def _vectors(raw: list[bytes], dim: int) -> np.ndarray:
+    """Stored vectors in double precision."""
+    flat = b"".join(raw)
+    return np.frombuffer(flat, np.float32 if len(flat) == 4 * dim * len(raw) else np.float64).astype(np.float64).reshape(len(raw), dim)
+
+
 def cap_rows(nodes: DataFrame, words: int, filters: float, keys_only: bool) -> DataFrame:
     """One row for each node and filter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         caps: dict[int, Caps] = {}
         for b in batches:
             dims = b.column("dim").to_numpy()
-            for d in np.unique(dims):
-                own = b.filter(pa.array(dims == d))
-                x = np.frombuffer(b"".join(own.column("vec").to_pylist()), np.float64).reshape(-1, d)
-                if d < LEAST_DIM:
-                    lists = [np.zeros(1, np.int64)] * len(x)
-                else:
-                    if d not in caps:
-                        caps[d] = Caps(int(d), words, filters)
-                    lists = caps[d].decode(x / np.linalg.norm(x, axis=1, keepdims=True))
-                n = np.array([len(k) for k in lists])
-                at = np.repeat(np.arange(len(x)), n)
-                out = {"label": own.column("label").take(pa.array(at)), "dim": pa.array(np.full(len(at), d, np.int32)),
-                       "filter": pa.array(np.concatenate(lists))}
-                if not keys_only:
-                    out |= {c: own.column(c).take(pa.array(at)) for c in ("node", "size", "vec")}
-                    out["caps"] = pa.array([k.astype(np.int64).tobytes() for k in lists], pa.binary()).take(pa.array(at))
-                yield pa.RecordBatch.from_pydict(out)
+            for d in np.unique(dims).tolist():
+                of_dim = b.filter(pa.array(dims == d))
+                for at in range(0, of_dim.num_rows, 64):         # some thousand rows a batch
+                    yield rows(of_dim.slice(at, 64), d, caps)
+
+    def rows(own: pa.RecordBatch, d: int, caps: dict[int, Caps]) -> pa.RecordBatch:
+        x = _vectors(own.column("vec").to_pylist(), d)
+        if d < LEAST_DIM:
+            lists = [np.zeros(1, np.int64)] * len(x)
+        else:
+            if d not in caps:
+                caps[d] = Caps(d, words, filters)
+            lists = caps[d].decode(x / np.linalg.norm(x, axis=1, keepdims=True))
+        at = pa.array(np.repeat(np.arange(len(x)), [len(k) for k in lists]))
+        out = {"label": own.column("label").take(at), "dim": pa.array(np.full(len(at), d, np.int32)),
+               "filter": pa.array(np.concatenate(lists))}
+        if not keys_only:
+            out |= {c: own.column(c).take(at) for c in ("node", "size", "vec")}
+            out["caps"] = pa.array([k.astype(np.int32).tobytes() for k in lists], pa.binary()).take(at)
+        return pa.RecordBatch.from_pydict(out)
 
     nodes.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
     return nodes.mapInArrow(run, KEY if keys_only else KEY + ", node long, size long, vec binary, caps binary")
@@ -145,7 +156,7 @@ def _group(filter_: int, x: np.ndarray, size: np.ndarray, caps: list[bytes], sid
     """Counts of each row's links that belong to this group, and spanning links."""
     n = len(x)
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-    earlier = [np.frombuffer(c, np.int64) for c in caps]
+    earlier = [np.frombuffer(c, np.int32) for c in caps]
     earlier = [c[c < filter_] for c in earlier]
     column = {f: k for k, f in enumerate(np.unique(np.concatenate(earlier)).tolist())}
     member = np.zeros((n, max(1, len(column))), np.float32)
@@ -206,7 +217,7 @@ def near_links(nodes: DataFrame, cosine: float = COSINE, filters: float = FILTER
         if held is not None:
             yield from _groups(held, _starts(held, by), cosine)
 
-    nodes.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
+    nodes.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2048")
     return rows.mapInArrow(run, "a long, b long, n long")
 
 
@@ -225,7 +236,7 @@ def _groups(b: pa.RecordBatch, starts: np.ndarray, cosine: float) -> Iterator[pa
         if e - s < 2 or s >= b.num_rows:
             continue
         g = b.slice(s, e - s)
-        x = np.frombuffer(b"".join(g.column("vec").to_pylist()), np.float64).reshape(e - s, -1)
+        x = _vectors(g.column("vec").to_pylist(), g.column("dim")[0].as_py())
         side = g.column("own").to_numpy() if g.column("x")[0] != g.column("y")[0] else None
         counts, links = _group(g.column("filter")[0].as_py(), x, g.column("size").to_numpy(), g.column("caps").to_pylist(), side, cosine)
         node = g.column("node").to_numpy()
