@@ -59,6 +59,7 @@ SKETCH_WORDS = HASHES // 32
 
 #: Buckets of the count vector, four bits each.
 COUNTS = 256
+NO_BOUND = 1 << 40
 
 ORDER = {"tree": "int", "labels": "binary", "sketch": "binary", "node": "long", "n": "long"}
 #: What the second walk carries besides.
@@ -114,7 +115,7 @@ def _sketch(mh: np.ndarray) -> np.ndarray:
 
 def count_vectors(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Shingles in each of COUNTS buckets, two to a byte.  A set that overflows a bucket gets 15
-    everywhere, which bounds nothing and stays true."""
+    everywhere: "15 or more", see ``_most_shared``."""
     out = np.zeros((len(sizes), COUNTS), np.int64)
     np.add.at(out, (np.repeat(np.arange(len(sizes)), sizes), (U.mix(h) >> np.uint64(56)).astype(np.int64) % COUNTS), 1)
     out[out.max(axis=1) > 15] = 15
@@ -123,8 +124,11 @@ def count_vectors(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def _most_shared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """An upper bound of the intersection of two sets from their count vectors."""
-    return (np.minimum(x & 15, y & 15).sum(axis=1, dtype=np.int64) + np.minimum(x >> 4, y >> 4).sum(axis=1, dtype=np.int64))
+    """An upper bound of the intersection of two sets from their count vectors; NO_BOUND if both
+    are 15 everywhere (two sets that overflow a bucket may share any number)."""
+    most = np.minimum(x & 15, y & 15).sum(axis=1, dtype=np.int64) + np.minimum(x >> 4, y >> 4).sum(axis=1, dtype=np.int64)
+    most[most == 15 * COUNTS] = NO_BOUND
+    return most
 
 
 def document_sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
@@ -205,7 +209,7 @@ def _neighbours(rows: pa.RecordBatch, percent: int, cut: int | None = None) -> p
             good = est >= percent / 100 - SLACK
             x, est = x[good], est[good]
             if rooted:
-                shared = _most_shared(counts[x], counts[x + o])
+                shared = np.minimum(_most_shared(counts[x], counts[x + o]), np.minimum(size[x], size[x + o]))
                 good = 100 * shared >= percent * (size[x] + size[x + o] - shared)
                 x, est = x[good], est[good]
             left.append(x)

@@ -96,3 +96,20 @@ def test_one_document_of_each_group_stays(spark, rows):
 
 def test_empty(nothing):
     assert M.near_duplicates(nothing).collect() == [] and M.near_dedup(nothing).collect() == []
+
+
+def test_count_vectors_of_long_texts_rule_out_no_true_link():
+    h = np.sort(np.random.default_rng(5).choice(1 << 40, 12_100, replace=False).astype(np.uint64))
+    v = M.count_vectors(np.concatenate([h[:12_000], h[100:]]), np.array([12_000, 12_000]))
+    assert M._most_shared(v[:1], v[1:])[0] >= 11_900
+
+
+def test_second_walk_keeps_pairs_of_long_texts():
+    import pyarrow as pa
+    h = np.sort(np.random.default_rng(5).choice(1 << 40, 12_100, replace=False).astype(np.uint64))
+    h, n = np.concatenate([h[:12_000], h[100:]]), np.array([12_000, 12_000])
+    rows = pa.RecordBatch.from_pydict({
+        "mh": [x.tobytes() for x in M.minhashes(h, n)], "node": [1, 2], "n": n, "root": [1, 2],
+        "counts": [x.tobytes() for x in M.count_vectors(h, n)]})
+    pairs = [p for b in M._order_rows([rows]) for p in M._neighbours(b, 80).to_pylist()]
+    assert {(p["a"], p["b"]) for p in pairs} == {(1, 2)}
