@@ -10,8 +10,9 @@ each region and no region makes all its pairs.  Orders are cut by range over tas
 sketch and node, so any region can be cut) and the rows on both sides of a cut are compared once
 more, so a cut loses nothing.
 
-Two nodes with similarity 0.8 miss each other in one tree with probability 1 - 0.8**p, p the
-prefix that their region needs: with 24 trees 1e-11 for p = 2, 4e-6 for p = 4.
+Two nodes with similarity 0.8 miss each other in one tree with probability 1 - 0.8**MIN_PREFIX, in
+all 24 with 2e-11, however dense their region.  A run of n nodes that do not link costs n * n / 2
+comparisons of sketches.
 
 A 2-bit sketch of the MinHash values drops candidates whose estimate is over four standard
 deviations too low, and so do set sizes that are too unequal.  Candidates are confirmed on the
@@ -19,7 +20,9 @@ full sets of both texts, in two walks: the first confirms a spanning forest of e
 (a few pairs a node, however dense the group); the second looks, among groups of candidates that
 are not one component by then, at the pairs that lie in different components.  There a vector of
 shingle counts in ``COUNTS`` hash buckets bounds the intersection from above - exactly - and what
-it cannot rule out is confirmed on the texts too.
+it cannot rule out is confirmed on the texts too.  Last come the crowded runs: where more nodes than
+REACH spans share MIN_PREFIX labels in a tree and are not one component, all pairs of the run that
+lie in different components are compared, block by block, under the same bounds.
 
 Cases: null, empty and word-less texts have no shingles and link with nothing; a text of fewer
 words than a shingle is one shingle; rows with equal ids are judged by their texts, a component's
@@ -301,6 +304,94 @@ def _tagged(kinds: dict, pairs: pa.RecordBatch | None = None, rows: pa.RecordBat
         c: given.column(c) if c in given.schema.names else extra.get(c, pa.nulls(n, _ARROW[k])) for c, k in every.items()})
 
 
+# --- crowded runs ----------------------------------------------------------------------------
+
+#: Rows of a crowded run are compared in blocks of these sizes, so that a row is dealt to about
+#: SPLITS blocks until the blocks are full.
+LEAST_BLOCK, MOST_BLOCK, SPLITS = 128, 8192, 16
+SIDE = {"node": "long", "n": "long", "root": "long", "sketch": "binary", "counts": "binary"}
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(run, node): the first MIN_PREFIX labels of a node in each tree, as one number."""
+    for b in batches:
+        if b.num_rows:
+            mh = _flat(b, "mh", np.uint32, HASHES).reshape(-1, TREES, DEPTH) >> 16
+            run = np.broadcast_to(np.arange(TREES, dtype=np.uint64), mh.shape[:2])
+            for k in range(MIN_PREFIX):
+                run = (run << np.uint64(16)) | mh[:, :, k].astype(np.uint64)
+            yield pa.RecordBatch.from_pydict({"run": run.ravel().view(np.int64), "node": np.repeat(b.column("node").to_numpy(), TREES)})
+
+
+def _with_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        if b.num_rows:
+            sketch = pa.array([x.tobytes() for x in _sketch(_flat(b, "mh", np.uint32, HASHES))], pa.binary())
+            yield pa.RecordBatch.from_pydict({c: sketch if c == "sketch" else b.column(c) for c in SIDE})
+
+
+def _far(t: pa.Table, percent: int) -> pa.Table:
+    """Candidate pairs of two blocks (or in one) that lie in different components."""
+    b = t.combine_chunks().to_batches()[0]
+    first = b.column("second").to_numpy(zero_copy_only=False) == 0
+    node, size, group = (b.column(c).to_numpy() for c in ("node", "n", "root"))
+    sketch, counts = _flat(b, "sketch", np.uint64, SKETCH_WORDS), _flat(b, "counts", np.uint8, COUNTS // 2)
+    one = bool(first.all())
+    x, y = np.flatnonzero(first), np.flatnonzero(first if one else ~first)
+    step, out = max(1, (1 << 17) // max(1, len(y))), []
+    for at in range(0, len(x), step):
+        u = x[at:at + step]
+        i, j = np.repeat(u, len(y)), np.tile(y, len(u))
+        good = (group[i] != group[j]) & (100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j]))
+        if one:
+            good &= i < j
+        i, j = i[good], j[good]
+        good = _estimate(sketch[i], sketch[j]) >= percent / 100 - SLACK
+        i, j = i[good], j[good]
+        shared = np.minimum(_most_shared(counts[i], counts[j]), np.minimum(size[i], size[j]))
+        good = 100 * shared >= percent * (size[i] + size[j] - shared)
+        out.append(np.stack([node[i[good]], node[j[good]]]))
+    a, b = np.concatenate(out or [np.zeros((2, 0), np.int64)], axis=1)
+    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+
+def crowded(nodes: DataFrame, roots: DataFrame, percent: int) -> DataFrame | None:
+    """Distinct candidate pairs (a < b), in different components, of all nodes that share
+    MIN_PREFIX labels with more nodes than REACH spans; None if no such run is left open."""
+    spark = nodes.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8192")
+    rows = nodes.select("mh", "node").mapInArrow(_runs, "run long, node long")
+    long_ = U.stored(rows.groupBy("run").count().filter(F.col("count") > REACH + 1), "runs")
+    if long_.isEmpty():
+        return None
+    rows = U.stored(rows.join(U.small_side(long_.select("run")), "run"), "run-rows")
+    rows = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    per = U.stored(rows.groupBy("run", "root").agg(F.count("*").alias("c")), "run-roots")
+    whole = (per.groupBy("run").agg(F.sum("c").alias("rows"), F.min("root").alias("x"), F.max("root").alias("y"))
+             .filter("x <> y").select("run", F.least(F.lit(MOST_BLOCK), F.greatest(F.lit(LEAST_BLOCK), F.ceil(F.col("rows") / SPLITS))).alias("size")))
+    # a component of more rows than a block has blocks of its own, which need no look at each other
+    own = per.join(whole, "run").withColumn("own", F.when(F.col("c") > F.col("size"), F.col("root")))
+    unit = U.stored(own.groupBy("run", "own").agg(F.ceil(F.sum("c") / F.first("size")).alias("cuts")), "run-units")
+    if unit.isEmpty():
+        return None
+    part = unit.select("run", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)).alias("k"))
+    x, y = (part.select("run", F.col("own").alias(f"own_{s}"), F.xxhash64("own", "k").alias(s)) for s in "xy")
+    pairs = x.join(y, "run").filter("x <= y and (own_x is null or own_y is null or own_x <> own_y)").select("run", "x", "y")
+    tasks = U.stored(pairs.select("run", "x", "y", F.col("x").alias("block"), F.lit(0).alias("second")).unionByName(
+        pairs.filter("x <> y").select("run", "x", "y", F.col("y").alias("block"), F.lit(1).alias("second"))), "run-tasks")
+    unit = unit.withColumnRenamed("run", "run_")
+    of_root = U.stored(own.join(unit.withColumnRenamed("own", "own_"), (F.col("run") == F.col("run_")) & F.col("own").eqNullSafe(F.col("own_")))
+                       .select("run", "root", "own", "cuts"), "run-blocks")
+    rows = (rows.join(U.small_side(of_root), ["run", "root"])
+            .select("run", "node", "root", F.xxhash64("own", F.pmod(F.xxhash64("node"), F.col("cuts"))).alias("block")))
+    rows = U.stored(rows, "run-members")
+    wanted = rows.select("node", "root").distinct()
+    small = wanted.join(nodes.select("node", "n", "mh", "counts"), "node").mapInArrow(_with_sketch, ", ".join(f"{c} {k}" for c, k in SIDE.items()))
+    dealt = rows.select("run", "block", "node").join(U.stored(small, "run-nodes"), "node").join(U.small_side(tasks), ["run", "block"])
+    found = dealt.groupBy("run", "x", "y").applyInArrow(lambda t: _far(t, percent), PAIR_ROW)
+    return U.stored(found.distinct(), "far")
+
+
 # --- confirmation ------------------------------------------------------------------------------
 
 
@@ -334,12 +425,16 @@ def node_components(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str
         F.first("n").alias("n"), F.first("mh").alias("mh"), F.first("counts").alias("counts"),
         F.min(F.struct("doc_id", "text_key")).alias("rep")), "nodes")
     found = candidates(nodes.select("node", "n", "mh"), percent)
-    wanted = U.stored(found.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "rep"), "node")
-                      .select("node", F.col("rep.doc_id").alias("__id"), F.col("rep.text_key").alias("__key")), "wanted")
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
-    wanted = U.small_side(wanted)
-    texts = U.stored(source.join(wanted, source["doc_id"].eqNullSafe(wanted["__id"]) & (source["text_key"] == wanted["__key"]))
-                     .select("node", "text"), "texts").dropDuplicates(["node"])
+
+    def texts_of(pairs: DataFrame) -> DataFrame:
+        wanted = U.stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "rep"), "node")
+                          .select("node", F.col("rep.doc_id").alias("__id"), F.col("rep.text_key").alias("__key")), "wanted")
+        wanted = U.small_side(wanted)
+        return U.stored(source.join(wanted, source["doc_id"].eqNullSafe(wanted["__id"]) & (source["text_key"] == wanted["__key"]))
+                        .select("node", "text"), "texts").dropDuplicates(["node"])
+
+    texts = texts_of(found)
     sure = U.stored(confirm(found, texts, size, percent), "links")
     roots = components(sure)
     # groups of candidates that are not one component yet: look at their other pairs
@@ -349,6 +444,13 @@ def node_components(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str
     open_ = U.stored(groups.join(split, "grp").select("node", "root"), "open")
     rest = candidates(nodes.join(open_, "node").select("node", "n", "mh", "root", "counts"), percent)
     more = U.stored(confirm(rest, texts, size, percent), "links")
+    if not more.isEmpty():
+        sure = sure.unionByName(more)
+        roots = components(sure)
+    far = crowded(nodes, roots, percent)
+    if far is None or far.isEmpty():
+        return roots
+    more = U.stored(confirm(far, texts_of(far), size, percent), "links")
     return roots if more.isEmpty() else components(sure.unionByName(more))
 
 

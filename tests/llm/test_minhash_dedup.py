@@ -1,5 +1,6 @@
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -113,3 +114,42 @@ def test_second_walk_keeps_pairs_of_long_texts():
         "counts": [x.tobytes() for x in M.count_vectors(h, n)]})
     pairs = [p for b in M._order_rows([rows]) for p in M._neighbours(b, 80).to_pylist()]
     assert {(p["a"], p["b"]) for p in pairs} == {(1, 2)}
+
+
+def test_links_in_a_crowded_unlinked_family(spark):
+    """Pages of one template, about 0.72 similar, and pairs over 0.8 among them: far more rows share
+    all labels than REACH spans."""
+    rng = random.Random(23)
+    word = lambda: f"x{rng.randrange(1 << 30)}"
+    base = [word() for _ in range(200)]
+
+    def page(w, places):
+        w = list(w)
+        for at in places:
+            w[at] = word()
+        return w
+
+    free = range(0, 200, 2)                                # no two changes share a shingle
+    out = [page(base, rng.sample(free, 8)) for _ in range(3000)]
+    for _ in range(60):                                    # 3 common and 5 own changes each: J = 179 / 219
+        some = rng.sample(free, 13)
+        w = page(base, some[:3])
+        out += [page(w, some[3:8]), page(w, some[8:])]
+    sets = [shingle_set(" ".join(w), 2) for w in out]
+    seen = Counter(x for s in sets for x in s)
+    column = {x: k for k, x in enumerate(x for x, n in seen.items() if n > 1)}
+    held = np.zeros((len(out), len(column)), np.float32)
+    for k, s in enumerate(sets):
+        held[k, [column[x] for x in s if x in column]] = 1
+    shared, size = (held @ held.T).astype(int), np.array([len(s) for s in sets])
+    links = np.argwhere(np.triu(100 * shared >= 80 * (size[:, None] + size - shared), 1))
+    least = list(range(len(out)))
+    for _ in range(20):
+        for a, b in links.tolist():
+            least[a] = least[b] = min(least[a], least[b])
+    got = M.near_duplicates(docs_frame(spark, [(k, " ".join(w), "en", "s") for k, w in enumerate(out)]), size=2).collect()
+    got = {r["doc_id"]: r["component_id"] for r in got}
+    assert {(3000 + 2 * k, 3001 + 2 * k) for k in range(60)} <= set(map(tuple, links.tolist()))
+    missed = [(a, b) for a, b in links.tolist() if got[a] != got[b]]
+    assert not missed, f"{len(missed)} of {len(links)} links missed"
+    assert [got[k] for k in range(len(out))] == least
