@@ -1,4 +1,5 @@
-"""Removal of long repeated byte strings, by difference-cover blockwise sorting.
+"""Removal of long repeated byte strings, by a difference cover and fingerprints sorted in
+blocks.
 
 A byte goes if a string of ``length`` bytes that covers it also starts anywhere else.  Nothing
 crosses documents; strings are judged on the input.
@@ -6,13 +7,14 @@ crosses documents; strings are judged on the input.
 * **Cover sample.**  Positions whose residue modulo the period v lies in a perfect difference
   set D are sampled.  For any two positions some shift below v puts both on the sample, so two
   equal strings of ``length`` bytes always hold equal sampled strings of length - v + 1 bytes at
-  the same shift.  Ranking the sampled strings therefore tells which positions can take part in
-  a repeat at all.
-* **Blockwise.**  Suffixes are dealt into buckets of about ``BUCKET`` entries by the leading bits
-  of their rank key and each bucket is sorted by itself, in one task and bounded memory.  First
-  the cover sample is sorted, then - keyed on all ``length`` bytes - the suffixes that the cover's
-  ranks left tied.  The reply to each shard is one bit per entry it sent.
-* **Keys** are 64-bit fingerprints: only equality matters here, not alphabetical order.  Two
+  the same shift.  Fingerprints of the sampled strings that occur twice therefore tell which
+  positions can take part in a repeat at all.  The sample is a prefilter: no ranks are computed.
+* **Blockwise.**  Fingerprints are dealt into buckets of about ``BUCKET`` entries by their
+  leading bits and each bucket is sorted by itself, in one task and bounded memory.  First
+  the cover sample is sorted, then the fingerprints of all ``length`` bytes at the positions that
+  the sample left in question.  The reply to each shard is one bit per entry it sent.
+* **Keys** are 64-bit fingerprints: only equality matters here, not alphabetical order; no suffix
+  is sorted as a suffix, and ties are settled without comparing bytes.  Two
   given different strings agree with a probability of about 2**-64; the cover's keys are cut to
   16 bits more than the number of samples needs, which can only leave a few more suffixes tied.
 
