@@ -13,7 +13,7 @@ labelled rows); features and scores cover every document and whole texts.
 
 Cases: null text is an empty text and gets a score like any other; rows with a null label are not
 learned from; repeated rows are scored (and learned) one by one; without any label every score is
-0.5; other columns are ignored; an empty table gives an empty result.
+0.5, and ``good_documents`` then rejects nothing; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -185,6 +185,7 @@ class Additive:
     def __init__(self, x: np.ndarray, y: np.ndarray):
         x, y = np.asarray(x, np.float32), np.asarray(y, np.float64)
         n, k = x.shape
+        self.learned = n > 0
         self.edges, self.coarse = [], []
         for f in range(k):
             for bins, keep in ((BINS, self.edges), (PAIR_BINS, self.coarse)):
@@ -291,7 +292,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """The documents that the classifier does not reject, all columns kept."""
+    """The documents that the classifier does not reject, all columns kept; all documents if it
+    saw no labelled row."""
     model = fit(with_features(docs, text_col=text_col), labels, **options)
+    if not model.learned:
+        return docs
     U.small_batches(docs.sparkSession)
     return docs.withColumn("__score", score_texts(model)(F.col(text_col))).filter(F.col("__score") >= THRESHOLD).drop("__score")

@@ -64,3 +64,12 @@ def test_odd_and_empty(spark, odd, nothing, labelled):
     assert {r["score"] for r in Q.quality_scores(odd, none).collect()} == {0.5}
     assert Q.quality_scores(nothing, labelled[1]).collect() == []
     assert Q.quality_scores(odd, labelled[1]).count() == odd.count()
+
+
+def test_no_document_is_rejected_without_labels(spark, labelled):
+    import zlib
+    docs = labelled[0]
+    held = next(i for i in range(600) if zlib.crc32(str(i).encode()) % 4 == 2)
+    for rows in ([], [(1, None)], [(held, 1)]):
+        labels = spark.createDataFrame(rows, "doc_id long, quality int")
+        assert sorted(r["doc_id"] for r in Q.good_documents(docs, labels).collect()) == list(range(600))
