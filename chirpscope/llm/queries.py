@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from chirpscope.llm import bpe_fold, chat_format, decontaminate, embedding_dedup, language_crf, license_scan, minhash_dedup, mixing, quality, suffix_dedup, token_output
+from chirpscope.llm import bpe_fold, chat_format, decontaminate, embedding_dedup, language_crf, license_scan, minhash_dedup, mixing, quality, suffix_dedup, token_output, whitening
 from chirpscope.llm import common as U
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,6 +161,11 @@ def op11(spark, sf):
     return bpe_fold.round_trip(U.read(spark, sf, "documents", "doc_id", "text"))
 
 
+@query("op12_whitening")
+def op12(spark, sf):
+    return whitening.whiten(U.read(spark, sf, "embeddings", "vec_id", "embedding"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL, settle=True)
 def pipeline(spark, sf):
     return corpus_pipeline.run(spark, sf)
