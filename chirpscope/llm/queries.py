@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from chirpscope.llm import bpe_fold, chat_format, decontaminate, embedding_dedup, language_crf, license_scan, minhash_dedup, mixing, quality, suffix_dedup, token_output, whitening
+from chirpscope.llm import bpe_fold, chat_format, decontaminate, embedding_dedup, hard_negatives, language_crf, license_scan, minhash_dedup, mixing, quality, suffix_dedup, token_output, whitening
 from chirpscope.llm import common as U
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,6 +166,23 @@ def op12(spark, sf):
     return whitening.whiten(U.read(spark, sf, "embeddings", "vec_id", "embedding"))
 
 
+@query("op13_hard_negatives", """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  [CAST(floor(256 * CAST(c AS DOUBLE)) AS DOUBLE) for c in embedding] AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT * FROM (SELECT anchor_id, id, score, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS k FROM s WHERE same) WHERE k <= 5),
+n AS (SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+      row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS k
+      FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(k AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE k <= 3""")
+def op13(spark, sf):
+    v = U.read(spark, sf, "embeddings", "vec_id", "embedding", "label")
+    v = v.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(v, F.col("vec_id") % 50 == 0)
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL, settle=True)
 def pipeline(spark, sf):
     return corpus_pipeline.run(spark, sf)

@@ -21,8 +21,8 @@ def test_query_matches_oracle(spark, con, sf, name):
 
 
 def test_one_query_for_each_operator():
-    assert {n.split("_")[0] for n in QUERIES} == {"pipeline", *(f"op{k}" for k in range(1, 11))}
-    assert len(QUERIES) == 11
+    assert {n.split("_")[0] for n in QUERIES} == {"pipeline", *(f"op{k}" for k in range(1, 14))}
+    assert len(QUERIES) == 14
 
 
 def test_held_out_flags(spark, sf):
