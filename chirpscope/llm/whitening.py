@@ -2,8 +2,8 @@
 
 Integer vectors ``x = floor(256 * c)`` are stored once; the fit list holds every distinct one a
 single time, and its sums and its number come from one aggregation.  Centred vectors are numbered
-without gaps (rows of each stored partition, counted, give the offsets), become an
-``IndexedRowMatrix`` and from there blocks of ``BLOCK`` rows.  The scatter matrix is the transposed
+without gaps (rows of each stored partition, counted, give the offsets) and grouped by number into
+blocks of ``BLOCK`` rows.  The scatter matrix is the transposed
 block matrix times itself, cut along the shared dimension into tasks of ``MID_BLOCKS`` blocks; only
 that matrix of dim x dim numbers reaches the driver, where ``eigh`` factors it.  All rows are then
 projected by one more block multiplication.
@@ -22,11 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark import StorageLevel
+from pyspark.ml.functions import vector_to_array
 from pyspark.mllib.common import callMLlibFunc
-from pyspark.mllib.linalg import Matrices
-from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
-from pyspark.mllib.util import MLUtils
+from pyspark.mllib.linalg import DenseMatrix, Matrices
+from pyspark.mllib.linalg.distributed import BlockMatrix
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,10 +67,21 @@ def numbered(rows: DataFrame, name: str) -> DataFrame:
 
 
 def block_matrix(rows: DataFrame, mean: np.ndarray) -> BlockMatrix:
-    """The centred rows (``index``, ``x``) as distributed blocks."""
-    centred = F.zip_with(F.col("x"), F.array(*[F.lit(float(m)) for m in mean]), lambda x, m: x - m)
-    dense = rows.select("index", array_to_vector(centred).alias("vector"))
-    return IndexedRowMatrix(MLUtils.convertVectorColumnsFromML(dense, "vector")).toBlockMatrix(BLOCK, len(mean))
+    """The centred rows (``index``, ``x``) as distributed blocks; zero rows fill up the last one."""
+    dim, block = len(mean), BLOCK
+
+    def pack(group: pa.Table) -> pa.Table:
+        index = group.column("index").to_numpy()
+        x = group.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(index), dim)
+        out = np.zeros((block, dim))
+        out[index % block] = x - mean
+        return pa.table({"block": index[:1] // block, "data": pa.array([out.tobytes(order="F")], pa.binary())})
+
+    def placed(r) -> tuple:
+        return (r["block"], 0), DenseMatrix(block, dim, np.frombuffer(r["data"]))
+
+    packed = rows.groupBy(F.floor(F.col("index") / block).alias("b")).applyInArrow(pack, "block long, data binary")
+    return BlockMatrix(packed.rdd.map(placed), block, dim)
 
 
 def times(a: BlockMatrix, b: BlockMatrix, splits: int = 1) -> BlockMatrix:
@@ -110,7 +121,7 @@ def whiten(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
     n, sums = totals[0], [int(t) for t in totals[1:]]
     mean = np.array([s / n for s in sums])
 
-    matrix = block_matrix(fit, mean)
+    matrix = block_matrix(fit, mean).persist(StorageLevel.MEMORY_AND_DISK)
     covariance = scatter(matrix) / n
     e, v = principal(covariance, components)
     trace = float(np.trace(covariance))
@@ -121,6 +132,7 @@ def whiten(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
     if k:
         own = scatter(times(matrix, local_block(matrix, w[:, :k], spark))) / n
         error = float(np.abs(own - np.eye(k)).max())
+    matrix._java_matrix_wrapper._java_model.blocks().unpersist(False)
 
     every = numbered(rows, "rows")
     projected = times(block_matrix(every, mean), local_block(matrix, w, spark)).toIndexedRowMatrix()
