@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chirpscope import schemas as S
+from chirpscope.sources.csv_split import read_csv
 
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"',
                "encoding": "UTF-8", "mode": "FAILFAST",
@@ -35,12 +36,12 @@ def parse_timestamp(c: Column) -> Column:
 
 
 def read_posts_csv(spark: SparkSession, path: str, schema: T.StructType = S.POSTS) -> DataFrame:
-    """Posts CSV with quoted fields that hold newlines (SRC1).  ``multiLine`` is
-    required; without it every embedded newline starts a new record.  Timestamps may be in
-    any of ``TIMESTAMP_FORMS``; all else fails fast."""
+    """Posts CSV with quoted fields that hold newlines (SRC1), each file read by as many tasks as
+    it has blocks (``csv_split``).  Timestamps may be in any of ``TIMESTAMP_FORMS``; all else,
+    a quoted field that never closes too, fails fast."""
     stamps = [f.name for f in schema.fields if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType))]
     as_text = T.StructType([T.StructField(f.name, T.StringType(), True) if f.name in stamps else f for f in schema.fields])
-    rows = spark.read.schema(as_text).options(**CSV_OPTIONS).csv(path)
+    rows = read_csv(spark, path, as_text, CSV_OPTIONS)
     return rows.select(*[parse_timestamp(F.col(f.name)).cast(f.dataType).alias(f.name) if f.name in stamps else F.col(f.name)
                          for f in schema.fields])
 
