@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chirpscope import constants as C
 from chirpscope.functions import text as TX
@@ -83,18 +84,23 @@ def search_posts(posts: DataFrame, query: str = C.DEFAULT_SEARCH,
 # --- insert-if-new (SNK4, SNK5, JN2, AGG9, AGG10) ---------------------------------
 
 def first_per_key(batch: DataFrame, key: str | Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row per key: the first in ``order`` (which says what "first" is; ties by the
-    row's own values).
+    """One row per key: the first in ``order`` (which says what "first" is; ties by a hash of the
+    row).
 
-    Aggregation-based (``min_by`` over a struct), so a hot key is pre-reduced
-    map-side instead of landing whole in one task.
+    Only the key, the order and a 64-bit hash are aggregated (a hot key is pre-reduced in every map
+    task); the rows of the winners are found again by key and hash, so no text is carried through
+    the aggregation and the rows of a hot key spread over the tasks by their hashes.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    others = [c for c in batch.columns if c not in keys]
-    row = F.struct(*[F.col(c) for c in others])
-    ordkey = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], F.to_json(row).alias("_tie"))
-    agg = batch.groupBy(*keys).agg(F.min_by(row, ordkey).alias("_r"))
-    return agg.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others]).select(*batch.columns)
+    plain = [F.to_json(f.name) if isinstance(f.dataType, T.MapType) else F.col(f.name) for f in batch.schema.fields]
+    rows = batch.withColumn("_h", F.xxhash64(*plain))
+    first = rows.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
+        F.min(F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], F.col("_h").alias("_first"))).alias("_w"))
+    same = F.col("_h") == F.col("_w._first")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    # equal rows share key and hash: one of them stays
+    return rows.join(first, same, "left_semi").dropDuplicates(keys).select(*batch.columns)
 
 
 def new_rows(batch: DataFrame, target_keys: DataFrame | None, key: str = "tweet_id",

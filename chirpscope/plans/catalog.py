@@ -755,8 +755,9 @@ def q_append_posts(spark, sf):
     """A table appended to in two halves, partitioned by language, read back (SNK6)."""
     from chirpscope.sources.writers import append_table
     p, path = _posts(spark, sf), scratch_path(spark, "append-posts")
-    append_table(p.where("tweet_id % 2 = 0"), path, ["lang"])
-    append_table(p.where("tweet_id % 2 = 1"), path, ["lang"])
+    half = F.pmod(F.coalesce("tweet_id", F.lit(0)), F.lit(2))
+    append_table(p.where(half == 0), path, ["lang"])
+    append_table(p.where(half == 1), path, ["lang"])
     return spark.read.schema(S.POSTS).parquet(path).select(*POST_COLS)
 
 
@@ -822,21 +823,26 @@ def q_scored_top_per_label(spark, sf):
 # ---------------------------------------------------------------------------
 
 def _event_files(spark, sf) -> tuple[str, DataFrame]:
-    """The events in four files by id (``place`` 0), every fifth once more with another value
-    (``place`` 1): some of these in the same file as the first, some in a later one."""
+    """The events in four writes by id (``place`` 0), every fifth once more with another value
+    (``place`` 1): some of these in the same write as the first, some in a later one."""
     ev = read_table(spark, sf, "events").withColumn("place", F.lit(0))
     late = ev.where("event_id % 5 = 0").withColumn("value", -F.col("value") - 1).withColumn("place", F.lit(1))
-    files = ev.withColumn("f", F.col("event_id") % 4).unionByName(
-        late.withColumn("f", F.least(F.col("event_id") % 4 + F.col("event_id") % 2, F.lit(3))))
+    f = F.pmod(F.coalesce("event_id", F.lit(0)), F.lit(4))
+    files = ev.withColumn("f", f).unionByName(late.withColumn("f", F.least(f + F.pmod(F.coalesce("event_id", F.lit(0)), F.lit(2)), F.lit(3))))
     path = scratch_path(spark, "event-files")
     for k in range(4):                       # one after the other: files are read in order of their time
-        files.where(F.col("f") == k).drop("f").coalesce(1).write.mode("append").parquet(path)
+        # rows of one id share a file
+        files.where(F.col("f") == k).drop("f").repartition(_files_a_batch(spark), "event_id").write.mode("append").parquet(path)
     return path, ev.limit(0)
 
 
+def _files_a_batch(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _event_stream(spark, path, like):
     from chirpscope.streaming.incremental import file_stream
-    return file_stream(spark, path, like.schema, max_files=1)
+    return file_stream(spark, path, like.schema, max_files=_files_a_batch(spark))
 
 
 def _drained(run) -> None:
@@ -849,7 +855,7 @@ def _drained(run) -> None:
 @query("stream_ingest", O.with_posts(f"SELECT {_POST_COLS_SQL} FROM posts"))
 def q_stream_ingest(spark, sf):
     """Several micro-batches into a target that already holds the labelled posts (STR1, SNK4, SNK5)."""
-    from chirpscope.sources.writers import insert_if_new
+    from chirpscope.sources.writers import insert_if_new, read_committed
     from chirpscope.streaming.incremental import stream_ingest
     path, like = _event_files(spark, sf)
     target, checkpoint = scratch_path(spark, "stream-posts"), scratch_path(spark, "stream-posts-checkpoint")
@@ -857,12 +863,12 @@ def q_stream_ingest(spark, sf):
     insert_if_new(spark, _posts(spark, sf).join(lab, "tweet_id", "left_semi"), target)
     _drained(lambda: stream_ingest(raw_posts(spark, sf, _event_stream(spark, path, like), ("place",)), target, checkpoint,
                                    order=["place"]))
-    return spark.read.parquet(target).select(*POST_COLS)
+    return read_committed(spark, target).select(*POST_COLS)
 
 
 @query("stream_scoring", O.with_posts("SELECT * FROM scored", _polarity_ctes()))
 def q_stream_scoring(spark, sf):
-    from chirpscope.sources.writers import insert_if_new
+    from chirpscope.sources.writers import insert_if_new, read_committed
     from chirpscope.streaming.incremental import stream_scoring
     path, like = _event_files(spark, sf)
     target, checkpoint = scratch_path(spark, "stream-scored"), scratch_path(spark, "stream-scored-checkpoint")
@@ -871,7 +877,25 @@ def q_stream_scoring(spark, sf):
     insert_if_new(spark, SN.score_lexicon(_posts(spark, sf).join(lab, "tweet_id", "left_semi"), lex), target)
     _drained(lambda: stream_scoring(I.flatten_records(raw_posts(spark, sf, _event_stream(spark, path, like), ("place",)), ["place"]),
                                     lex, target, checkpoint, order=["place"]))
-    return spark.read.parquet(target).select("tweet_id", "polarity", "sentiment")
+    return read_committed(spark, target).select("tweet_id", "polarity", "sentiment")
+
+
+@query("stream_closed_days", """
+WITH d AS (SELECT cast(ts AS DATE) AS date, round(avg(CASE WHEN isnan(value) THEN NULL ELSE value END), 6) AS avg_value, count(*) AS n
+           FROM events WHERE ts IS NOT NULL GROUP BY 1)
+SELECT date, avg_value, n FROM d WHERE date + INTERVAL 3 DAY <= (SELECT max(date) + INTERVAL 1 DAY FROM d)""")
+def q_stream_closed_days(spark, sf):
+    """Days in order of time, each appended once it is closed (two days past its end); the days that
+    may still change are open (STR3 with a watermark)."""
+    from chirpscope.streaming.incremental import file_stream, stream_closed_days
+    ev = read_table(spark, sf, "events")
+    path, target, checkpoint = (scratch_path(spark, n) for n in ("ordered-events", "closed-days", "closed-days-checkpoint"))
+    n = _files_a_batch(spark)
+    ev.repartitionByRange(4 * n, "ts").sortWithinPartitions("ts").write.parquet(path)
+    out = stream_closed_days(file_stream(spark, path, ev.schema, max_files=4 * n), target, checkpoint)
+    if out["late"]:
+        raise RuntimeError(f"{out['late']} rows of one batch were taken for late")
+    return spark.read.schema("date date, avg_value double, n long, batch long").parquet(target).select("date", "avg_value", "n")
 
 
 @query("stream_daily_trend", """

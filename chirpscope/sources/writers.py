@@ -6,13 +6,12 @@ Every writer raises on failure.  Paths are expected in a shared file system
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chirpscope.operators.ingest import new_rows
-from chirpscope.session import scratch_path
-from chirpscope.sources.readers import CSV_OPTIONS, key_scan, table_exists
+from chirpscope.sources.commit_log import CommitLog
+from chirpscope.sources.readers import CSV_OPTIONS, table_exists
 
 
 def _csv_out_options() -> dict:
@@ -58,24 +57,19 @@ def create_table_if_absent(spark: SparkSession, path: str, schema: T.StructType)
     return True
 
 
-def insert_if_new(spark: SparkSession, batch: DataFrame, path: str, key: str = "tweet_id", order=()) -> dict:
-    """Append the batch rows whose key is not in the target yet; of a key repeated in the batch
-    the first in ``order`` (SNK4, SNK5).  Returns true counts.
-
-    The batch and the new rows are each written once to a scratch folder of their own (the
-    anti join never reads the table it is writing, two writers never share a folder); both
-    counts are observed on those writes."""
-    seen, new = Observation(), Observation()
-    raw = scratch_path(spark, "insert-batch")
-    batch.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(raw)
-    keys = key_scan(spark, path, key) if table_exists(spark, path) else None
-    fresh = new_rows(spark.read.schema(batch.schema).parquet(raw), keys, key, order)
-    staging = scratch_path(spark, "insert-new")
-    fresh.observe(new, F.count(F.lit(1)).alias("n")).write.parquet(staging)
-    inserted, total = int(new.get["n"]), int(seen.get["n"])
-    if inserted or keys is None:
-        spark.read.schema(fresh.schema).parquet(staging).write.mode("append").parquet(path)
-    return {"inserted": inserted, "skipped": total - inserted}
+def insert_if_new(spark: SparkSession, batch: DataFrame, path: str, key: str = "tweet_id", order=(),
+                  batch_id: str | None = None) -> dict:
+    """Commit the batch rows whose key is not in the table at ``path`` yet; of a key repeated in the
+    batch the first in ``order`` (SNK4, SNK5).  Returns true counts.
+
+    The table is a ``CommitLog``: two writers of one key leave one row, and a batch named by
+    ``batch_id`` is taken once however often it is written.  Read it with ``read_committed``."""
+    return CommitLog(spark, path).insert(batch, key, order, batch_id)
+
+
+def read_committed(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of a table that ``insert_if_new`` fills; None if nothing was committed."""
+    return CommitLog(spark, path).read()
 
 
 def append_summary(spark: SparkSession, summary: DataFrame, path: str) -> None:

@@ -181,9 +181,9 @@ def test_insert_if_new_and_tally(spark):
     assert W.insert_if_new(spark, b1, target) == {"inserted": 2, "skipped": 1}
     b2 = posts_df(spark, [(2, "b2", None), (3, "c", None)])
     assert W.insert_if_new(spark, b2, target) == {"inserted": 1, "skipped": 1}
-    got = {r["tweet_id"]: r["tweet_text"] for r in spark.read.parquet(target).collect()}
+    got = {r["tweet_id"]: r["tweet_text"] for r in W.read_committed(spark, target).collect()}
     assert got == {1: "a", 2: "b", 3: "c"}
-    tally = I.ingest_tally(b2, spark.read.parquet(target).select("tweet_id")).collect()[0]
+    tally = I.ingest_tally(b2, W.read_committed(spark, target).select("tweet_id")).collect()[0]
     assert (tally["inserted"], tally["skipped"]) == (0, 2)
     missing = RD.key_scan(spark, scratch_path(spark, "nothing"))
     assert missing.count() == 0
@@ -201,7 +201,7 @@ def test_streams_go_on_where_they_stopped(spark):
     assert (run(), run()) == (2, 0)
     rows([2, 3], "b").write.mode("append").parquet(src)
     assert run() == 2
-    assert {r["tweet_id"]: r["tweet_text"] for r in spark.read.parquet(target).collect()} == {1: "a", 2: "a", 3: "b"}
+    assert {r["tweet_id"]: r["tweet_text"] for r in W.read_committed(spark, target).collect()} == {1: "a", 2: "a", 3: "b"}
 
 
 def test_timestamp_forms(spark):
