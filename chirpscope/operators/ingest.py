@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from chirpscope import constants as C
 from chirpscope.functions import text as TX
+from chirpscope.operators.bloom import anti_join
 
 
 def flatten_records(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -104,10 +105,11 @@ def first_per_key(batch: DataFrame, key: str | Sequence[str], order: Sequence[Co
 
 
 def new_rows(batch: DataFrame, target_keys: DataFrame | None, key: str = "tweet_id",
-             order: Sequence[Column] = ()) -> DataFrame:
+             order: Sequence[Column] = (), n_keys: int | None = None) -> DataFrame:
     """Rows of ``batch`` whose key is not yet in the target; of a key repeated in the
-    batch the first in ``order`` (JN2).  ``target_keys`` None = target missing."""
-    fresh = batch if target_keys is None else batch.join(target_keys.select(key), on=key, how="left_anti")
+    batch the first in ``order`` (JN2).  ``target_keys`` None = target missing; ``n_keys``: their
+    number, if known (a large target is asked through a Bloom filter first)."""
+    fresh = batch if target_keys is None else anti_join(batch, target_keys, key, n_keys)
     return first_per_key(fresh, key, order)
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from chirpscope import constants as C
 from chirpscope.functions import text as TX
+from chirpscope.operators.bloom import anti_join
 
 TOKEN_PATTERN = "[a-z]+"
 # a lexicon up to this many entries is applied in-row (map lookup is a linear scan)
@@ -94,7 +95,7 @@ def score_lexicon(df: DataFrame, lexicon: DataFrame, text_col: str = "tweet_text
 def incremental_scoring(posts: DataFrame, scored_keys: DataFrame | None, lexicon: DataFrame,
                         key: str = "tweet_id") -> DataFrame:
     """Only posts not scored yet (left anti on the key), scored (NLP3, JN1)."""
-    todo = posts if scored_keys is None else posts.join(scored_keys.select(key), key, "left_anti")
+    todo = posts if scored_keys is None else anti_join(posts, scored_keys, key)
     return score_lexicon(todo, lexicon, id_col=key)
 
 

@@ -312,6 +312,16 @@ def q_unscored_posts(spark, sf):
     return _posts(spark, sf).join(lab, "tweet_id", "left_anti")
 
 
+@query("unscored_posts_bloom", O.with_posts(
+    f"SELECT {_POST_COLS_SQL} FROM posts p WHERE NOT EXISTS "
+    "(SELECT 1 FROM labels l WHERE l.doc_id = p.tweet_id)"))
+def q_unscored_posts_bloom(spark, sf):
+    """The same behind a Bloom filter of the target's keys (JN1)."""
+    from chirpscope.operators.bloom import anti_join
+    lab = read_table(spark, sf, "labels").select(F.col("doc_id").alias("tweet_id"))
+    return anti_join(_posts(spark, sf), lab, "tweet_id", min_keys=0)
+
+
 # ---------------------------------------------------------------------------
 # sentiment
 # ---------------------------------------------------------------------------

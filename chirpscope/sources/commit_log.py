@@ -133,7 +133,8 @@ class CommitLog:
         raw, seen = scratch_path(self.spark, "insert-batch"), Observation()       # read twice, computed once
         batch.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(raw)
         keys = self.read(known)
-        fresh = new_rows(self.spark.read.schema(batch.schema).parquet(raw), None if keys is None else keys.select(key), key, order)
+        fresh = new_rows(self.spark.read.schema(batch.schema).parquet(raw), None if keys is None else keys.select(key), key, order,
+                         sum(c["rows"] for c in known))
         return self._commit(fresh, key, int(seen.get["n"]), known, {"batch": batch_id})
 
     def append_new(self, rows: DataFrame, key: str, batch_id: str, writer: str, base: int) -> dict:
