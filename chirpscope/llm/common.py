@@ -142,6 +142,12 @@ def _grown(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def release() -> None:
+    """Give back what earlier tasks of this worker left: power tables and pooled buffers."""
+    _powers[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+    pa.default_memory_pool().release_unused()
+
+
 class Prints:
     """Polynomial fingerprints (mod 2**64, then mixed) of any substrings of ``data`` in O(1)
     each.  Two different substrings agree with a probability of about 2**-64."""

@@ -26,6 +26,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ from chirpscope.session import scratch_path
 BLOCK = 128
 PERCENTILES = (0.75, 0.95, 1.0)
 #: Known pieces kept in a worker before the cache starts anew; bounds memory, never changes ids.
-CACHE_PIECES = 1_500_000
+CACHE_PIECES = 500_000
 #: Bytes of text that make a segment.
 SEGMENT_BYTES = 8 << 20
 MAGIC = b"PFR1"
@@ -87,7 +88,9 @@ def pack(ids: np.ndarray, block: int = BLOCK, percentiles: tuple[float, ...] = P
     for w in np.unique(width):
         if w:
             k = np.flatnonzero(width == w)
-            bits = ((d[k][:, :, None] >> np.arange(w)) & 1).astype(np.uint8)
+            cell = "<u2" if w <= 16 else "<u4"
+            raw = np.ascontiguousarray(d[k] & ((1 << int(w)) - 1)).astype(cell).view(np.uint8).reshape(len(k) * block, -1)
+            bits = np.unpackbits(raw, axis=1, count=int(w), bitorder="little")
             packed = np.packbits(bits.reshape(len(k), -1), axis=1, bitorder="little")
             payload[(s[k] + 7)[:, None] + np.arange(packed.shape[1])] = packed
     row, col = np.nonzero(out)
@@ -112,11 +115,11 @@ def unpack(payload: np.ndarray, starts: np.ndarray, n: int, block: int = BLOCK)
         if w:
             k = np.flatnonzero(width == w)
             raw = payload[(s[k] + 7)[:, None] + np.arange(-(-int(w) * block // 8))]
-            bits = np.unpackbits(raw, axis=1, count=int(w) * block, bitorder="little").reshape(len(k), block, w)
-            acc = np.zeros((len(k), block), np.int64)
-            for b in range(w):
-                acc |= bits[:, :, b].astype(np.int64) << b
-            d[k] = acc
+            cell = np.dtype("<u2" if w <= 16 else "<u4")
+            bits = np.unpackbits(raw, axis=1, count=int(w) * block, bitorder="little").reshape(len(k) * block, w)
+            full = np.zeros((len(bits), 8 * cell.itemsize), np.uint8)
+            full[:, :w] = bits
+            d[k] = np.packbits(full, axis=1, bitorder="little").view(cell).reshape(len(k), block)
     row = np.repeat(np.arange(len(s)), n_exc)
     nth = np.arange(len(row)) - np.repeat(np.cumsum(n_exc) - n_exc, n_exc)
     base = s[row] + 7 + body[row]
@@ -205,7 +208,7 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.known = pa.array([], pa.binary())
+        self.known: dict[bytes, int] = {}
         self.pool = np.array([self.end_id], np.int32)      # piece 0 is the end of a document
         self.lens = np.ones(1, np.int64)
 
@@ -241,13 +244,14 @@ class Encoder:
         distinct = coded.dictionary.cast(pa.binary()) if len(coded.dictionary) else pa.array([], pa.binary())
         if len(self.known) > CACHE_PIECES:
             self._clear()
-        place = pc.fill_null(pc.index_in(distinct, value_set=self.known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-        fresh = place < 0
-        if fresh.any():
-            new = distinct.filter(pa.array(fresh))
+        names = distinct.to_pylist()
+        place = np.fromiter(map(self.known.get, names, repeat(-1)), np.int64, len(names))
+        fresh = np.flatnonzero(place < 0)
+        if len(fresh):
+            new = [names[k] for k in fresh.tolist()]
             place[fresh] = len(self.known) + np.arange(len(new))
-            got = self._encode(new.to_pylist())
-            self.known = pa.concat_arrays([self.known, new])
+            self.known.update(zip(new, place[fresh].tolist()))
+            got = self._encode(new)
             self.lens = np.concatenate([self.lens, np.array([len(g) for g in got], np.int64)])
             self.pool = np.concatenate([self.pool, *got])
         code = place[coded.indices.to_numpy()] + 1 if len(at) > 1 else np.zeros(0, np.int64)
@@ -261,6 +265,18 @@ class Encoder:
         return ids, np.diff(np.concatenate([[0], stop]))
 
 
+_encoders: dict[tuple[str, int], Encoder] = {}
+
+
+def encoder(path: str, end_id: int) -> Encoder:
+    """The encoder of this worker, with the pieces that it knows from earlier tasks."""
+    U.release()
+    if (path, end_id) not in _encoders:
+        _encoders.clear()
+        _encoders[path, end_id] = Encoder(path, end_id)
+    return _encoders[path, end_id]
+
+
 # --- the operator ----------------------------------------------------------------------
 
 
@@ -274,7 +290,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(tokenizer, end_id)
+        encode = encoder(tokenizer, end_id)
         part, start = TaskContext.get().partitionId(), 0
         for seq, b in enumerate(U.bulk(batches, "text", SEGMENT_BYTES)):
             ids, counts = encode(b.column("text"))
