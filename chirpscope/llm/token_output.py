@@ -212,27 +212,34 @@ class Encoder:
         self.pool = np.array([self.end_id], np.int32)      # piece 0 is the end of a document
         self.lens = np.ones(1, np.int64)
 
-    def _encode(self, pieces: list[bytes]) -> list:
-        """Plain pieces are joined by newlines into one call; the others go one by one."""
-        out: list = [None] * len(pieces)
-        plain, odd = [], []
-        for k, p in enumerate(pieces):
-            q = p[1:] if p[:1] == b" " else p
-            fine = q and b"\n" not in p and not _UNSURE[q[0]] and _ASCII[q[-1]] or (
-                q and b"\n" not in p and not _UNSURE[q[0]] and len(q) > 1 and 0xC3 <= q[-2] <= 0xDF)
-            (plain if fine else odd).append(k)
+    def _encode(self, pieces: list[bytes]) -> tuple[list[bytes], np.ndarray, list[np.ndarray]]:
+        """The pieces in another order, the number of ids of each, and all their ids in that order.
+        Plain pieces are joined by newlines into one call; the others go one by one."""
+        data = np.frombuffer(b"".join(pieces) + b"..", np.uint8)
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        end = np.cumsum(size)
+        begin = end - size
+        head = np.minimum(begin + (data[begin] == 0x20), end)
+        lines = np.concatenate([[0], np.cumsum(data == 10)])
+        closed = _ASCII[data[end - 1]] | ((end - head > 1) & (data[end - 2] >= 0xC3) & (data[end - 2] <= 0xDF))
+        fine = (head < end) & (lines[end] == lines[begin]) & ~_UNSURE[data[head]] & closed
+        plain, odd = np.flatnonzero(fine).tolist(), np.flatnonzero(~fine).tolist()
+        order, counts, ids = [], [], []
         for j in range(0, len(plain), 512):
             g = plain[j:j + 512]
-            ids = np.array(self.tok.encode_batch_fast([b"\n".join(pieces[k] for k in g).decode()], add_special_tokens=False)[0].ids, np.int32)
-            sep = np.flatnonzero(ids == self.newline[0])
+            got = np.array(self.tok.encode_batch_fast([b"\n".join([pieces[k] for k in g]).decode()], add_special_tokens=False)[0].ids, np.int32)
+            sep = np.flatnonzero(got == self.newline[0])
             if len(self.newline) != 1 or len(sep) != len(g) - 1:
                 odd += g
                 continue
-            for k, a, b in zip(g, [0, *(sep + 1)], [*sep, len(ids)]):
-                out[k] = ids[a:b]
-        for k, e in zip(odd, self.tok.encode_batch_fast([pieces[k].decode() for k in odd], add_special_tokens=False)):
-            out[k] = np.array(e.ids, np.int32)
-        return out
+            order += g
+            counts.append(np.diff(np.concatenate([[-1], sep, [len(got)]])) - 1)
+            ids.append(np.delete(got, sep))
+        for e in self.tok.encode_batch_fast([pieces[k].decode() for k in odd], add_special_tokens=False):
+            counts.append(np.array([len(e.ids)], np.int64))
+            ids.append(np.array(e.ids, np.int32))
+        order += odd
+        return [pieces[k] for k in order], np.concatenate(counts), ids
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by the end id, and the number of ids of each."""
@@ -248,11 +255,10 @@ class Encoder:
         place = np.fromiter(map(self.known.get, names, repeat(-1)), np.int64, len(names))
         fresh = np.flatnonzero(place < 0)
         if len(fresh):
-            new = [names[k] for k in fresh.tolist()]
-            place[fresh] = len(self.known) + np.arange(len(new))
-            self.known.update(zip(new, place[fresh].tolist()))
-            got = self._encode(new)
-            self.lens = np.concatenate([self.lens, np.array([len(g) for g in got], np.int64)])
+            new, counts, got = self._encode([names[k] for k in fresh.tolist()])
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+            place[fresh] = [self.known[names[k]] for k in fresh.tolist()]
+            self.lens = np.concatenate([self.lens, counts])
             self.pool = np.concatenate([self.pool, *got])
         code = place[coded.indices.to_numpy()] + 1 if len(at) > 1 else np.zeros(0, np.int64)
         ends = np.searchsorted(at[:-1], off[1:])              # pieces before the end of each text
