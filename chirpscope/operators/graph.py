@@ -192,6 +192,8 @@ def pagerank(edges: DataFrame, directed: bool, alpha: float = C.PAGERANK_ALPHA,
             break
     else:
         if raise_on_fail and tol > 0:
+            ext.unpersist()
+            nodes.unpersist()
             raise PowerIterationFailedConvergence(f"pagerank: no convergence in {max_iter} rounds")
     final = ranks.select("node", F.col("x").alias("pagerank"))
     ext.unpersist()
@@ -215,6 +217,9 @@ def betweenness(edges: DataFrame, directed: bool, weighted: bool = True,
     (e) Σ_s δ_s(v), v ≠ s, scaled by 1/((n−1)(n−2)).  Pivots are processed in
     blocks so memory is block × nodes (``pivot_state_rows`` rows at once, to be sized
     to the cluster); every pivot is processed (exact).  Weights must be positive.
+
+    In an undirected graph the trees that hang on it are folded first (``_fold_trees``): the
+    rounds above run on what is left, whose nodes weigh as many nodes as they stand for.
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
@@ -222,7 +227,8 @@ def betweenness(edges: DataFrame, directed: bool, weighted: bool = True,
     a = arcs(edges, directed)
     if not weighted:
         a = a.withColumn("w", F.lit(1.0))
-    a = a.groupBy("src", "dst").agg(F.min("w").alias("w")).persist(StorageLevel.MEMORY_AND_DISK)
+    a = (a.where(F.col("src") != F.col("dst")).groupBy("src", "dst").agg(F.min("w").alias("w"))
+         .persist(StorageLevel.MEMORY_AND_DISK))
     try:
         least = a.agg(F.min("w")).head()[0]
         if least is not None and not least > 0:
@@ -238,26 +244,86 @@ def betweenness(edges: DataFrame, directed: bool, weighted: bool = True,
                 a.select(F.col("src").alias("node")).distinct(), "node")
             if mids.limit(1).count() == 0:
                 return zero
+        if directed:
+            core, weight, folds = a, nodes.select("node", F.lit(1.0).alias("omega")), []
+        else:
+            core, weight, folds = _fold_trees(a, nodes)
+        n_core = weight.count()
         if pivot_block is None:
-            pivot_block = max(1, min(n, int(pivot_state_rows // max(a.count() + n, 1))))
+            pivot_block = max(1, min(n_core, int(pivot_state_rows // max(core.count() + n_core, 1))))
         # pivot blocks by a stable hash bucket: no driver-side node list.  Each block ends as
-        # (v, delta) rows appended to one shared table, so the plan does not grow with the blocks.
-        n_blocks = (n + pivot_block - 1) // pivot_block
-        piv = nodes.withColumn("_blk", F.pmod(F.xxhash64("node"), F.lit(n_blocks)))
+        # (v, delta, size) rows appended to one shared table, so the plan does not grow with the blocks.
+        n_blocks = (n_core + pivot_block - 1) // pivot_block
+        piv = weight.withColumn("_blk", F.pmod(F.xxhash64("node"), F.lit(n_blocks)))
         path = scratch_path(spark, "betweenness")
         for blk in range(n_blocks):
-            pivots = piv.where(F.col("_blk") == blk).select(F.col("node").alias("s"))
-            (_dependencies(a, pivots).groupBy("v").agg(F.sum("delta").alias("delta"))
+            pivots = piv.where(F.col("_blk") == blk).select(F.col("node").alias("s"), F.col("omega").alias("_os"))
+            delta, sizes = _dependencies(core, pivots.select("s"), weight)
+            (delta.join(pivots, "s").groupBy("v").agg(F.sum(F.col("delta") * F.col("_os")).alias("delta"))
+             .withColumn("size", F.lit(None).cast("double"))
+             .unionByName(sizes.select(F.col("s").alias("v"), F.lit(0.0).alias("delta"), "size"))
              .write.mode("append").parquet(path))
-        total = spark.read.schema(f"v {a.schema['src'].dataType.simpleString()}, delta double").parquet(path)
+        total = spark.read.schema(f"v {a.schema['src'].dataType.simpleString()}, delta double, size double").parquet(path)
         scale = 1.0 / ((n - 1) * (n - 2)) if normalized else (1.0 if directed else 0.5)
-        bc = total.groupBy("v").agg(F.sum("delta").alias("bc"))
-        return (nodes.join(bc.withColumnRenamed("v", "node"), "node", "left")
+        bc = total.groupBy(F.col("v").alias("node")).agg(F.sum("delta").alias("bc"), F.max("size").alias("size"))
+        if folds:
+            bc = _cut(bc)
+            tree = _tree_pairs(folds, bc.select("node", "size"))
+            bc = (bc.select("node", "bc").unionByName(tree).groupBy("node").agg(F.sum("bc").alias("bc")))
+        return (nodes.join(bc.select("node", "bc"), "node", "left")
                 .select("node", (F.coalesce(F.col("bc"), F.lit(0.0)) * F.lit(scale)).alias("betweenness")))
     finally:
         a.unpersist()
 
 
+#: Rounds of folding; longer hanging paths keep their inner part as ordinary nodes.
+FOLD_ROUNDS = 24
+
+
+def _fold_trees(a: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Take off nodes of degree 1, round by round: (arcs left, (node, omega) left, folds).  A fold is
+    (child, parent, omega) with the number of nodes that went with the child; the parent's omega
+    grows by it.  Every path of a folded node to the rest leaves through its parent, so only the
+    number of nodes behind it matters to the others."""
+    omega = _cut(nodes.select("node", F.lit(1.0).alias("omega")))
+    folds: list[DataFrame] = []
+    core = a
+    for _ in range(FOLD_ROUNDS):
+        ends = core.groupBy("src").agg(F.count(F.lit(1)).alias("m"), F.min("dst").alias("dst")).where("m = 1")
+        other = ends.select(F.col("src").alias("dst"), F.lit(True).alias("_end"))
+        # of two ends that have only each other, the larger one is folded
+        leaf = (ends.join(other, "dst", "left").where(F.col("_end").isNull() | (F.col("src") > F.col("dst")))
+                .select(F.col("src").alias("child"), F.col("dst").alias("parent"))
+                .join(omega.withColumnRenamed("node", "child"), "child"))
+        leaf, n = _cut_count(leaf)
+        if not n:
+            break
+        folds.append(leaf)
+        gone = leaf.select(F.col("child").alias("node"))
+        grown = leaf.groupBy(F.col("parent").alias("node")).agg(F.sum("omega").alias("_more"))
+        omega = _cut(omega.join(gone, "node", "left_anti").join(grown, "node", "left")
+                     .select("node", (F.col("omega") + F.coalesce("_more", F.lit(0.0))).alias("omega")))
+        core = _cut(core.join(gone.withColumnRenamed("node", "src"), "src", "left_anti")
+                    .join(gone.withColumnRenamed("node", "dst"), "dst", "left_anti").select("src", "dst", "w"))
+    return core, omega, folds
+
+
+def _tree_pairs(folds: list[DataFrame], sizes: DataFrame) -> DataFrame:
+    """(node, bc): ordered pairs of nodes that a node separates because one of them was folded into it.
+    With the sizes w of the node's folded branches, S and Q the sums of w and of its squares, and N
+    nodes in its component, that is 2 (N - 1) S - Q - S²."""
+    known = sizes                                  # (node, size of its component), core nodes first
+    for leaf in reversed(folds):
+        known = _cut(known.unionByName(leaf.join(known.withColumnRenamed("node", "parent"), "parent")
+                                       .select(F.col("child").alias("node"), "size")))
+    branches = folds[0]
+    for leaf in folds[1:]:
+        branches = branches.unionByName(leaf)
+    per = branches.groupBy(F.col("parent").alias("node")).agg(
+        F.sum("omega").alias("S"), F.sum(F.col("omega") * F.col("omega")).alias("Q"))
+    return per.join(known, "node").select("node", (2 * (F.col("size") - 1) * F.col("S") - F.col("Q") - F.col("S") * F.col("S")).alias("bc"))
+
+
 def _cut(df: DataFrame) -> DataFrame:
     """Round state: one job computes it and writes it to the shared checkpoint folder;
     the next round starts from that leaf (no lineage growth, survives lost executors)."""
@@ -276,8 +342,9 @@ def _cut_count(df: DataFrame, cond=None) -> tuple[DataFrame, int]:
     return out, int(obs.get["n"])
 
 
-def _dependencies(a: DataFrame, pivots: DataFrame) -> DataFrame:
-    """δ_s(v) for the pivots s of one block: ``(s, v, delta)`` with v ≠ s."""
+def _dependencies(a: DataFrame, pivots: DataFrame, weight: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """For the pivots s of one block: δ_s(v) as ``(s, v, delta)`` with v ≠ s, where a target counts
+    with its weight (node, omega), and ``(s, size)``, the weight of all that s reaches and its own."""
     # (a) distances: Bellman-Ford on the frontier; state (s, v, d, improved) is cut each round
     state, n_imp = _cut_count(
         pivots.select("s", F.col("s").alias("v"), F.lit(0.0).alias("d"), F.lit(True).alias("imp")), F.col("imp"))
@@ -322,7 +389,8 @@ def _dependencies(a: DataFrame, pivots: DataFrame) -> DataFrame:
     amat = (dag.join(su, ["s", "src"]).join(sv, ["s", "dst"])
             .select("s", "src", "dst", (F.col("su") / F.col("sv")).alias("c")))
     amat = _cut(amat)
-    y = sigma.select("s", "v", F.lit(1.0).alias("y"))
+    y = _cut(sigma.join(weight.withColumnRenamed("node", "v"), "v").select("s", "v", F.col("omega").alias("y")))
+    sizes = y.groupBy("s").agg(F.sum("y").alias("size"))
     acc = []
     i = 0
     while True:
@@ -334,12 +402,12 @@ def _dependencies(a: DataFrame, pivots: DataFrame) -> DataFrame:
             break
         acc.append(y)
     if not acc:
-        return pivots.select("s", F.col("s").alias("v"), F.lit(0.0).alias("delta")).where("false")
+        return pivots.select("s", F.col("s").alias("v"), F.lit(0.0).alias("delta")).where("false"), sizes
     delta = acc[0]
     for p in acc[1:]:
         delta = delta.unionByName(p)
     return (delta.where(F.col("s") != F.col("v"))
-            .groupBy("s", "v").agg(F.sum("y").alias("delta")))
+            .groupBy("s", "v").agg(F.sum("y").alias("delta"))), sizes
 
 
 # ---------------------------------------------------------------------------

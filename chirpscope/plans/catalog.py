@@ -126,6 +126,14 @@ def q_hashtag_betweenness(spark, sf):
         "node", F.round("betweenness", PR_DIGITS).alias("betweenness"))
 
 
+@query("basket_betweenness", "WITH " + _BASKET_SQL + ", " + O.betweenness_ctes("b_edges", "node_u", "node_v", False, "bb")
+       + f" SELECT node, round(betweenness, {PR_DIGITS}) AS betweenness FROM bb_bt")
+def q_basket_betweenness(spark, sf):
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey")
+    return G.betweenness(G.basket_edges(li, "l_orderkey", "l_suppkey"), directed=False).select(
+        "node", F.round("betweenness", PR_DIGITS).alias("betweenness"))
+
+
 def _metrics(spark, sf, mention: bool = True, hashtag: bool = True) -> DataFrame:
     """Node-metric table; node types are disjoint by prefix ('@'/'user:' only in the
     mention graph, '#' only in the tag graph), so a top-k over one type family

@@ -84,6 +84,41 @@ def test_weighted_betweenness_matches_brute_force(spark):
         G.betweenness(und(spark, [("#a", "#b", 1), ("#b", "#c", 0)]), False)
 
 
+@pytest.mark.parametrize("rounds", [0, 1, 24])
+def test_folded_trees_change_nothing(spark, monkeypatch, rounds):
+    """Cycles with trees on them, trees alone, two nodes alone: exact however much is folded."""
+    monkeypatch.setattr(G, "FOLD_ROUNDS", rounds)
+    rnd = random.Random(11)
+    edges = {(f"c{i}", f"c{(i + 1) % 5}"): rnd.randint(1, 2) for i in range(5)} | {("c0", "c2"): 3}
+    names = [f"c{i}" for i in range(5)]
+    for k in range(14):                          # a tree grows on the cycle
+        edges[(rnd.choice(names), f"t{k}")] = rnd.randint(1, 3)
+        names.append(f"t{k}")
+    lone = ["r"]
+    for k in range(6):                           # and one on its own
+        edges[(rnd.choice(lone), f"s{k}")] = 1
+        lone.append(f"s{k}")
+    edges[("x", "y")] = 2
+    adj = defaultdict(dict)
+    for (a, b), w in edges.items():
+        adj[a][b] = adj[b][a] = w
+    used = sorted({x for e in edges for x in e})
+    exp = brute_betweenness(used, adj)
+    frame = und(spark, [(*sorted(e), w) for e, w in edges.items()] + [("c1", "c1", 1)])
+    got = {r["node"]: r["betweenness"] for r in G.betweenness(frame, False, pivot_block=100).collect()}
+    assert got.keys() == exp.keys()
+    for k in used:
+        assert got[k] == pytest.approx(exp[k], abs=1e-12), k
+
+
+def test_folding_leaves_the_cycle(spark):
+    frame = und(spark, [("a", "b", 1), ("b", "c", 1), ("a", "c", 1), ("c", "d", 1), ("d", "e", 1), ("d", "f", 1)])
+    a = G.arcs(frame, False)
+    core, omega, folds = G._fold_trees(a, G.nodes_of(frame, False))
+    assert sorted((r["node"], r["omega"]) for r in omega.collect()) == [("a", 1.0), ("b", 1.0), ("c", 4.0)]
+    assert core.count() == 6 and [f.count() for f in folds] == [2, 1]
+
+
 def test_pagerank_splits_a_hub(spark, monkeypatch):
     monkeypatch.setattr(G, "ARCS_PER_PART", 30_000)
     n = 100_000
