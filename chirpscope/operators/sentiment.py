@@ -143,10 +143,14 @@ def score_naive_bayes(df: DataFrame, model: NaiveBayes, text_col: str = "tweet_t
         return df.withColumn("label", F.lit(None).cast("string")).withColumn("score", F.lit(None).cast("double"))
     k = range(len(model.classes))
     keyed = df.withColumn("_key", row_key(id_col, text_col))
-    part = (token_counts(keyed, text_col).join(model.tokens, "token", "left").groupBy("_key")
-            .agg(*[F.sum(F.col("_n") * F.coalesce(f"lp{i}", F.lit(model.unseen[i]))).alias(f"_s{i}") for i in k]))
-    times = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_r"))     # equal rows share a key
-    out = keyed.join(part.join(times, "_key"), "_key", "left")
+    # equal rows share a key: an empty token more in each row counts them in the same pass
+    counts = (keyed.select("_key", F.explode(F.concat(tokens(text_col), F.array(F.lit("")))).alias("token"))
+              .groupBy("_key", "token").agg(F.count(F.lit(1)).alias("_n")))
+    known = F.col("token") != ""
+    part = counts.join(model.tokens, "token", "left").groupBy("_key").agg(
+        F.sum(F.when(~known, F.col("_n"))).alias("_r"),
+        *[F.sum(F.when(known, F.col("_n") * F.coalesce(f"lp{i}", F.lit(model.unseen[i])))).alias(f"_s{i}") for i in k])
+    out = keyed.join(part, "_key", "left")
     for i in k:
         out = out.withColumn(f"_s{i}", F.coalesce(F.col(f"_s{i}") / F.col("_r"), F.lit(0.0)) + F.lit(model.prior[i]))
     top = F.array_max(F.array(*[F.col(f"_s{i}") for i in k]))
@@ -168,33 +172,29 @@ def score_model(df: DataFrame, load: Callable[[], Predict], text_col: str = "twe
                 max_chars: int | None = None) -> DataFrame:
     """Add ``label`` / ``score`` from a caller's model over whole texts (NLP4, FN9).
 
-    ``mapInPandas`` hands Arrow batches to the model, loaded once per partition.  A failing batch
-    is retried row by row; a failing row gets label ``ERROR`` and a null score.  ``max_chars``
+    Only the texts go to Python, in Arrow batches; the model is loaded once per partition.  A failing
+    batch is retried row by row; a failing row gets label ``ERROR`` and a null score.  ``max_chars``
     cuts the texts for models that ask for it (FN8)."""
-    text = TX.text_or_empty(text_col) if max_chars is None else TX.truncate_chars(text_col, max_chars)
-    cut = df.withColumn("_text", text)
-    schema = T.StructType(cut.schema.fields + [T.StructField("label", T.StringType(), True),
-                                                T.StructField("score", T.DoubleType(), True)])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("label string, score double")
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = load()
-        for pdf in batches:
-            texts = pdf["_text"].fillna("").astype(str).tolist()
+
+        def one(text: str) -> tuple:
+            try:
+                return model([text])[0]
+            except Exception:
+                return C.MODEL_ERROR_LABEL, None
+
+        for texts in batches:
+            texts = texts.fillna("").astype(str).tolist()
             try:
-                res = model(texts)
+                found = model(texts)
             except Exception:
-                res = []
-                for t in texts:
-                    try:
-                        res.append(model([t])[0])
-                    except Exception:
-                        res.append((C.MODEL_ERROR_LABEL, None))
-            pdf = pdf.copy()
-            pdf["label"] = [r[0] for r in res]
-            pdf["score"] = pd.Series([r[1] for r in res], dtype="float64")
-            yield pdf
-
-    return cut.mapInPandas(run, schema).drop("_text")
+                found = [one(t) for t in texts]
+            yield pd.DataFrame({"label": [f[0] for f in found], "score": pd.Series([f[1] for f in found], dtype="float64")})
+
+    text = TX.text_or_empty(text_col) if max_chars is None else TX.truncate_chars(text_col, max_chars)
+    return df.withColumn("_p", predict(text)).withColumn("label", F.col("_p.label")).withColumn("score", F.col("_p.score")).drop("_p")
 
 
 def fixture_lexicon(spark) -> DataFrame:

@@ -194,6 +194,23 @@ def q_viz_nodes(spark, sf):
     return G.viz_tables(G.mention_edges(p), G.hashtag_edges(p))[0]
 
 
+@query("viz_nodes_shared", O.with_posts(f"""
+SELECT node AS id, node AS label, '{C.MENTION_NODE_COLOR}' AS color
+FROM (SELECT source AS node FROM m_edges UNION SELECT target FROM m_edges)
+UNION ALL
+SELECT node, node, '{C.HASHTAG_NODE_COLOR}'
+FROM (SELECT replace(node_u, '#', '@') AS node FROM h_edges UNION SELECT replace(node_v, '#', '@') FROM h_edges)
+WHERE node NOT IN (SELECT source FROM m_edges UNION SELECT target FROM m_edges)""",
+    O.MENTION_EDGES_CTE + "," + O.HASHTAG_EDGES_CTE))
+def q_viz_nodes_shared(spark, sf):
+    """Two layers that share nodes: the tags as handles, some of which the mention graph holds (JN5)."""
+    p = _posts(spark, sf)
+    he = G.hashtag_edges(p)
+    for end in ("node_u", "node_v"):
+        he = he.withColumn(end, F.replace(F.col(end), F.lit("#"), F.lit("@")))
+    return G.viz_tables(G.mention_edges(p), he)[0]
+
+
 @query("viz_edges", O.with_posts(f"""
 SELECT source AS "from", target AS "to", weight AS value, '{C.MENTION_EDGE_COLOR}' AS color FROM m_edges
 UNION ALL
@@ -420,6 +437,21 @@ def q_model_scores(spark, sf):
     return SN.score_naive_bayes(_posts(spark, sf), _bayes(spark, sf)).select("tweet_id", "label", "score")
 
 
+@query("model_plugin", O.with_posts("""SELECT tweet_id, CASE WHEN n % 7 = 0 THEN 'ERROR' WHEN n = 512 THEN 'full' ELSE 'short' END AS label,
+CASE WHEN n % 7 = 0 THEN NULL ELSE n / 512.0::DOUBLE END AS score FROM (SELECT tweet_id, length(substr(tweet_text, 1, 512)) AS n FROM posts)"""))
+def q_model_plugin(spark, sf):
+    """A caller's model over the first 512 characters, failing on some rows (NLP4, FN8, FN9)."""
+    def load():
+        def model(texts):
+            if any(len(t) % 7 == 0 for t in texts):
+                raise ValueError("a text that the model can't take")
+            return [("full" if len(t) == 512 else "short", len(t) / 512) for t in texts]
+        return model
+
+    scored = SN.score_model(_posts(spark, sf).select("tweet_id", "tweet_text"), load, max_chars=C.MODEL_MAX_CHARS)
+    return scored.select("tweet_id", "label", "score")
+
+
 # ---------------------------------------------------------------------------
 # reports (dashboard tabs) on events / labels
 # ---------------------------------------------------------------------------
@@ -707,16 +739,17 @@ def q_metrics_reread(spark, sf):
 @query("network_exports", O.with_posts("""
 SELECT 'mention_edges' AS file, count(*) AS rows, cast(sum(weight) AS BIGINT) AS total FROM m_edges
 UNION ALL SELECT 'hashtag_edges', count(*), cast(sum(weight) AS BIGINT) FROM h_edges
-UNION ALL SELECT 'nodes_metrics', count(*), cast(sum(degree) AS BIGINT) FROM hd_deg
+UNION ALL SELECT 'nodes_metrics', count(*), cast(sum(degree) AS BIGINT) FROM (SELECT degree FROM hd_deg UNION ALL SELECT degree FROM md_deg)
 UNION ALL SELECT 'top_hashtags', least(count(*), 10), NULL FROM hd_deg
-UNION ALL SELECT 'top_accounts', 0, NULL""",
-    O.MENTION_EDGES_CTE + "," + O.HASHTAG_EDGES_CTE + "," + O.degree_cte("h_edges", "node_u", "node_v", "hd")))
+UNION ALL SELECT 'top_accounts', least(count(*), 10), NULL FROM md_deg""",
+    O.MENTION_EDGES_CTE + "," + O.HASHTAG_EDGES_CTE + "," + O.degree_cte("h_edges", "node_u", "node_v", "hd") + ","
+    + O.degree_cte("m_edges", "source", "target", "md")))
 def q_network_exports(spark, sf):
-    """All five exports written and read back (SNK3); the metrics here are the tag graph's."""
+    """All five exports of both graphs written and read back (SNK3)."""
     from chirpscope.sources.writers import export_network
     p = _posts(spark, sf)
     me, he = G.mention_edges(p).checkpoint(eager=True), G.hashtag_edges(p).checkpoint(eager=True)
-    nodes = _metrics(spark, sf, mention=False).select(*S.NODE_METRICS.names).checkpoint(eager=True)
+    nodes = _metrics(spark, sf).select(*S.NODE_METRICS.names).checkpoint(eager=True)
     base = scratch_path(spark, "network")
     names = ["mention_edges", "hashtag_edges", "nodes_metrics", "top_accounts", "top_hashtags"]
     paths = {n: f"{base}/{n}" for n in names}
