@@ -104,6 +104,8 @@ def first_seen(edges: DataFrame, directed: bool) -> DataFrame:
 
 #: Arcs of one partition of a round; a source with more is split over several.
 ARCS_PER_PART = 200_000
+#: Hubs whose list may be broadcast.
+BROADCAST_HUBS = 500_000
 
 
 # ---------------------------------------------------------------------------
@@ -130,7 +132,7 @@ def pagerank(edges: DataFrame, directed: bool, alpha: float = C.PAGERANK_ALPHA,
     One round = arcs ⋈ ranks on (source, slice) → ``groupBy(dst)`` (partial-aggregated).
     The arcs are partitioned once, by their counted number; a hub with more than
     ``ARCS_PER_PART`` arcs is cut into slices, and only hubs' ranks are replicated
-    (there are at most arcs / ARCS_PER_PART hubs, so their list may be broadcast).
+    (their list is broadcast if it has at most ``BROADCAST_HUBS`` rows).
     Every node also has a *self arc* that carries its previous value and dangling
     flag through the same aggregation, so the rank state is referenced once per
     round (the plan grows linearly, not 2^k).  One scalar action per round.
@@ -151,11 +153,14 @@ def pagerank(edges: DataFrame, directed: bool, alpha: float = C.PAGERANK_ALPHA,
     n_parts = max(1, -(-(a.count() + n) // ARCS_PER_PART))
     hubs = (a.groupBy("src").agg(F.count(F.lit(1)).alias("_m")).where(F.col("_m") > ARCS_PER_PART)
             .select("src", F.ceil(F.col("_m") / ARCS_PER_PART).cast("int").alias("slices")).checkpoint(eager=True))
-    split = not hubs.isEmpty()
+    n_hubs = hubs.count()
+    split = n_hubs > 0
+    if n_hubs <= BROADCAST_HUBS:
+        hubs = F.broadcast(hubs)
     slices = F.coalesce(F.col("slices"), F.lit(1))
 
     def with_slices(df: DataFrame) -> DataFrame:
-        return df.join(F.broadcast(hubs), "src", "left") if split else df.withColumn("slices", F.lit(1))
+        return df.join(hubs, "src", "left") if split else df.withColumn("slices", F.lit(1))
 
     ext = (with_slices(a.join(out_w, "src"))
            .select("src", F.pmod(F.xxhash64("dst"), slices).cast("int").alias("slice"), "dst",

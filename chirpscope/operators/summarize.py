@@ -52,7 +52,8 @@ def unique_texts(df: DataFrame, text_col: str = "clean_text", ts_col: str = "cre
     hash aggregation over (sha-256, decimal); texts are neither sorted nor
     aggregated, only joined with the winners."""
     micros = F.coalesce(F.unix_micros(F.col(ts_col).cast("timestamp")), F.lit(-(1 << 62))).cast("decimal(19,0)")
-    rank = (micros * F.lit("10000000000000000000").cast("decimal(20,0)")).cast("decimal(38,0)") - F.col(id_col).cast("decimal(20,0)")
+    rank = (micros * F.lit("10000000000000000000").cast("decimal(20,0)")).cast("decimal(38,0)") - F.coalesce(
+        F.col(id_col).cast("decimal(20,0)"), F.lit("9999999999999999999").cast("decimal(20,0)"))      # a null id comes last
     keyed = df.select(text_col, ts_col, id_col, F.sha2(F.col(text_col), 256).alias("_h"), rank.cast("decimal(38,0)").alias("_r"))
     best = keyed.groupBy("_h").agg(F.max("_r").alias("_r"))
     return keyed.join(best, ["_h", "_r"], "left_semi").dropDuplicates(["_h"]).select(text_col, ts_col, id_col)

@@ -276,3 +276,11 @@ def test_network_exports_and_metrics_reread(spark):
     back = RD.read_node_metrics_csv(spark, paths["nodes_metrics"]).collect()
     assert back == nodes.collect()
     assert len([f for f in os.listdir(local["top_accounts"]) if f.endswith(".csv")]) == 1
+
+
+def test_a_text_of_null_ids_stays(spark):
+    t = dt.datetime(2025, 1, 1)
+    df = spark.createDataFrame([(None, "only null", t), (None, "only null", t), (None, "both", t), (4, "both", t), (3, "both", None)],
+                               "tweet_id long, clean_text string, created_at timestamp_ntz")
+    got = sorted((r["clean_text"], r["tweet_id"]) for r in SM.unique_texts(df).collect())
+    assert got == [("both", 4), ("only null", None)]
