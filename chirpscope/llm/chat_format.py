@@ -1,7 +1,7 @@
 """Chat formatting of typed content parts, in DataFrame functions only.
 
 A message is a list of parts.  A visitor - one expression per kind of part - flattens them in
-order: text becomes escaped text; an image, audio or document part becomes a numbered placeholder
+order: a run of text becomes escaped text; an image, audio or document part becomes a numbered placeholder
 ``<|kind:i|>``, its reference is recorded, and the tokens it will expand to are counted.
 
     <|im_start|>ROLE \\n CONTENT<|im_end|> \\n        for each turn
@@ -65,13 +65,15 @@ def flatten_parts(messages: DataFrame, parts: str = "parts") -> DataFrame:
     attachments = F.transform(others, lambda x, i: F.struct(
         i.alias("ordinal"), x["kind"].alias("kind"), x["ref"].alias("ref"), tokens_of(x).alias("tokens")))
     kind = lambda x: F.regexp_replace(x["kind"], r"[<|>\\:]", "_")
+    # neighbouring text parts are one run, escaped as a whole: a control string can't be pieced together
     visit = lambda acc, x: F.when(is_text(x), F.struct(
-        F.concat(acc["s"], escape(F.coalesce(x["text"], F.lit("")))).alias("s"), acc["n"].alias("n"))).otherwise(F.struct(
-            F.concat(acc["s"], F.lit("<|"), kind(x), F.lit(":"), acc["n"].cast("string"), F.lit("|>")).alias("s"),
-            (acc["n"] + 1).alias("n")))
+        acc["s"].alias("s"), F.concat(acc["run"], F.coalesce(x["text"], F.lit(""))).alias("run"), acc["n"].alias("n"))).otherwise(F.struct(
+            F.concat(acc["s"], escape(acc["run"]), F.lit("<|"), kind(x), F.lit(":"), acc["n"].cast("string"), F.lit("|>")).alias("s"),
+            F.lit("").alias("run"), (acc["n"] + 1).alias("n")))
     one_text = (F.size(p) == 1) & is_text(F.get(p, F.lit(0)))
     content = F.when(one_text, escape(F.coalesce(F.get(p, F.lit(0))["text"], F.lit("")))).otherwise(
-        F.aggregate(p, F.struct(F.lit("").alias("s"), F.lit(0).alias("n")), visit, lambda acc: acc["s"]))
+        F.aggregate(p, F.struct(F.lit("").alias("s"), F.lit("").alias("run"), F.lit(0).alias("n")), visit,
+                    lambda acc: F.concat(acc["s"], escape(acc["run"]))))
     return (messages.withColumn("content", content).withColumn("attachments", attachments)
             .withColumn("expanded_tokens", F.aggregate("attachments", F.lit(0).cast("long"), lambda acc, x: acc + x["tokens"])))
 
