@@ -8,11 +8,13 @@ next ``REACH`` nodes that share at least ``MIN_PREFIX`` labels: where nodes are
 whole regions of short prefixes, where they are dense only the deepest ones - the depth adapts to
 each region and no region makes all its pairs.  Orders are cut by range over tasks (ties broken by
 sketch and node, so any region can be cut) and the rows on both sides of a cut are compared once
-more, so a cut loses nothing.
+more, so a cut loses nothing while a partition has at least REACH rows; their number follows the
+counted rows to see to that.
 
-Two nodes with similarity 0.8 miss each other in one tree with probability 1 - 0.8**MIN_PREFIX, in
-all 24 with 2e-11, however dense their region.  A run of n nodes that do not link costs n * n / 2
-comparisons of sketches.
+A region of at most REACH nodes is compared whole.  With d labels down to such a region, a node
+misses a partner of similarity 0.8 in that tree with probability 1 - 0.8**d; in all 24 trees with
+2e-11 at d = MIN_PREFIX.  The walk notes each node's crowded depth in each tree, and nodes that the
+crowd leaves a chance of more than ``MISS`` to miss a partner are compared beyond REACH, see below.
 
 A 2-bit sketch of the MinHash values drops candidates whose estimate is over four standard
 deviations too low, and so do set sizes that are too unequal.  Candidates are confirmed on the
@@ -32,6 +34,7 @@ gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,6 +55,12 @@ REACH = 96
 #: Estimates below PERCENT by this much are dropped: over four standard deviations of the sketch.
 SLACK = 0.15
 SEED = 1_000_003
+#: Nodes are at risk if a partner of similarity PERCENT escapes their walks with a higher probability.
+MISS = 1e-6
+#: Trees whose crowded runs are compared in full: (1 - 0.8**MIN_PREFIX)**14 is 6e-7.
+FULL_TREES = 14
+#: Rows of a partition of the sorted orders, at least (but for what the range sampling misjudges).
+PART_ROWS = 8192
 
 HASHES = TREES * DEPTH
 _A = np.random.default_rng(SEED).integers(1 << 31, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -68,6 +77,7 @@ ORDER = {"tree": "int", "labels": "binary", "sketch": "binary", "node": "long",
 #: What the second walk carries besides.
 ROOTED = {"root": "long", "counts": "binary"}
 PAIR_ROW = "a long, b long"
+CROWD_ROW = "run long, depth int"
 
 
 # --- sets --------------------------------------------------------------------------------
@@ -227,6 +237,31 @@ def _neighbours(rows: pa.RecordBatch, percent: int, cut: int | None = None) -> p
     return pa.RecordBatch.from_pydict({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
+def _crowds(rows: pa.RecordBatch, cut: int | None = None) -> pa.RecordBatch:
+    """(node, run, depth) of the sorted rows whose region, MIN_PREFIX labels deep, spans more than
+    REACH rows: the run is the tree and those labels as one number, the depth the most labels
+    whose region is still that crowded; with ``cut`` only regions that reach over that place."""
+    n = rows.num_rows
+    labels, tree = _flat(rows, "labels", np.uint8, 2 * DEPTH).view(">u2"), rows.column("tree").to_numpy()
+    deep = np.zeros(n, np.uint8)
+    if n > REACH:
+        same = (labels[:-REACH] == labels[REACH:]) & (tree[:-REACH] == tree[REACH:])[:, None]
+        deep[:-REACH] = np.logical_and.accumulate(same, axis=1).sum(axis=1)
+    if cut is not None:
+        deep[cut:] = 0
+        deep[:max(0, cut - REACH)] = 0
+    span = 1
+    while span <= REACH:                                    # the deepest of all windows over a row
+        step = min(span, REACH + 1 - span)
+        deep[step:] = np.maximum(deep[step:], deep[:-step])
+        span += step
+    i = np.flatnonzero(deep >= MIN_PREFIX)
+    run = tree[i].astype(np.int64)
+    for k in range(MIN_PREFIX):
+        run = (run << 16) | labels[i, k]
+    return pa.RecordBatch.from_pydict({"node": rows.column("node").take(pa.array(i)), "run": run, "depth": deep[i].astype(np.int32)})
+
+
 def _spanning(i: np.ndarray, j: np.ndarray, est: np.ndarray, n: int) -> np.ndarray:
     """Places of the pairs that make a spanning forest, best estimates first."""
     root = list(range(n))
@@ -246,16 +281,19 @@ def _spanning(i: np.ndarray, j: np.ndarray, est: np.ndarray, n: int) -> np.ndarr
     return np.array(keep, np.int64)
 
 
-def candidates(nodes: DataFrame, percent: int) -> DataFrame:
-    """Distinct candidate pairs (a < b) of nodes.  ``nodes``: node, n, mh, and for the second walk
-    root and counts."""
+def candidates(nodes: DataFrame, percent: int, count: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct candidate pairs (a < b) of nodes, and (node, run, depth) of the crowded ones.
+    ``nodes``: node, n, mh, and for the second walk, which notes no crowds, root and counts;
+    ``count``: its rows."""
     spark = nodes.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8192")
     kinds = ORDER | {c: k for c, k in ROOTED.items() if c in nodes.columns}
     schema = ", ".join(f"{c} {k}" for c, k in kinds.items())
     by = ["tree", "labels", "sketch", "node"]
     rows = nodes.select("mh", "node", "n", *[c for c in ROOTED if c in nodes.columns]).mapInArrow(_order_rows, schema)
-    rows = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *by).sortWithinPartitions(*by)
+    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), count * TREES // PART_ROWS))
+    rows = rows.repartitionByRange(parts, *by).sortWithinPartitions(*by)
+    rooted = "root" in kinds
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs of each batch with the REACH rows before it; the partition's own ends are passed
@@ -271,21 +309,31 @@ def candidates(nodes: DataFrame, percent: int) -> DataFrame:
             both = b if tail is None else _stacked([tail, b])
             pairs = _neighbours(both, percent)
             if pairs.num_rows:
-                yield _tagged(kinds, pairs=pairs)
+                yield _tagged(kinds, pairs)
+            crowds = None if rooted else _crowds(both)
+            if crowds is not None and crowds.num_rows:
+                yield _tagged(kinds, crowds)
             tail = both.slice(max(0, both.num_rows - REACH))
         if head is not None:
-            yield _tagged(kinds, rows=tail, part=part, side=0)
-            yield _tagged(kinds, rows=head, part=part - 1, side=1)
+            yield _tagged(kinds, tail, part=part, side=0)
+            yield _tagged(kinds, head, part=part - 1, side=1)
 
-    both = U.stored(rows.mapInArrow(walk, f"{PAIR_ROW}, {schema}, part int, side int"), "forest")
+    both = U.stored(rows.mapInArrow(walk, f"{PAIR_ROW}, {schema}, {CROWD_ROW}, part int, side int"), "forest")
 
     def across(t: pa.Table) -> pa.Table:
         t = t.sort_by([(c, "ascending") for c in ("side", *by)])
         cut = int(np.searchsorted(t["side"].to_numpy(), 1))
-        return pa.Table.from_batches([_neighbours(t.combine_chunks().to_batches()[0], percent, cut)])
+        t = t.combine_chunks().to_batches()[0]
+        found = [_tagged({}, _neighbours(t, percent, cut), node="long")]
+        if not rooted:
+            found.append(_tagged({}, _crowds(t, cut), node="long"))
+        return pa.Table.from_batches(found).select(["a", "b", "node", "run", "depth"])
 
-    cuts = both.filter("a is null").drop("a", "b").groupBy("part").applyInArrow(across, PAIR_ROW)
-    return U.stored(both.filter("a is not null").select("a", "b").unionByName(cuts).distinct(), "candidates")
+    ends = both.filter("side is not null").select(*kinds, "part", "side").groupBy("part")
+    cuts = U.stored(ends.applyInArrow(across, f"{PAIR_ROW}, node long, {CROWD_ROW}"), "cuts")
+    every = both.select("a", "b", "node", "run", "depth").unionByName(cuts)
+    return (U.stored(every.filter("a is not null").select("a", "b").distinct(), "candidates"),
+            every.filter("depth is not null").select("node", "run", "depth"))
 
 
 def _stacked(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -295,32 +343,34 @@ def _stacked(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
 _ARROW = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
 
 
-def _tagged(kinds: dict, pairs: pa.RecordBatch | None = None, rows: pa.RecordBatch | None = None, part: int = 0, side: int = 0) -> pa.RecordBatch:
-    given = pairs if pairs is not None else rows
+def _tagged(kinds: dict, given: pa.RecordBatch, node: str | None = None, **marks: int) -> pa.RecordBatch:
+    """``given`` with the columns of the walk's output that it lacks: null, or as ``marks`` say."""
     n = given.num_rows
-    extra = {} if rows is None else {"part": pa.array(np.full(n, part, np.int32)), "side": pa.array(np.full(n, side, np.int32))}
-    every = {"a": "long", "b": "long"} | kinds | {"part": "int", "side": "int"}
+    own = kinds or {"node": node}
+    every = {"a": "long", "b": "long"} | own | {"run": "long", "depth": "int"} | ({"part": "int", "side": "int"} if kinds else {})
     return pa.RecordBatch.from_pydict({
-        c: given.column(c) if c in given.schema.names else extra.get(c, pa.nulls(n, _ARROW[k])) for c, k in every.items()})
+        c: given.column(c) if c in given.schema.names
+        else pa.array(np.full(n, marks[c], np.int32)) if c in marks else pa.nulls(n, _ARROW[k]) for c, k in every.items()})
 
 
 # --- crowded runs ----------------------------------------------------------------------------
 
 #: Rows of a crowded run are compared in blocks of these sizes, so that a row is dealt to about
 #: SPLITS blocks until the blocks are full.
-LEAST_BLOCK, MOST_BLOCK, SPLITS = 128, 8192, 16
+LEAST_BLOCK, MOST_BLOCK, SPLITS = 2048, 8192, 16
 SIDE = {"node": "long", "n": "long", "root": "long", "sketch": "binary", "counts": "binary"}
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(run, node): the first MIN_PREFIX labels of a node in each tree, as one number."""
-    for b in batches:
-        if b.num_rows:
-            mh = _flat(b, "mh", np.uint32, HASHES).reshape(-1, TREES, DEPTH) >> 16
-            run = np.broadcast_to(np.arange(TREES, dtype=np.uint64), mh.shape[:2])
-            for k in range(MIN_PREFIX):
-                run = (run << np.uint64(16)) | mh[:, :, k].astype(np.uint64)
-            yield pa.RecordBatch.from_pydict({"run": run.ravel().view(np.int64), "node": np.repeat(b.column("node").to_numpy(), TREES)})
+def at_risk(crowds: DataFrame, percent: int) -> DataFrame:
+    """(run, node) of the nodes whose crowded regions leave a chance of more than MISS that a
+    partner lies beyond REACH in every tree, for the runs of the first FULL_TREES trees."""
+    p = min(percent, 99) / 100
+    usual = math.log(1 - p ** MIN_PREFIX)
+    deep = U.stored(crowds.groupBy("node", "run").agg(F.max("depth").alias("depth")), "crowds")
+    here = F.when(F.col("depth") < DEPTH, F.log(1 - F.pow(F.lit(p), F.col("depth") + 1))).otherwise(0.0) - usual
+    risky = deep.groupBy("node").agg(F.sum(here).alias("more")).filter(F.col("more") > math.log(MISS) - TREES * usual)
+    first = deep.filter(F.shiftright("run", 16 * MIN_PREFIX) < FULL_TREES)
+    return first.join(risky, "node").select("run", "node")
 
 
 def _with_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,17 +405,15 @@ def _far(t: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
-def crowded(nodes: DataFrame, roots: DataFrame, percent: int) -> DataFrame | None:
-    """Distinct candidate pairs (a < b), in different components, of all nodes that share
-    MIN_PREFIX labels with more nodes than REACH spans; None if no such run is left open."""
+def crowded(nodes: DataFrame, crowds: DataFrame, roots: DataFrame, percent: int) -> DataFrame | None:
+    """Distinct candidate pairs (a < b), in different components, of all nodes at risk that share
+    a crowded run; None if no such run is left open."""
     spark = nodes.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8192")
-    rows = nodes.select("mh", "node").mapInArrow(_runs, "run long, node long")
-    long_ = U.stored(rows.groupBy("run").count().filter(F.col("count") > REACH + 1), "runs")
-    if long_.isEmpty():
+    rows = at_risk(crowds, percent).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = U.stored(rows, "run-rows")
+    if rows.isEmpty():
         return None
-    rows = U.stored(rows.join(U.small_side(long_.select("run")), "run"), "run-rows")
-    rows = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     per = U.stored(rows.groupBy("run", "root").agg(F.count("*").alias("c")), "run-roots")
     whole = (per.groupBy("run").agg(F.sum("c").alias("rows"), F.min("root").alias("x"), F.max("root").alias("y"))
              .filter("x <> y").select("run", F.least(F.lit(MOST_BLOCK), F.greatest(F.lit(LEAST_BLOCK), F.ceil(F.col("rows") / SPLITS))).alias("size")))
@@ -424,7 +472,7 @@ def node_components(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str
     nodes = U.stored(sets.filter("node is not null").groupBy("node").agg(
         F.first("n").alias("n"), F.first("mh").alias("mh"), F.first("counts").alias("counts"),
         F.min(F.struct("doc_id", "text_key")).alias("rep")), "nodes")
-    found = candidates(nodes.select("node", "n", "mh"), percent)
+    found, crowds = candidates(nodes.select("node", "n", "mh"), percent, nodes.count())
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
 
     def texts_of(pairs: DataFrame) -> DataFrame:
@@ -442,12 +490,12 @@ def node_components(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str
     groups = U.stored(groups, "groups")
     split = groups.groupBy("grp").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("grp")
     open_ = U.stored(groups.join(split, "grp").select("node", "root"), "open")
-    rest = candidates(nodes.join(open_, "node").select("node", "n", "mh", "root", "counts"), percent)
+    rest, _ = candidates(nodes.join(open_, "node").select("node", "n", "mh", "root", "counts"), percent, open_.count())
     more = U.stored(confirm(rest, texts, size, percent), "links")
     if not more.isEmpty():
         sure = sure.unionByName(more)
         roots = components(sure)
-    far = crowded(nodes, roots, percent)
+    far = crowded(nodes, crowds, roots, percent)
     if far is None or far.isEmpty():
         return roots
     more = U.stored(confirm(far, texts_of(far), size, percent), "links")

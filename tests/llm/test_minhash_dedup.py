@@ -153,3 +153,40 @@ def test_links_in_a_crowded_unlinked_family(spark):
     missed = [(a, b) for a, b in links.tolist() if got[a] != got[b]]
     assert not missed, f"{len(missed)} of {len(links)} links missed"
     assert [got[k] for k in range(len(out))] == least
+
+
+def test_crowded_depths_match_brute_force():
+    import pyarrow as pa
+    rng = np.random.default_rng(3)
+    labels = rng.integers(0, [1, 2, 2, 4, 9, 9, 9, 9], (1500, M.DEPTH), endpoint=True).astype(">u2")
+    tree = rng.integers(0, 2, 1500).astype(np.int32)
+    order = np.lexsort((*labels.T[::-1], tree))
+    labels, tree = labels[order], tree[order]
+    rows = pa.RecordBatch.from_pydict({
+        "tree": tree, "labels": pa.array([x.tobytes() for x in labels], pa.binary()), "node": np.arange(1500)})
+    want = {}
+    for i in range(1500):
+        near = tree == tree[i]
+        for d in range(1, M.DEPTH + 1):
+            near = near & (labels[:, d - 1] == labels[i, d - 1])
+            if near.sum() > M.REACH and d >= M.MIN_PREFIX:
+                want[i] = d
+
+    def depths(batches):
+        return {n: d for b in batches for n, d in zip(b.column("node").to_pylist(), b.column("depth").to_pylist())}
+
+    assert want and depths([M._crowds(rows)]) == want
+    # cut into two partitions, with the regions that reach over the cut
+    for cut in (96, 700, 1404):
+        ends = rows.slice(cut - 96, 192)
+        got = {}
+        for b in (rows.slice(0, cut), rows.slice(cut), None):
+            for n, d in depths([M._crowds(ends, 96) if b is None else M._crowds(b)]).items():
+                got[n] = max(d, got.get(n, 0))
+        assert got == want
+
+
+def test_nodes_in_shallow_crowds_are_not_at_risk(spark):
+    rows = [(1, t << 32, 2) for t in range(M.TREES)] + [(2, t << 32, M.DEPTH) for t in range(M.TREES)] + [(3, 0, M.DEPTH)]
+    got = M.at_risk(spark.createDataFrame(rows, "node long, run long, depth int"), 80).collect()
+    assert sorted(map(tuple, got)) == [(t << 32, 2) for t in range(M.FULL_TREES)]
