@@ -45,6 +45,17 @@ def small_side(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as no column of ``df`` has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def bulk(batches: Iterable[pa.RecordBatch], text_col: str,
          max_bytes: int = GROUP_BYTES) -> Iterator[pa.RecordBatch]:
     """Regroup Arrow batches so that each holds about ``max_bytes`` of ``text_col``."""
@@ -150,7 +161,8 @@ def release() -> None:
 
 class Prints:
     """Polynomial fingerprints (mod 2**64, then mixed) of any substrings of ``data`` in O(1)
-    each.  Two different substrings agree with a probability of about 2**-64."""
+    each.  Unrelated substrings agree with a probability of about 2**-64; texts made for it can agree
+    (complementary Thue-Morse words of 1,024 bytes do)."""
 
     def __init__(self, data: np.ndarray):
         p, self.inv = _grown(len(data) + 1)

@@ -231,7 +231,7 @@ def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     """Documents without any hit, all columns kept.  A row is known by a fingerprint of its id
     and text, so rows that share an id are judged one by one; the fingerprints of contaminated
     rows are stored first, so Spark knows their size when it chooses the join."""
-    key = F.xxhash64(id_col, text_col)
+    key, (name,) = F.xxhash64(id_col, text_col), U.free_names(docs, "__key")
     bad = U.stored(hits(docs.select(key.alias("doc_id"), F.col(text_col).alias("text")), items, **options)
-                   .filter(F.size("starts") > 0).select(F.col("doc_id").alias("__key")).distinct(), "contaminated")
-    return docs.withColumn("__key", key).join(bad, "__key", "left_anti").drop("__key")
+                   .filter(F.size("starts") > 0).select(F.col("doc_id").alias(name)).distinct(), "contaminated")
+    return docs.withColumn(name, key).join(bad, name, "left_anti").drop(name)

@@ -530,15 +530,16 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     key = [F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")]
     gone = U.stored(ranked.filter("not kept").select(*key), "near-copies")
     again = U.stored(ranked.filter("kept and n > 1").select(*key), "repeated-rows")
-    full = docs.withColumn("__text", F.xxhash64(text_col))
+    (text,) = U.free_names(docs, "__text")
+    full = docs.withColumn(text, F.xxhash64(text_col))
 
     def match(side: DataFrame) -> Column:
-        return full[id_col].cast("long").eqNullSafe(side["__id"]) & (full["__text"] == side["__key"])
+        return full[id_col].cast("long").eqNullSafe(side["__id"]) & (full[text] == side["__key"])
 
     gone = U.small_side(gone)
     left = full.join(gone, match(gone), "left_anti")
     if again.isEmpty():
-        return left.drop("__text")
+        return left.drop(text)
     once = left.join(again, match(again), "left_anti")
-    many = left.join(again, match(again), "left_semi").dropDuplicates([id_col, "__text"])
-    return once.unionByName(many).drop("__text")
+    many = left.join(again, match(again), "left_semi").dropDuplicates([id_col, text])
+    return once.unionByName(many).drop(text)

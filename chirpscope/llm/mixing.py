@@ -178,10 +178,12 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each document as often as it was drawn, all columns kept."""
-    c = U.stored(copies(docs, **options).select(F.col("key").alias("__key"), "n", (F.col("n") * F.col("base") + F.col("extra")).alias("__times"))
-                 .withColumnRenamed("n", "__n").filter("__times > 0"), "mix-copies")
-    keyed = docs.withColumn("__key", F.xxhash64(*row_key(docs))).join(U.small_side(c), "__key")
-    once = keyed.filter("__n = 1")
-    many = keyed.filter("__n > 1").dropDuplicates(["__key"])
-    return (once.unionByName(many).withColumn("__k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times"))))
-            .drop("__key", "__n", "__times", "__k"))
+    key, n, times, k = U.free_names(docs, "__key", "__n", "__times", "__k")
+    c = copies(docs, **options).select(
+        F.col("key").alias(key), F.col("n").alias(n), (F.col("n") * F.col("base") + F.col("extra")).alias(times))
+    c = U.stored(c.filter(F.col(times) > 0), "mix-copies")
+    keyed = docs.withColumn(key, F.xxhash64(*row_key(docs))).join(U.small_side(c), key)
+    once = keyed.filter(F.col(n) == 1)
+    many = keyed.filter(F.col(n) > 1).dropDuplicates([key])
+    return (once.unionByName(many).withColumn(k, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))))
+            .drop(key, n, times, k))

@@ -298,4 +298,4 @@ def good_documents(docs: DataFrame, labels: DataFrame, text_col: str = "text", *
     if not model.learned:
         return docs
     U.small_batches(docs.sparkSession)
-    return docs.withColumn("__score", score_texts(model)(F.col(text_col))).filter(F.col("__score") >= THRESHOLD).drop("__score")
+    return docs.filter(score_texts(model)(F.col(text_col)) >= THRESHOLD)
