@@ -347,6 +347,32 @@ def q_unscored_posts_bloom(spark, sf):
     return anti_join(_posts(spark, sf), lab, "tweet_id", min_keys=0)
 
 
+def _committed(spark, rows: DataFrame, part, key: str, refresh=()):
+    """A commit log filled by three commits (``part`` = 0, 1, 2); each of ``refresh`` makes a table derived
+    from it, which is brought up to date after the first and the second commit: the third is
+    pending when it is asked."""
+    from chirpscope.sources.commit_log import CommitLog
+    log = CommitLog(spark, scratch_path(spark, "commits"))
+    derived = [make(log) for make in refresh]
+    for i in range(3):
+        log.append_new(rows.where(part == i), key, f"part-{i}", "catalogue", -1)
+        if i < 2:
+            for d in derived:
+                d.refresh()
+    return derived
+
+
+@query("search_posts_index", ORACLE["search_posts"])
+def q_search_posts_index(spark, sf):
+    """The search through a word index; one commit is not indexed yet (SRC8, FN11)."""
+    from chirpscope.sources.search_index import SearchIndex
+    p = I.flatten_records(raw_posts(spark, sf), keep=["is_repost"])
+    part = F.pmod(F.coalesce("tweet_id", F.lit(0)), F.lit(3))
+    index, = _committed(spark, p, part, "tweet_id", [SearchIndex])
+    return index.search(SEARCH, is_repost=F.col("is_repost"))
+
+
+
 # ---------------------------------------------------------------------------
 # sentiment
 # ---------------------------------------------------------------------------
@@ -490,6 +516,21 @@ def q_daily_trend(spark, sf):
     return R.daily_mean(read_table(spark, sf, "events"), "ts", "value")
 
 
+@query("daily_partials", """
+SELECT cast(ts AS DATE) AS date, event_type AS class, count(*) AS n,
+       round(avg(CASE WHEN isnan(value) THEN NULL ELSE value END), 6) AS avg_value,
+       min(CASE WHEN isnan(value) THEN NULL ELSE value END) AS least, max(CASE WHEN isnan(value) THEN NULL ELSE value END) AS most,
+       min(ts) AS first_ts, max(ts) AS last_ts
+FROM events GROUP BY 1, 2""")
+def q_daily_partials(spark, sf):
+    """Days and classes merged from the partials of three commits, the last computed when asked (AGG3, AGG6, AGG7)."""
+    from chirpscope.sources.partials import DailyPartials
+    ev = read_table(spark, sf, "events").select("event_id", "ts", "event_type", "value")
+    part = F.pmod(F.coalesce("event_id", F.lit(0)), F.lit(3))
+    daily, = _committed(spark, ev, part, "event_id", [lambda log: DailyPartials(log, "ts", "event_type", "value")])
+    return daily.merged()
+
+
 @query("date_bounds", "SELECT cast(min(ts) AS DATE) AS min_date, cast(max(ts) AS DATE) AS max_date FROM events")
 def q_date_bounds(spark, sf):
     return R.date_bounds(read_table(spark, sf, "events"), "ts")
@@ -539,6 +580,18 @@ def q_newest_k(spark, sf):
     return SN.score_naive_bayes(nk, _bayes(spark, sf)).select("tweet_text", F.col("label").alias("sentiment"), "created_at")
 
 
+@query("newest_k_zones", O.with_posts(
+    f"SELECT tweet_id, created_at FROM posts ORDER BY created_at DESC NULLS LAST, tweet_id LIMIT {C.NEWEST_K}"))
+def q_newest_k_zones(spark, sf):
+    """The newest posts through zone maps; commits come in the order of time (SRC5)."""
+    from chirpscope.sources.zone_maps import ZoneMap
+    p = _posts(spark, sf)
+    day = F.coalesce(F.dayofmonth("created_at"), F.lit(1))
+    part = F.when(day <= 10, 0).when(day <= 20, 1).otherwise(2)
+    zones, = _committed(spark, p, part, "tweet_id", [ZoneMap])
+    return zones.newest().select("tweet_id", "created_at")
+
+
 @query("clean_texts", O.with_posts(f"SELECT tweet_id, {O.clean_text_sql('tweet_text')} AS clean_text FROM posts"))
 def q_clean_texts(spark, sf):
     return SM.clean_posts(_posts(spark, sf)).select("tweet_id", "clean_text")

@@ -6,6 +6,8 @@ Every writer raises on failure.  Paths are expected in a shared file system
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,13 +60,19 @@ def create_table_if_absent(spark: SparkSession, path: str, schema: T.StructType)
 
 
 def insert_if_new(spark: SparkSession, batch: DataFrame, path: str, key: str = "tweet_id", order=(),
-                  batch_id: str | None = None) -> dict:
+                  batch_id: str | None = None, followers: Sequence[Callable[[CommitLog], object]] = ()) -> dict:
     """Commit the batch rows whose key is not in the table at ``path`` yet; of a key repeated in the
     batch the first in ``order`` (SNK4, SNK5).  Returns true counts.
 
     The table is a ``CommitLog``: two writers of one key leave one row, and a batch named by
-    ``batch_id`` is taken once however often it is written.  Read it with ``read_committed``."""
-    return CommitLog(spark, path).insert(batch, key, order, batch_id)
+    ``batch_id`` is taken once however often it is written.  Read it with ``read_committed``.
+    ``followers`` (``SearchIndex``, ``ZoneMap``, or a function that gives such an object for the table) are
+    brought up to date after the commit; a writer that ends before leaves that to the next one."""
+    table = CommitLog(spark, path)
+    done = table.insert(batch, key, order, batch_id)
+    for follower in followers:
+        follower(table).refresh()
+    return done
 
 
 def read_committed(spark: SparkSession, path: str) -> DataFrame | None:
