@@ -18,10 +18,14 @@ from pyspark.sql import types as T
 from chirpscope import constants as C
 from chirpscope.functions import text as TX
 from chirpscope.operators.bloom import anti_join
+from chirpscope.session import checkpoint_dir
 
 TOKEN_PATTERN = "[a-z]+"
 # a lexicon up to this many entries is applied in-row (map lookup is a linear scan)
 INLINE_LEXICON_MAX = 64
+# tokens of a lexicon or model that every task may hold, and the longest of them
+COMMON_TOKENS = 100_000
+COMMON_LENGTH = 64
 
 
 def tokens(c) -> Column:
@@ -47,9 +51,9 @@ def lexicon_polarity(df: DataFrame, lexicon: DataFrame, text_col: str = "tweet_t
     Two plans, one result; each row's value depends on its own text only:
     * tiny lexicon (≤ INLINE_LEXICON_MAX, counted): an in-row map lookup — no
       explode, no shuffle, the text never leaves its task;
-    * otherwise: distinct (key, token) counts → join with the lexicon (Spark picks a
-      broadcast by the table's size; AQE splits hot tokens) → aggregation per key →
-      left join back on the key of (id, text).
+    * otherwise: one sum per key from the broadcast part of the lexicon, and distinct
+      (key, token) counts for the tokens it lacks, if any (``token_sums``) → left join
+      back on the key of (id, text).
     """
     lex = clean_lexicon(lexicon)
     pairs = lex.limit(INLINE_LEXICON_MAX + 1).collect()          # bounded
@@ -70,19 +74,60 @@ def lexicon_polarity(df: DataFrame, lexicon: DataFrame, text_col: str = "tweet_t
         if digits is not None:
             pol = F.round(pol, digits) + F.lit(0.0)     # + 0.0 turns -0.0 into 0.0
         return df.withColumn(out, pol)
+    checkpoint_dir(df.sparkSession)
+    lex = lex.checkpoint(eager=True).withColumn("_seen", F.lit(0))
+    if lex.count() > COMMON_TOKENS:
+        # which tokens are frequent, in the lexicon or not, is seen in one row of 32; it changes no score
+        some = df.where(F.pmod(F.xxhash64(id_col), F.lit(32)) == 0).select(F.explode(tokens(text_col)).alias("token"))
+        lex = lex.drop("_seen").join(some.groupBy("token").agg(F.count(F.lit(1)).alias("_seen")), "token", "full").checkpoint(eager=True)
+    common, rest = common_tokens(lex, F.col("_seen").desc_nulls_last(), F.length("token"))
     keyed = df.withColumn("_key", row_key(id_col, text_col))
-    hits = token_counts(keyed, text_col).join(lex, "token")
-    scores = hits.groupBy("_key").agg((F.sum(F.col("score") * F.col("_n")) / F.sum("_n")).alias("_pol"))
-    pol = F.coalesce(F.col("_pol"), F.lit(0.0))
+    scores = token_sums(keyed, text_col, common, rest, {"score": None})
+    pol = F.coalesce(F.try_divide("score", "_hits"), F.lit(0.0))
     if digits is not None:
         pol = F.round(pol, digits) + F.lit(0.0)
-    return keyed.join(scores, "_key", "left").withColumn(out, pol).drop("_pol", "_key")
-
-
-def token_counts(keyed: DataFrame, text_col: str) -> DataFrame:
-    """(_key, token, _n): tokens of all rows of a key together (equal rows count each time)."""
-    return (keyed.select("_key", F.explode(tokens(text_col)).alias("token"))
-            .groupBy("_key", "token").agg(F.count(F.lit(1)).alias("_n")))
+    kept = scores.select("_key", pol.alias("_pol"))
+    return keyed.join(kept, "_key", "left").withColumn(out, F.coalesce("_pol", F.lit(0.0))).drop("_pol", "_key")
+
+
+def common_tokens(table: DataFrame, *order: Column) -> tuple[DataFrame, DataFrame | None]:
+    """The ``COMMON_TOKENS`` first tokens in ``order`` (none over ``COMMON_LENGTH``), to be broadcast, and
+    the others: None if there are none.  ``table`` has one row a token; what no text yields is left out."""
+    table = table.where(F.col("token").rlike(r"\A" + TOKEN_PATTERN + r"\z"))
+    n, longest = table.agg(F.count(F.lit(1)), F.max(F.length("token"))).first()
+    if n <= COMMON_TOKENS and (longest or 0) <= COMMON_LENGTH:
+        return F.broadcast(table), None
+    common = table.where(F.length("token") <= COMMON_LENGTH).orderBy(*order, "token").limit(COMMON_TOKENS)
+    return F.broadcast(common), table.join(F.broadcast(common.select("token")), "token", "left_anti")
+
+
+def token_sums(keyed: DataFrame, text_col: str, common: DataFrame, rest: DataFrame | None,
+               values: dict[str, float | None]) -> DataFrame:
+    """(_key, _rows, _hits, sum of each value column) over all tokens of all rows of a key.  A token that
+    neither table holds, or holds without values, adds the given number, with None nothing; the others
+    are ``_hits``.
+
+    Tokens of ``common`` are summed up in the task that holds the text; only the others leave it."""
+    first = next(iter(values))
+    # an empty token more in each row counts the rows of a key in the same pass
+    every = (keyed.select("_key", F.explode(F.concat(tokens(text_col), F.array(F.lit("")))).alias("token"))
+             .join(common.select("token", F.lit(True).alias("_c"), *values), "token", "left"))
+    row, found = F.col("token") == "", F.col(first).isNotNull()
+    other = ~row & F.col("_c").isNull()
+    sums = [F.sum(F.when(row, 1).otherwise(0)).alias("_rows"), F.sum(F.when(found, 1).otherwise(0)).alias("_hits"),
+            F.sum(F.when(other, 1).otherwise(0)).alias("_n"), *[F.sum(F.coalesce(F.col(v), F.when(F.col("_c"), F.lit(miss)))).alias(v) for v, miss in values.items()]]
+    if rest is None:
+        part = every.groupBy("_key").agg(*sums).withColumns({f"_{v}": F.lit(None).cast("double") for v in values})
+        seen = F.lit(False)
+    else:
+        # what is summed up already goes under a name that is no token, one of many
+        name = F.when(other, F.col("token")).otherwise(F.concat(F.lit("#"), F.pmod(F.xxhash64("_key"), F.lit(4096)).cast("string")))
+        part = (every.groupBy("_key", name.alias("_t")).agg(*sums)
+                .join(rest.select(F.col("token").alias("_t"), *[F.col(v).alias(f"_{v}") for v in values]), "_t", "left"))
+        seen = F.col(f"_{first}").isNotNull()
+    total = [F.sum(F.coalesce(F.col(v), F.lit(0.0)) + F.col("_n") * F.coalesce(F.col(f"_{v}"), F.lit(0.0 if miss is None else miss))).alias(v)
+             for v, miss in values.items()]
+    return part.groupBy("_key").agg(F.sum("_rows").alias("_rows"), F.sum(F.col("_hits") + F.when(seen, F.col("_n")).otherwise(0)).alias("_hits"), *total)
 
 
 def score_lexicon(df: DataFrame, lexicon: DataFrame, text_col: str = "tweet_text",
@@ -105,7 +150,7 @@ def incremental_scoring(posts: DataFrame, scored_keys: DataFrame | None, lexicon
 
 @dataclass
 class NaiveBayes:
-    """``tokens``: token and its log-probability in each class (columns lp0, lp1, …);
+    """``tokens``: token, its number n and its log-probability in each class (columns lp0, lp1, …);
     ``prior`` and ``unseen``: log-probabilities of each class and of a token it never held."""
 
     classes: list[str]
@@ -123,6 +168,8 @@ def fit_naive_bayes(labelled: DataFrame, text_col: str = "text", label_col: str
     if max_fit_rows is not None:
         rows = rows.orderBy(F.xxhash64("label", "t")).limit(max_fit_rows)
     counts = rows.select("label", F.explode("t").alias("token")).groupBy("label", "token").agg(F.count(F.lit(1)).alias("n"))
+    checkpoint_dir(labelled.sparkSession)
+    counts = counts.checkpoint(eager=True)          # the texts are read once
     docs = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     sums = {r["label"]: r["n"] for r in counts.groupBy("label").agg(F.sum("n").alias("n")).collect()}
     words = counts.select("token").distinct().count()
@@ -130,7 +177,7 @@ def fit_naive_bayes(labelled: DataFrame, text_col: str = "text", label_col: str
     total = [sums.get(c, 0) + words for c in classes]
     lp = [F.log((F.sum(F.when(F.col("label") == c, F.col("n")).otherwise(0)) + 1) / F.lit(float(max(n, 1)))).alias(f"lp{k}")
           for k, (c, n) in enumerate(zip(classes, total))]
-    table = counts.groupBy("token").agg(*lp) if classes else counts.select("token")
+    table = counts.groupBy("token").agg(F.sum("n").alias("n"), *lp) if classes else counts.select("token", "n")
     return NaiveBayes(classes, table, [math.log(docs[c] / sum(docs.values())) for c in classes],
                       [math.log(1.0 / max(n, 1)) for n in total])
 
@@ -143,22 +190,18 @@ def score_naive_bayes(df: DataFrame, model: NaiveBayes, text_col: str = "tweet_t
         return df.withColumn("label", F.lit(None).cast("string")).withColumn("score", F.lit(None).cast("double"))
     k = range(len(model.classes))
     keyed = df.withColumn("_key", row_key(id_col, text_col))
-    # equal rows share a key: an empty token more in each row counts them in the same pass
-    counts = (keyed.select("_key", F.explode(F.concat(tokens(text_col), F.array(F.lit("")))).alias("token"))
-              .groupBy("_key", "token").agg(F.count(F.lit(1)).alias("_n")))
-    known = F.col("token") != ""
-    part = counts.join(model.tokens, "token", "left").groupBy("_key").agg(
-        F.sum(F.when(~known, F.col("_n"))).alias("_r"),
-        *[F.sum(F.when(known, F.col("_n") * F.coalesce(f"lp{i}", F.lit(model.unseen[i])))).alias(f"_s{i}") for i in k])
+    # the most frequent tokens are broadcast
+    common, rest = common_tokens(model.tokens.select("token", "n", *[F.col(f"lp{i}").alias(f"_s{i}") for i in k]), F.col("n").desc())
+    part = token_sums(keyed, text_col, common, rest, {f"_s{i}": model.unseen[i] for i in k})
     out = keyed.join(part, "_key", "left")
     for i in k:
-        out = out.withColumn(f"_s{i}", F.coalesce(F.col(f"_s{i}") / F.col("_r"), F.lit(0.0)) + F.lit(model.prior[i]))
+        out = out.withColumn(f"_s{i}", F.coalesce(F.col(f"_s{i}") / F.col("_rows"), F.lit(0.0)) + F.lit(model.prior[i]))
     top = F.array_max(F.array(*[F.col(f"_s{i}") for i in k]))
     out = out.withColumn("_m", top)
     label = F.coalesce(*[F.when(F.col(f"_s{i}") == F.col("_m"), F.lit(model.classes[i])) for i in k])
     share = F.lit(1.0) / sum((F.exp(F.col(f"_s{i}") - F.col("_m")) for i in k), F.lit(0.0))
     return (out.withColumn("label", label).withColumn("score", F.round(share, digits))
-            .drop("_key", "_m", "_r", *[f"_s{i}" for i in k]))
+            .drop("_key", "_m", "_rows", "_hits", *[f"_s{i}" for i in k]))
 
 
 # ---------------------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import re
 
 import pytest
 from pyspark.sql import Window
@@ -66,6 +67,27 @@ def test_naive_bayes(spark):
     assert {r["label"] for r in SN.score_naive_bayes(p, none).collect()} == {None}
 
 
+def test_tokens_stay_where_their_text_is(spark, monkeypatch):
+    """Tokens of the broadcast part are summed up beside their text; a table cut in two gives the same."""
+    def exchanged(df):
+        return re.findall(r"hashpartitioning\(_key[^)]*token", df._jdf.queryExecution().executedPlan().toString())
+
+    letters = [f"z{a}{b}" for a in "abcdefghij" for b in "abcdefghij"]
+    lex = spark.createDataFrame([("the", 0.5), ("la", -0.4), ("de", 0.1), ("por", 0.7), ("", 9.0), ("#1", 9.0), ("x" * 80, -1.0)]
+                                + [(w, 0.25) for w in letters], "token string, score double")
+    p = posts_df(spark, ODD_POSTS + [(7, "za" + " zab" * 3 + " la " + "x" * 80, None)])
+    fit = spark.createDataFrame([("a", "the la la zab"), ("b", "de por de zac"), ("b", " ".join(letters))], "label string, text string")
+    got = []
+    for most in (SN.COMMON_TOKENS, 5):
+        monkeypatch.setattr(SN, "COMMON_TOKENS", most)
+        pol, bayes = SN.lexicon_polarity(p, lex), SN.score_naive_bayes(p, SN.fit_naive_bayes(fit))
+        if most > 5:
+            assert not exchanged(bayes) and not exchanged(SN.lexicon_polarity(p, lex.where("length(token) < 9")))
+        got.append([sorted(map(str, df.collect())) for df in (pol, bayes)])
+    assert got[0] == got[1]
+    assert any("polarity=" + str(round((0.25 * 3 - 0.4 - 1) / 5, 6)) in r for r in got[0][0])
+
+
 def test_plug_in_model_sees_whole_texts_and_reports_errors(spark):
     p = posts_df(spark, [(1, "abc", None), (2, "", None), (3, "x" * 600, None)])
 
