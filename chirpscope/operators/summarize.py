@@ -3,9 +3,9 @@ de-duplication, ordinal numbering, chunks of 15, prompts, a map step per chunk a
 one reduce step.
 
 Scale notes
-* keep-first de-duplication aggregates fixed-width columns (a text's sha-256 and its
-  rank), so a text copied a million times is pre-reduced map-side, and whole texts
-  are joined back once, for the winners only;
+* keep-first de-duplication aggregates fixed-width columns (a text's sha-256, its rank
+  and its row number), so a text copied a million times is pre-reduced map-side; texts
+  are written once and joined with the winners' row numbers;
 * the whole-table ordinal is computed without a single-partition window: range
   partition + sort → per-partition offsets (a table of #partitions rows) → add;
 * the default map and reduce steps are relational: every sentence of every text
@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from chirpscope import constants as C
 from chirpscope.functions import text as TX
+from chirpscope.session import scratch_path
 
 #: (prompt, texts) → summary
 Summarizer = Callable[[str, list[str]], str]
@@ -32,6 +33,8 @@ Summarizer = Callable[[str, list[str]], str]
 #: Sentences of a chunk's summary and of the final summary (output sizes, as in the prompts).
 CHUNK_SENTENCES = 4
 FINAL_SENTENCES = 6
+#: Characters of one partition of chunks: its words are sorted in memory.
+CHARS_PER_PART = 8_000_000
 
 
 def newest_k(df: DataFrame, ts_col: str = "created_at", id_col: str = "tweet_id",
@@ -48,15 +51,20 @@ def unique_texts(df: DataFrame, text_col: str = "clean_text", ts_col: str = "cre
                  id_col: str = "tweet_id") -> DataFrame:
     """One row per distinct text: the first in (ts desc, id asc) order wins (AGG8, WIN2).
 
-    The order is one decimal (microseconds · 10^19 − id), so the winner comes from a
-    hash aggregation over (sha-256, decimal); texts are neither sorted nor
-    aggregated, only joined with the winners."""
+    The order is one decimal (microseconds · 10^19 − id).  The rows are written to the shared
+    folder once, numbered; the winners come from an aggregation over (sha-256, decimal, number),
+    and texts are neither sorted nor aggregated, only joined with the winners' numbers."""
     micros = F.coalesce(F.unix_micros(F.col(ts_col).cast("timestamp")), F.lit(-(1 << 62))).cast("decimal(19,0)")
     rank = (micros * F.lit("10000000000000000000").cast("decimal(20,0)")).cast("decimal(38,0)") - F.coalesce(
         F.col(id_col).cast("decimal(20,0)"), F.lit("9999999999999999999").cast("decimal(20,0)"))      # a null id comes last
-    keyed = df.select(text_col, ts_col, id_col, F.sha2(F.col(text_col), 256).alias("_h"), rank.cast("decimal(38,0)").alias("_r"))
-    best = keyed.groupBy("_h").agg(F.max("_r").alias("_r"))
-    return keyed.join(best, ["_h", "_r"], "left_semi").dropDuplicates(["_h"]).select(text_col, ts_col, id_col)
+    path = scratch_path(df.sparkSession, "unique-texts")
+    (df.where(F.col(text_col).isNotNull())
+     .select(text_col, ts_col, id_col, F.sha2(F.col(text_col), 256).alias("_h"), rank.cast("decimal(38,0)").alias("_r"),
+             F.monotonically_increasing_id().alias("_u"))
+     .write.option("compression", "zstd").parquet(path))
+    keyed = df.sparkSession.read.parquet(path)
+    best = keyed.groupBy("_h").agg(F.max(F.struct("_r", "_u")).alias("_b")).select("_b._u")
+    return keyed.join(best, "_u", "left_semi").select(text_col, ts_col, id_col)
 
 
 def global_ordinal(df: DataFrame, order: Sequence[str | Column], name: str = "n") -> DataFrame:
@@ -138,14 +146,27 @@ def chunk_sentences(texts: DataFrame, ordinal: str = "n", text_col: str = "clean
                     chunk_size: int = C.CHUNK_SIZE, keywords: Iterable[str] = C.SUMMARY_KEYWORDS,
                     keep: int = CHUNK_SENTENCES) -> DataFrame:
     """The ``keep`` best sentences of every chunk: ``(chunk_id, n, i, sentence)``.  Every sentence
-    of every text competes; repeats (case-insensitive) count once, at their first place."""
-    every = texts.select(chunk_of(ordinal, chunk_size).alias("chunk_id"), F.col(ordinal).cast("long").alias("n"),
-                         F.posexplode(TX.split_sentences(TX.squeeze_ws(TX.text_or_empty(text_col)))).alias("i", "sentence"))
-    once = (every.groupBy("chunk_id", F.lower("sentence").alias("_l")).agg(F.min(F.struct("n", "i", "sentence")).alias("s"))
-            .select("chunk_id", "s.n", "s.i", "s.sentence"))
-    ranked = ranked_sentences(once, ["chunk_id"], ["n", "i"], keywords)
+    of every text competes; repeats (case-insensitive) count once, at their first place.
+
+    A chunk's texts are brought together once: all groups and windows are parts of its chunk, and
+    only places, not sentences, go through them."""
+    split = TX.split_sentences(TX.squeeze_ws(TX.text_or_empty(text_col)))
+    chars = texts.agg(F.sum(F.length(text_col))).first()[0] or 0
+    base = (texts.select(chunk_of(ordinal, chunk_size).alias("chunk_id"), F.col(ordinal).cast("long").alias("n"), F.col(text_col))
+            .repartition(int(chars // CHARS_PER_PART) + 1, "chunk_id"))
+    once = (base.select("chunk_id", "n", F.posexplode(F.transform(split, lambda x: F.lower(x))).alias("i", "_l"))
+            .groupBy("chunk_id", "_l").agg(F.min(F.struct("n", "i")).alias("s")))
+    words = once.select("chunk_id", "s.n", "s.i", TX.contains_any("_l", list(keywords)).alias("hit"),
+                        F.explode_outer(F.regexp_extract_all("_l", F.lit("[a-z]+"), 0)).alias("w"))
+    each = words.withColumn("c", F.count("w").over(Window.partitionBy("chunk_id", "w")))
+    freq = F.coalesce(F.floor(F.lit(1000) * F.sum(F.when(F.col("w").isNotNull(), F.col("c"))) / F.nullif(F.count("w"), F.lit(0))), F.lit(0))
+    ranked = each.groupBy("chunk_id", "n", "i", "hit").agg(freq.alias("freq"))
     w = Window.partitionBy("chunk_id").orderBy(F.col("hit").desc(), F.col("freq").desc(), "n", "i")
-    return ranked.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= keep).select("chunk_id", "n", "i", "sentence")
+    best = (ranked.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= keep)
+            .groupBy("chunk_id").agg(F.collect_list(F.struct("n", "i")).alias("_best")))
+    place = F.explode(F.transform(F.filter("_best", lambda x: x["n"] == F.col("n")), lambda x: x["i"]))
+    return (base.join(best, "chunk_id").select("chunk_id", "n", text_col, place.alias("i"))
+            .select("chunk_id", "n", "i", F.element_at(split, F.col("i") + 1).alias("sentence")))
 
 
 def chunk_summaries(sentences: DataFrame) -> DataFrame:

@@ -67,6 +67,23 @@ def test_naive_bayes(spark):
     assert {r["label"] for r in SN.score_naive_bayes(p, none).collect()} == {None}
 
 
+def test_words_of_chunks_are_not_shuffled(spark, monkeypatch):
+    """Only whole chunks are dealt out: no word, sentence or copy of the texts goes through a shuffle of its own."""
+    texts = spark.createDataFrame([(i + 1, f"One two. {'two ' * (i % 3)}three! Plain, plain {i}.") for i in range(40)], "n long, clean_text string")
+    monkeypatch.setattr(SM, "CHARS_PER_PART", texts.agg(F.sum(F.length("clean_text"))).first()[0] // 2)
+    plan = SM.chunk_sentences(texts)._jdf.queryExecution().executedPlan().toString()
+    assert {re.sub(r"#\d+L?", "", k) for k in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)} == {"chunk_id, 3"}
+
+
+def test_unique_texts_move_texts_once(spark):
+    p = posts_df(spark, ODD_POSTS + [(4, "LA la de por", None), (9, "nothing here", dt.datetime(2024, 1, 2))])
+    u = SM.unique_texts(p, "tweet_text")
+    assert sorted((r["tweet_text"], r["tweet_id"]) for r in u.collect()) == sorted(
+        {"The and the": 1, "nothing here": 2, "LA la de por": 4, "und": 1, "the": None, "und und the": None}.items())
+    plan = u._jdf.queryExecution().executedPlan().toString()
+    assert "first(tweet_text" not in plan and not re.search(r"hashpartitioning\(_h[^)]*_r", plan)
+
+
 def test_tokens_stay_where_their_text_is(spark, monkeypatch):
     """Tokens of the broadcast part are summed up beside their text; a table cut in two gives the same."""
     def exchanged(df):
