@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -210,3 +211,17 @@ def test_empty_graph_keeps_schema(spark):
     assert G.pagerank(e, False).count() == 0
     assert G.degree(e, False).columns == ["node", "degree"]
     assert G.hashtag_edges(spark.createDataFrame([], "tweet_id long, tweet_text string")).count() == 0
+
+
+def test_marks_keep_what_the_edges_are_made_of(spark):
+    texts = ["RT @a: #Fed @a_b #fed's", "@" + "x" * 20 + "#y@z", None, "a@b.c ##d #Ä @", "#one#two @@p @q"]
+    posts = spark.createDataFrame([(i % 4, None if i == 1 else i, t) for i, t in enumerate(texts)], "tweet_id long, author_id long, tweet_text string")
+    for build in (G.mentions, G.hashtags, G.mention_edges, G.hashtag_edges):
+        assert sorted(map(str, build(G.marks(posts)).collect())) == sorted(map(str, build(posts).collect()))
+
+
+def test_row_pairs_parts_follow_the_work(spark, monkeypatch):
+    monkeypatch.setattr(P, "PAIRS_PER_PART", 50)
+    df = spark.createDataFrame([(g, i) for g in range(60) for i in range(g % 4 + 1)], "g long, i long")
+    dealt = re.findall(r"hashpartitioning\(_g#\d+L?, (\d+)\), REPARTITION_BY_NUM", P.row_pairs(df, "g", "i")._jdf.queryExecution().executedPlan().toString())
+    assert dealt and all(int(n) == sum(15 * (k + k * (k - 1) / 2) for k in range(1, 5)) // 50 + 1 for n in dealt)
