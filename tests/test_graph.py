@@ -225,3 +225,26 @@ def test_row_pairs_parts_follow_the_work(spark, monkeypatch):
     df = spark.createDataFrame([(g, i) for g in range(60) for i in range(g % 4 + 1)], "g long, i long")
     dealt = re.findall(r"hashpartitioning\(_g#\d+L?, (\d+)\), REPARTITION_BY_NUM", P.row_pairs(df, "g", "i")._jdf.queryExecution().executedPlan().toString())
     assert dealt and all(int(n) == sum(15 * (k + k * (k - 1) / 2) for k in range(1, 5)) // 50 + 1 for n in dealt)
+
+
+def test_betweenness_of_a_dense_graph_in_tiles(spark, monkeypatch):
+    """Components over several tiles, small ones that share one, a node pair alone: as by brute force,
+    in a number of rounds that the pivots do not multiply."""
+    monkeypatch.setattr(G.tiles, "TILE", 8)
+    rnd = random.Random(5)
+    edges = {(f"a{i:02}", f"a{j:02}"): rnd.randint(1, 3) for i, j in itertools.combinations(range(20), 2) if rnd.random() < 0.6}
+    for k in range(4):
+        edges |= {(f"b{k}{x}", f"b{k}{y}"): rnd.randint(1, 2) for x, y in itertools.combinations("pqrs", 2)}
+    edges[("y", "z")] = 1
+    adj = defaultdict(dict)
+    for (a, b), w in edges.items():
+        adj[a][b] = adj[b][a] = w
+    exp = brute_betweenness(sorted(adj), adj)
+    blocks = []
+    inner = G.tiles.dependencies
+    monkeypatch.setattr(G.tiles, "dependencies", lambda *a: blocks.append(a[2]) or inner(*a))
+    got = {r["node"]: r["betweenness"] for r in G.betweenness(
+        und(spark, [(a, b, w) for (a, b), w in edges.items()]), False, pivot_state_rows=2_000).collect()}
+    assert blocks == [0] and got.keys() == exp.keys()
+    for k in exp:
+        assert got[k] == pytest.approx(exp[k], abs=1e-12), k
