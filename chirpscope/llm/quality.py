@@ -117,9 +117,13 @@ def features(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out.astype(np.float32)
 
 
+#: Bytes of text whose features are computed at once: the work arrays hold some 150 times as much.
+FEATURE_BYTES = 256 << 10
+
+
 def _features(text: pa.Array) -> np.ndarray:
-    """Features of a batch, some megabytes of text at a time."""
-    groups = U.bulk([pa.RecordBatch.from_arrays([text], ["text"])], "text")
+    """Features of a batch, some texts at a time."""
+    groups = U.bulk([pa.RecordBatch.from_arrays([text], ["text"])], "text", FEATURE_BYTES)
     return np.concatenate([features(*U.text_bytes(g.column("text"))) for g in groups] or [np.zeros((0, len(FEATURES)), np.float32)])
 
 

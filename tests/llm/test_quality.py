@@ -73,3 +73,16 @@ def test_no_document_is_rejected_without_labels(spark, labelled):
     for rows in ([], [(1, None)], [(held, 1)]):
         labels = spark.createDataFrame(rows, "doc_id long, quality int")
         assert sorted(r["doc_id"] for r in Q.good_documents(docs, labels).collect()) == list(range(600))
+
+
+def test_features_hold_few_texts_at_a_time(monkeypatch):
+    import pyarrow as pa
+    U.release()
+    texts = pa.array([f"Line {i} of words, words and more.\n" * 100 + "END | here!" for i in range(500)] + [None, "", "one"])
+    steps = []
+    inner = Q.features
+    whole = inner(*U.text_bytes(texts))
+    U.release()
+    monkeypatch.setattr(Q, "features", lambda data, off: steps.append(len(data)) or inner(data, off))
+    assert np.array_equal(Q._features(texts), whole)
+    assert max(steps) <= 256 << 10 and sum(len(p) for p in U._powers) <= 4 * (256 << 10)
