@@ -8,6 +8,7 @@ from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -26,27 +27,41 @@ def keyed_state(spark: SparkSession):
         spark.conf.set(name, before)
 
 
-class FirstOfKey(StatefulProcessor):
-    """The first row, by the ``order`` columns, of each key that the state does not hold."""
+#: Parts that the keys are dealt to by their hash; a part's keys are one value of the state, so a call
+#: of the processor looks up all keys of a batch that fall in it.  Fixed for the life of a checkpoint.
+KEY_PARTS = 1 << 13
 
-    def __init__(self, columns: Sequence[str], order: Sequence[str]):
-        self.columns, self.order = list(columns), list(order)
+
+class FirstOfKeys(StatefulProcessor):
+    """The first row, by the ``order`` columns, of each key of a part that the state does not hold."""
+
+    def __init__(self, columns: Sequence[str], key: str, key_type: T.DataType, order: Sequence[str]):
+        self.columns, self.key, self.key_type, self.order = list(columns), key, key_type, list(order)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", T.StructType([T.StructField("seen", T.BooleanType())]))
+        self.seen = handle.getValueState("seen", T.StructType([T.StructField("keys", T.ArrayType(self.key_type))]))
+
+    def _known(self) -> list:
+        held = self.seen.get()
+        return list(held[0]) if held is not None else []
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        self.seen.update((True,))
+        self.seen.update((self._known() + [k for keys in initialState["_keys"] for k in keys],))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        known = self._known()
+        held = set(known)
         best = None
-        for part in rows:                       # a key's rows come in parts; one row is kept
-            if self.seen.exists():
-                continue
-            part = part if best is None else pd.concat([best, part])
-            best = (part.sort_values(self.order, kind="stable", na_position="first") if self.order else part).head(1)
-        if best is not None and not self.seen.exists():
-            self.seen.update((True,))
+        for part in rows:                       # a part's rows come in pieces; one row a key is kept
+            part = part[[k not in held for k in part[self.key].tolist()]]
+            if len(part):
+                part = part if best is None else pd.concat([best, part])
+                if len(part) > 1:
+                    part = part.sort_values(self.order, kind="stable", na_position="first") if self.order else part
+                    part = part.drop_duplicates(self.key)
+                best = part
+        if best is not None:
+            self.seen.update((known + best[self.key].tolist(),))
             yield best[self.columns]
 
     def close(self) -> None:
@@ -58,9 +73,11 @@ def unseen_rows(rows: DataFrame, key: str, order: Sequence[str], seen: DataFrame
     first micro-batch of a checkpoint reads); the ``order`` columns are dropped."""
     columns = [c for c in rows.columns if c not in order]
     schema = T.StructType([rows.schema[c] for c in columns])
-    return rows.groupBy(key).transformWithStateInPandas(
-        FirstOfKey(columns, order), schema, "Append", "None",
-        initialState=None if seen is None else seen.select(key).distinct().groupBy(key))
+    part = F.pmod(F.xxhash64(key), F.lit(KEY_PARTS)).alias("_part")
+    known = None if seen is None else (seen.where(F.col(key).isNotNull()).groupBy(part)
+                                       .agg(F.collect_set(key).alias("_keys")).groupBy("_part"))
+    return rows.select("*", part).groupBy("_part").transformWithStateInPandas(
+        FirstOfKeys(columns, key, rows.schema[key].dataType, order), schema, "Append", "None", initialState=known)
 
 
 class DailyMeans(StatefulProcessor):

@@ -104,3 +104,19 @@ def test_closed_days_and_late_rows(spark):
     put([(20, 0, 1.0)])
     run()
     assert days()[:5] == [(1, 3.0, 3), (2, 4.0, 2), (3, 6.0, 2), (4, 1.0, 1), (6, 1.0, 1)]
+
+
+def test_one_call_looks_up_many_keys(spark, ingest, monkeypatch):
+    """Keys of one part of the state: new, in the target, repeated in a batch and in a later one."""
+    from chirpscope.streaming import seen_keys
+    monkeypatch.setattr(seen_keys, "KEY_PARTS", 2)
+    put, run, target, checkpoint = ingest
+    insert_if_new(spark, I.flatten_records(raw(spark, [(k, "old") for k in range(0, 40, 4)])), target)
+    put([(k, "one") for k in range(30)] + [(k, "one") for k in range(10)])
+    assert run() == 40
+    put([(k, "two") for k in range(20, 50)])
+    assert run() == 30 and run() == 0
+    want = {k: "one" if k < 30 else "two" for k in range(50)} | {k: "old" for k in range(0, 40, 4)}
+    assert table(spark, target) == sorted(want.items())
+    state = spark.read.format("statestore").option("stateVarName", "seen").load(checkpoint)
+    assert state.count() == 2            # one value a part, not one a key
