@@ -73,15 +73,15 @@ def let(value: Column, body: Callable[[Column], Column], like: Column) -> Column
     return F.aggregate(F.array(value), like, lambda _, x: body(x))
 
 
-def bucketed(entries: Iterable[tuple], buckets: int, kind: str) -> Column:
-    """(bucket, key, value) entries as a constant array of small maps, null where empty: the literal
-    map in which a look-up costs the same at any size."""
-    out: list = [None] * buckets
-    for b, k, v in entries:
-        if out[b] is None:
-            out[b] = {}
-        out[b][k] = v
-    return literal(out, f"array<map<string,{kind.split(',', 1)[1]}>").cast(f"array<{kind}>")
+def bucketed(entries: Iterable[tuple[int, str]], buckets: int, kind: str) -> Column:
+    """(bucket, JSON of a key and its value) entries as a constant array of small maps, null where
+    empty: the literal map in which a look-up costs the same at any size.  Text is put to text: the
+    driver holds no object of a key or a value."""
+    out = [""] * buckets
+    for b, entry in entries:
+        out[b] += "," + entry
+    text = "[" + ",".join("{" + x[1:] + "}" if x else "null" for x in out) + "]"
+    return F.from_json(F.lit(text), f"array<map<string,{kind.split(',', 1)[1]}>").cast(f"array<{kind}>")
 
 
 class Vocabulary:
@@ -103,7 +103,7 @@ class Vocabulary:
                 a, b = self.ranks.get(token[:i]), self.ranks.get(token[i:])
                 if a is not None and b is not None:
                     merges[a, b] = r
-        self._pairs = bucketed((((a * self.LEFT + b) % self.BUCKETS, a << 17 | b, r << PLACE_BITS) for (a, b), r in merges.items()),
+        self._pairs = bucketed((((a * self.LEFT + b) % self.BUCKETS, f'"{a << 17 | b}":{r << PLACE_BITS}') for (a, b), r in merges.items()),
                                self.BUCKETS, "map<bigint,bigint>")
         # the upper byte of CRC-32 differs for all single bytes: a number for each byte
         first = [0] * 256
@@ -207,9 +207,11 @@ def cached_words(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text_col
     top = (some.select(F.explode(words(F.col("text"), pattern)).alias("word")).groupBy("word").count()
            .orderBy(F.desc("count"), "word").limit(n_words).select("word"))
     buckets = max(1, n_words // 4)
-    rows = top.select("word", (F.xxhash64("word").bitwiseAND(2 ** 62 - 1) % buckets).alias("bucket"),
-                      vocabulary.word_ids(F.col("word")).alias("ids")).toLocalIterator()
-    known = bucketed(((r["bucket"], r["word"], r["ids"]) for r in rows), buckets, "map<string,array<int>>")
+    entry = F.to_json(F.create_map("word", vocabulary.word_ids(F.col("word"))))
+    # both are named: a column without a name bears its whole expression, rank map included, as its name
+    rows = top.select((F.xxhash64("word").bitwiseAND(2 ** 62 - 1) % buckets).alias("bucket"),
+                      F.substr(entry, F.lit(2), F.length(entry) - 2).alias("entry")).toLocalIterator()
+    known = bucketed(rows, buckets, "map<string,array<int>>")
     return lambda word: F.element_at(F.get(known, F.xxhash64(word).bitwiseAND(2 ** 62 - 1) % buckets), word)
 
 

@@ -70,3 +70,13 @@ def test_a_vocabulary_with_tokens_that_no_merge_gives(spark, tmp_path):
     v = B.Vocabulary(str(path))
     df = spark.createDataFrame([("xyz",), ("xyzab",), ("ab",)], "w string")
     assert [r[0] for r in df.select(v.word_ids(F.col("w"))).collect()] == [[256], [120, 121, 122, 257], [257]]
+
+
+def test_the_cache_is_put_together_as_text(spark, vocabulary):
+    known = B.bucketed(iter([(0, '"a":[1]'), (0, '"b\\"":[2,3]'), (2, '"c":[]')]), 3, "map<string,array<int>>")
+    assert spark.range(1).select(known).head()[0] == [{"a": [1], 'b"': [2, 3]}, None, {"c": []}]
+    odd = ['"', "\\", "{}", "\\n", "\u0000", " ", ",", ":\"", "é́", "\U0001F600"]
+    words = spark.createDataFrame([(w,) for w in odd], "text string")
+    cache = B.cached_words(words, vocabulary, r"[\s\S]+", n_words=len(odd))
+    for r in words.select("text", cache(F.col("text")).alias("got"), vocabulary.word_ids(F.col("text")).alias("want")).collect():
+        assert r["got"] == r["want"] and r["want"], r["text"]
