@@ -1,10 +1,13 @@
 """Graph operators against brute force and closed forms."""
 
 import itertools
+import pathlib
 import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -248,3 +251,104 @@ def test_betweenness_of_a_dense_graph_in_tiles(spark, monkeypatch):
     assert blocks == [0] and got.keys() == exp.keys()
     for k in exp:
         assert got[k] == pytest.approx(exp[k], abs=1e-12), k
+
+
+def folder_bytes(path):
+    return sum(p.stat().st_size for p in pathlib.Path(re.sub("^file:", "", path)).rglob("*") if p.is_file())
+
+
+def test_betweenness_stores_arcs_and_not_paths(spark, monkeypatch):
+    """A dense graph has as many pairs as arcs and far more arcs on shortest paths: what is stored follows the arcs."""
+    n = 220
+    ids = spark.range(n)
+    edges = (ids.select(F.col("id").alias("node_u")).crossJoin(ids.select(F.col("id").alias("node_v"))).where("node_u < node_v")
+             .withColumn("weight", 1 + F.pmod(F.xxhash64("node_u", "node_v"), F.lit(3))))
+    kept, inner = [], type(edges).checkpoint
+    monkeypatch.setattr(type(edges), "checkpoint", lambda df, *a, **k: kept.append(inner(df, *a, **k)) or kept[-1])   # so none is removed
+    before = folder_bytes(G.checkpoint_dir(spark))
+    got = {r["node"]: r["betweenness"] for r in G.betweenness(edges, False).collect()}
+    assert kept and folder_bytes(G.checkpoint_dir(spark)) - before < 20 * n * (n - 1) / 2 + 300_000
+    adj = defaultdict(dict)
+    for a, b, w in edges.collect():
+        adj[a][b] = adj[b][a] = w
+    exp = brute_betweenness(range(n), adj)
+    assert got.keys() == exp.keys()
+    assert all(got[k] == pytest.approx(exp[k], abs=1e-12) for k in exp)
+
+
+@pytest.mark.parametrize("directed", [False, True])
+def test_betweenness_in_parts_and_blocks(spark, monkeypatch, directed):
+    """A component whose sources are several tasks' in several blocks, edges that come twice or the
+    other way round, weights that are no whole numbers: as by brute force."""
+    monkeypatch.setattr(G.tiles, "TILE", 6)
+    monkeypatch.setattr(G.tiles, "WORK", 1)
+    monkeypatch.setattr(G.tiles, "DENSE_WORK", 1)
+    rnd = random.Random(3)
+    names = [f"n{i:02}" for i in range(26)]
+    rows = [(a, b, rnd.choice([0.5, 1.25, 1.75, 2.0, 300.0])) for a in names for b in names if a != b and rnd.random() < 0.15]
+    rows += [(a, b, w + 0.5) for a, b, w in rows[:9]] + [("n03", "n03", 1.0), ("far", "off", 2.0), (None, "n01", 1.0)]
+    adj = defaultdict(dict)
+    for a, b, w in rows:
+        for x, y in [(a, b)] if directed else [(a, b), (b, a)]:
+            if None not in (x, y) and x != y:
+                adj[x][y] = min(w, adj[x].get(y, w))
+    exp = brute_betweenness([*names, "far", "off", "null"], adj)
+    ends = "source string, target string" if directed else "node_u string, node_v string"
+    blocks = []
+    inner = G.tiles.dependencies
+    monkeypatch.setattr(G.tiles, "dependencies", lambda *a: blocks.append(a[2]) or inner(*a))
+    got = {r["node"] or "null": r["betweenness"] for r in G.betweenness(spark.createDataFrame(rows, ends + ", weight double"), directed, pivot_block=10).collect()}
+    assert blocks == [0, 1, 2] and got.keys() == exp.keys()
+    for k in exp:
+        assert got[k] == pytest.approx(exp[k], abs=1e-12), k
+
+
+@pytest.mark.parametrize("weights", [[1, 2, 3], [1], [0.1, 0.2, 0.30000000000000004, 0.7], list(range(1, 400)), [5_000_000_000, 1]])
+def test_levels_and_lists_of_a_tile_agree(weights):
+    T = G.tiles
+    rnd = random.Random(7)
+    n = 60
+    adj = defaultdict(dict)
+    for a, b in itertools.permutations(range(n), 2):
+        if (a < 50) == (b < 50) and rnd.random() < 0.4:
+            adj[a][b] = rnd.choice(weights)
+    omega = np.array([rnd.choice([1.0, 4.0]) for _ in range(n)])
+    src, dst, w = (np.array(x, t) for x, t in zip(zip(*((a, b, x) for a in adj for b, x in adj[a].items())), (np.int32, np.int32, float)))
+    held = []
+    for tile in (dst < 33, dst >= 33):
+        packed = T._pack(dst[tile], src[tile], w[tile])
+        assert sorted(zip(*map(list, T._unpack(*packed)))) == sorted(zip(dst[tile], src[tile], w[tile]))
+        held.append(T._held(*T._in_order(*T._unpack(*packed)), n))
+    lists = [T._by_lists(held, omega, lo, lo + 20) for lo in (0, 20, 40)]
+    codes, values = np.zeros((n, n), np.uint8), sorted(set(w.tolist()))
+    codes[dst, src] = [1 + values.index(x) for x in w] if len(values) < 256 else 0
+    if len(values) < 256:
+        for lo, (delta, size) in zip((0, 20, 40), lists):
+            d, s = T._by_levels(codes, values, omega, lo, lo + 20, 10_000)
+            assert d == pytest.approx(delta, rel=1e-12) and s.tolist() == size.tolist()
+        assert T._by_levels(codes, values, omega, 0, 20, 0) is None or len(weights) == 1
+    delta, size = T._shares(held, omega, 0, n)
+    assert delta == pytest.approx(sum(x for x, _ in lists), rel=1e-12)
+    near = np.eye(n)
+    near[src, dst] = 1
+    assert size.tolist() == ((np.linalg.matrix_power(near, n) > 0) @ omega).tolist()
+    exp = brute_betweenness(range(n), adj)
+    ones = T._shares(held, np.ones(n), 0, n)[0] / ((n - 1) * (n - 2))
+    assert all(ones[k] == pytest.approx(exp[k], abs=1e-12) for k in range(n))
+
+
+def test_forest_keeps_components():
+    rnd = random.Random(2)
+    links = [(rnd.randrange(k * 100, k * 100 + 60), rnd.randrange(k * 100, k * 100 + 60)) for _ in range(300) for k in range(4)]
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*links)], names=["a", "b"])
+    rows = [r for b in G.tiles._forest(iter([batch.slice(0, 700), batch.slice(700)])) for r in b.to_pylist()]
+    nodes = {x for e in links for x in e}
+    assert {r["a"] for r in rows} == nodes and len(rows) == len(nodes)
+
+    def roots(pairs):
+        up = {x: x for x in nodes}
+        for _ in nodes:
+            for a, b in pairs:
+                up[a] = up[b] = min(up[a], up[b])
+        return up
+    assert roots([(r["a"], r["b"]) for r in rows]) == roots(links)
